@@ -14,6 +14,15 @@ def _since(as_of: str, seconds: int) -> Column:
     return timeops.shift(timeops.instant(as_of), -seconds)
 
 
+def _exact_sum(c) -> Column:
+    """Decimal sum: the same whatever order rows arrive in, so rounding is stable."""
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast("decimal(24,6)"))
+
+
+def _whole(c: Column) -> Column:
+    return F.round(c).cast("double")
+
+
 # ---- ingest log ----------------------------------------------------------------------------------
 
 
@@ -265,20 +274,13 @@ def first_pattern(texts: DataFrame, patterns: DataFrame, text: str, id_col: str,
     return tried.groupBy(*texts.columns).agg(F.min(id_col).alias(id_col))
 
 
-def _per_agent(logs: DataFrame) -> DataFrame:
-    return logs.groupBy("agent").agg(
-        F.count("*").alias("n"), F.sum("timing").alias("time"), F.min("added_on").alias("first_requested"),
-        F.max("added_on").alias("last_requested"),
-    )
-
-
 def uncategorized_requests(logs: DataFrame, agents: DataFrame) -> DataFrame:
     """Agents no pattern matches. Agents collapse to one row each before any matching."""
     pairs = logs.groupBy("agent", "api_key").agg(
-        F.count("*").alias("n"), F.sum("timing").alias("time"), F.min("added_on").alias("a"), F.max("added_on").alias("b")
+        F.count("*").alias("n"), _exact_sum("timing").alias("time"), F.min("added_on").alias("a"), F.max("added_on").alias("b")
     )
     per_agent = pairs.groupBy("agent").agg(
-        F.sum("n").alias("n"), F.round(F.sum("time")).alias("time"), F.min("a").alias("first_requested"),
+        F.sum("n").alias("n"), _whole(F.sum("time")).alias("time"), F.min("a").alias("first_requested"),
         F.max("b").alias("last_requested"), F.count("api_key").alias("keys"),
     )
     named = first_pattern(per_agent.select("agent"), agents, "agent", "agents_id")
@@ -296,9 +298,9 @@ def daily_requests(logs: DataFrame, kind: str, process_date: str | None = None,
         start = timeops.instant(process_date)
         rows = rows.where((F.col("added_on") >= start) & (F.col("added_on") < timeops.shift(start, 86400)))
     rows = rows.withColumn("day", F.to_date("added_on"))
-    totals = (F.count("*").alias("requests_count"), F.round(F.sum("timing")).alias("requests_time"))
-    again = (F.sum("n").alias("requests_count"), F.round(F.sum("t")).alias("requests_time"))
-    small = (F.count("*").alias("n"), F.sum("timing").alias("t"))
+    totals = (F.count("*").alias("requests_count"), _whole(_exact_sum("timing")).alias("requests_time"))
+    again = (F.sum("n").alias("requests_count"), _whole(F.sum("t")).alias("requests_time"))
+    small = (F.count("*").alias("n"), _exact_sum("timing").alias("t"))
     sensor = textops.json_number(F.col("params"), "sensors_id")
     node = textops.json_number(F.col("params"), "locations_id")
     if kind == "total":
