@@ -554,13 +554,13 @@ def rank_duplicates(
     else:
         nodes = nodes.withColumn("grouper", F.regexp_replace("source_id", by, ""))
     place = ["source_name", "grouper"]
-    ranked = spread_row_number(
-        nodes.select("sensor_nodes_id", "lon", "lat", "site_name", "source_id", *place), place,
-        [("source_id", True), ("sensor_nodes_id", True)], "sensor_nodes_rw",
-    )
-    canonical = ranked.where(F.col("sensor_nodes_rw") == 1).select(
-        *place, F.col("sensor_nodes_id").alias("new_sensor_nodes_id"), F.col("lon").alias("new_lon"), F.col("lat").alias("new_lat")
+    nodes = nodes.select("sensor_nodes_id", "lon", "lat", "site_name", "source_id", *place)
+    canonical = nodes.groupBy(*place).agg(
+        F.min(F.struct("source_id", "sensor_nodes_id", "lon", "lat")).alias("_c")
+    ).select(
+        *place, F.col("_c.sensor_nodes_id").alias("new_sensor_nodes_id"), F.col("_c.lon").alias("new_lon"), F.col("_c.lat").alias("new_lat")
     )
+    ranked = spread_row_number(nodes, place, [("source_id", True), ("sensor_nodes_id", True)], "sensor_nodes_rw")
     same = ranked.join(canonical, place)
     systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id")
     if by != "geom":
@@ -572,8 +572,10 @@ def rank_duplicates(
         "sensors_id", "sensor_systems_id", "measurands_id", F.col("source_id").alias("sensors_source_id"), "added_on"
     ).join(systems, "sensor_systems_id").join(same, "sensor_nodes_id")
     slot = ["new_sensor_nodes_id", "measurands_id"]
+    chosen = rows.groupBy(*slot).agg(F.min(F.struct("added_on", "sensors_id")).alias("_c")).select(
+        *slot, F.col("_c.sensors_id").alias("new_sensors_id")
+    )
     rows = spread_row_number(rows, slot, [("added_on", True), ("sensors_id", True)], "rw")
-    chosen = rows.where(F.col("rw") == 1).select(*slot, F.col("sensors_id").alias("new_sensors_id"))
     return rows.join(chosen, slot)
 
 

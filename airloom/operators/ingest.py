@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from airloom.functions import textops, timeops
 from airloom.operators.ranking import spread_row_number
 from airloom.operators.upsert import absent_rows, changed, insert_absent, one_per_key
+from airloom.session import cut_lineage
 
 # ---- ingest ids --------------------------------------------------------------------------------
 
@@ -52,8 +53,11 @@ def ingest_format(facts: DataFrame, sensors: DataFrame, sensor_systems: DataFram
 def assign_ids(rows: DataFrame, existing: DataFrame, id_col: str, order: str) -> DataFrame:
     """New ids after the largest existing one, in the order of a unique text key.
 
-    Numbers come from a spread rank, so a large first load does not sort in one task.
+    The new rows are checkpointed first: ids stay the same however often they are read
+    again, and the rank (spread over tasks when there are many) does not repeat their
+    lineage.
     """
+    rows = cut_lineage(rows)
     top = F.coalesce(existing.agg(F.max(id_col)).scalar(), F.lit(0))
     ranked = spread_row_number(rows.withColumn("_all", F.lit(1)), ["_all"], [(order, True)], "_rn")
     return ranked.withColumn(id_col, (top + F.col("_rn")).cast(existing.schema[id_col].dataType)).drop("_all", "_rn")
@@ -73,7 +77,8 @@ def resolve_mobile_ingest(
     and measurand; missing ones are added. Returns the complete tables
     sensor_nodes, sensor_systems, sensors, measurements, and `stations`.
     """
-    stations = split_ingest_id(staged.select("ingest_id").distinct())
+    # a station list is far smaller than its facts: kept once instead of rescanning them
+    stations = cut_lineage(split_ingest_id(staged.select("ingest_id").distinct()))
 
     # nodes
     node_key = ["source_name", "source_id"]
@@ -378,7 +383,7 @@ def update_sources(
     from_direct = direct.select(
         F.col("source_name").alias("slug"), F.coalesce(F.col("_m")["sensor_node_source_fullname"], F.lit(None)).alias("name"), empty.alias("metadata")
     ).where(F.col("name").isNotNull())
-    from_list = merge_maps(attributed.distinct(), ["name"], "_fields", F.to_json("_fields"), "metadata")
+    from_list = merge_maps(attributed, ["name"], "_fields", F.to_json("_fields"), "metadata")
     from_list = attributed.select("name").distinct().join(from_list, "name", "left").select(
         F.lit(None).cast("string").alias("slug"), "name", "metadata"
     )

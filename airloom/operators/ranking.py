@@ -1,9 +1,10 @@
 """Row numbers and previous rows within groups of any size.
 
-A window sorts a whole group in one task. Groups over `chunk_rows` are cut at values
-picked by a hash of the order columns (the same rows on every run, about one cut per
+A window sorts a whole group in one task. A count per group first tells whether any is
+over `chunk_rows`; if none is, the plain window runs. Otherwise such groups are cut at
+values picked by a hash of the order column (the same on every run, about one cut per
 `chunk_rows` rows), each chunk is ranked on its own, and totals of the earlier chunks
-are added. Results equal those of the plain window.
+are added. Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ def _ordered(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order]
 
 
+def has_large_groups(df: DataFrame, keys: Sequence[str], rows: int) -> bool:
+    """One small job: does any key hold more than so many rows?"""
+    return not df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).limit(1).isEmpty()
+
+
 def _chunked(df: DataFrame, keys: list[str], first: str, ascending: bool, chunk_rows: int) -> DataFrame:
     """df with `_chunk`, rising along the first order column; equal values share one."""
     big = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk_rows).select(*keys)
@@ -42,6 +48,9 @@ def spread_row_number(
     The first order column should vary within a key, and the last make rows unique.
     """
     keys = list(keys)
+    if not has_large_groups(df, keys, chunk_rows):
+        ranks = F.row_number().over(Window.partitionBy(*keys).orderBy(*_ordered(order)))
+        return df.withColumn(name, ranks.cast("bigint"))
     cut = _chunked(df, keys, order[0][0], order[0][1], chunk_rows)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*keys, "_chunk").agg(F.count("*").alias("_n")).select(
@@ -58,6 +67,9 @@ def spread_lag(
 ) -> DataFrame:
     """df with `prev_<column>`: the value of the previous row per key in ascending order."""
     keys, row = list(keys), F.struct(*columns)
+    if not has_large_groups(df, keys, chunk_rows):
+        before = F.lag(row).over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]))
+        return df.withColumn("_prev", before).select(*df.columns, *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in columns])
     cut = _chunked(df, keys, order[0], True, chunk_rows)
     last = cut.groupBy(*keys, "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_last"))
     chunks = Window.partitionBy(*keys).orderBy("_chunk")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("queries_rollups", "queries_exports", "queries_monitor", "queries_catalog", "queries_spatial")
+_MODULES = (
+    "queries_rollups", "queries_exports", "queries_monitor", "queries_catalog", "queries_spatial", "queries_ingest",
+)
 
 
 def catalog_of_queries() -> dict:

@@ -353,7 +353,8 @@ FROM {measurements} GROUP BY sensors_id"""
 
 def check_sql(body: str, extra: dict[str, str] | None = None) -> str:
     """Body over {frame} names, preceded by the frames it needs, deepest first."""
-    known = {**CHECK, **(extra or {})}
+    protect = lambda sql: sql.replace("{{", "\x01").replace("}}", "\x02")
+    known = {**CHECK, **{name: protect(sql) for name, sql in (extra or {}).items()}}
     order: list[str] = []
 
     def visit(sql: str) -> None:
@@ -362,7 +363,7 @@ def check_sql(body: str, extra: dict[str, str] | None = None) -> str:
                 visit(known[name])
                 order.append(name)
 
-    body = body.replace("{{", "\x01").replace("}}", "\x02")
+    body = protect(body)
 
     def plain(sql: str) -> str:
         text = re.sub(r"\{(\w+)\}", r"\1", sql)
