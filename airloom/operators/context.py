@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Source tables of the contexts built here and what was learned about them.
+_KNOWN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
+_FEW, _MANY = 16, 128
+
+# A context row takes some 60 bytes in a broadcast; more sensors than this are joined
+# by a shuffle instead.
+BROADCAST_SENSORS = 500_000
+
 
 def station_context(
     sensors: DataFrame, sensor_systems: DataFrame, sensor_nodes: DataFrame, timezones: DataFrame
 ) -> DataFrame:
     """One row per sensor with its measurand, node, zone and visibility.
 
-    Sensors whose node has no zone are left out, as in every rollup. No join is
-    hinted: the frame may be far over any broadcast size, so the planner (and at
-    run time adaptive execution) decides from measured sizes.
+    Sensors whose node has no zone are left out, as in every rollup.
     """
     nodes = sensor_nodes.join(timezones.select("timezones_id", "tzid"), "timezones_id").select(
         "sensor_nodes_id",
@@ -24,6 +33,61 @@ def station_context(
         F.col("is_public").alias("node_is_public"),
     )
     systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id").join(nodes, "sensor_nodes_id")
-    return sensors.select(
+    ctx = sensors.select(
         "sensors_id", "sensor_systems_id", "measurands_id", F.col("is_public").alias("sensor_is_public")
     ).join(systems, "sensor_systems_id")
+    _KNOWN[ctx] = {"sensors": sensors, "nodes": sensor_nodes, "timezones": timezones}
+    return ctx
+
+
+def _few_sensors(ctx: DataFrame) -> bool:
+    """Does the sensor table stay within the broadcast bound? Counted once per context."""
+    known = _KNOWN.get(ctx)
+    if known is None:
+        return False
+    if "few" not in known:
+        known["few"] = known["sensors"].limit(BROADCAST_SENSORS + 1).count() <= BROADCAST_SENSORS
+    return known["few"]
+
+
+def join_context(facts: DataFrame, ctx: DataFrame, *columns: str, where: Column | None = None) -> DataFrame:
+    """Facts of known sensors with the named context columns.
+
+    Below the counted bound the context is broadcast and the facts are not shuffled;
+    above it the join shuffles both sides, and adaptive execution splits hot sensors.
+    """
+    side = ctx if where is None else ctx.where(where)
+    side = side.select("sensors_id", *columns)
+    return facts.join(F.broadcast(side) if _few_sensors(ctx) else side, "sensors_id")
+
+
+def _usual_zones(ctx: DataFrame) -> list[str]:
+    """Zone names worth a branch of their own: all of a short zone table, else the ones
+    most nodes have, at most `_MANY`."""
+    known = _KNOWN.get(ctx)
+    if known is None:
+        return []
+    if "zones" not in known:
+        timezones = known["timezones"]
+        names = timezones.select("tzid").where(F.col("tzid").isNotNull()).distinct().limit(_FEW + 1)
+        zones = sorted(r[0] for r in names.collect())
+        if len(zones) > _FEW:
+            counts = known["nodes"].groupBy("timezones_id").agg(F.count("*").alias("n")).join(timezones, "timezones_id")
+            zones = [r[0] for r in counts.orderBy(F.desc("n"), "tzid").limit(_MANY).select("tzid").collect()]
+        known["zones"] = zones
+    return known["zones"]
+
+
+def by_zone(ctx: DataFrame, convert: Callable[[str | Column], Column]) -> Column:
+    """`convert(zone)` for the zone in column `tzid`.
+
+    A conversion parses its zone name for every row unless the name is a literal, which
+    costs more than the rest of a rollup's scan. Usual zones get a literal branch, all
+    others the general form, so the result is the same for any zone.
+    """
+    general = convert(F.col("tzid"))
+    branches = None
+    for zone in _usual_zones(ctx):
+        test = F.col("tzid") == zone
+        branches = F.when(test, convert(zone)) if branches is None else branches.when(test, convert(zone))
+    return general if branches is None else branches.otherwise(general)

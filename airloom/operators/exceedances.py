@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import timeops
+from airloom.operators.context import join_context
 
 
 def daily_exceedances(hourly: DataFrame, ctx: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Node, measurand, UTC day, threshold: hours at or over it, and totals."""
     limits = thresholds.select("measurands_id", F.col("value").alias("threshold_value"))
-    rows = (
-        hourly.select("sensors_id", "measurands_id", "datetime", "value_avg", "value_count")
-        .join(limits, "measurands_id")
-        .join(ctx.select("sensors_id", F.col("sensor_nodes_id")), "sensors_id")
-    )
+    rows = join_context(
+        hourly.select("sensors_id", "measurands_id", "datetime", "value_avg", "value_count"), ctx, "sensor_nodes_id"
+    ).join(limits, "measurands_id")
     return rows.groupBy(
         "sensor_nodes_id", "measurands_id", timeops.utc_date("datetime").alias("day"), "threshold_value"
     ).agg(

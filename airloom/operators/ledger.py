@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from airloom.functions import timeops
 from airloom.operators import rollups
+from airloom.operators.context import by_zone, join_context
 from airloom.operators.upsert import absent_rows, upsert
 
 LEVELS = ("hour", "day", "year")
@@ -64,8 +65,8 @@ def enumerate_periods(
     """
     rows = _between(facts.select("sensors_id", "datetime"), start, end)
     if level == "hour":
-        located = rows.join(ctx.select("sensors_id", "tzid"), "sensors_id").withColumn(
-            "offset_s", timeops.offset_seconds("datetime", F.col("tzid"))
+        located = join_context(rows, ctx, "tzid").withColumn(
+            "offset_s", by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone))
         )
         span = located.groupBy("offset_s").agg(F.min("datetime").alias("a"), F.max("datetime").alias("b"))
         off = F.col("offset_s")
@@ -192,9 +193,7 @@ def claim_periods(ledger: DataFrame, periods: DataFrame, as_of: str) -> DataFram
 
 def period_counts(rows: DataFrame, ctx: DataFrame, periods: DataFrame, level: str) -> DataFrame:
     """Node, sensor and measurement totals of rollup rows per requested period."""
-    zoned = rows.select("sensors_id", "sensor_nodes_id", "datetime", "value_count").join(
-        ctx.select("sensors_id", "tzid"), "sensors_id"
-    )
+    zoned = join_context(rows.select("sensors_id", "sensor_nodes_id", "datetime", "value_count"), ctx, "tzid")
     if level == "hour":
         keyed = zoned.withColumn("offset_s", timeops.offset_seconds("datetime", F.col("tzid")))
     else:

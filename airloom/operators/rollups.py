@@ -10,38 +10,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions import numeric, timeops
+from airloom.operators.context import by_zone, join_context
 
 # Percentile levels and their column names.
 PERCENTILES = {"value_p02": 0.02, "value_p25": 0.25, "value_p50": 0.5, "value_p75": 0.75, "value_p98": 0.98}
 
 
+def _weighted(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows with their share in each percentile of their group.
+
+    An interpolated percentile lies between two ranks: the row of rank r has the weight
+    max(0, 1 - |position - r|), so each percentile is a sum. The sorted window spills
+    when a group is long and no list of values is built; computing the shares ahead of
+    the grouping keeps the generated aggregation small, and the whole is some three
+    times as fast as `percentile` on groups of a few to some thousand rows.
+    """
+    group = Window.partitionBy(*keys)
+    ranked = rows.withColumn(
+        "_rank", F.row_number().over(group.orderBy(F.col(value).asc_nulls_last())) - 1
+    ).withColumn("_values", F.count(value).over(group))
+
+    def share(p: float) -> Column:
+        weight = 1 - F.abs(F.lit(p) * (F.col("_values") - 1) - F.col("_rank"))
+        return F.when(weight > 0, F.col(value) * weight)
+
+    return ranked.withColumns({f"_{name}": share(p) for name, p in PERCENTILES.items()})
+
+
 def _summary(value: str) -> list[Column]:
-    levels = F.array(*[F.lit(p) for p in PERCENTILES.values()])
+    """Aggregates over `_weighted` rows."""
     return [
         F.count("*").alias("value_count"),
         F.avg(value).alias("value_avg"),
         F.stddev(value).alias("value_sd"),
         F.min(value).alias("value_min"),
         F.max(value).alias("value_max"),
-        F.percentile(value, levels).alias("_levels"),
+        *[F.sum(f"_{name}").alias(name) for name in PERCENTILES],
     ]
 
 
-def _spread_levels(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {name: F.get("_levels", F.lit(i)) for i, name in enumerate(PERCENTILES)}
-    ).drop("_levels")
-
-
 def with_hour(facts: DataFrame, ctx: DataFrame) -> DataFrame:
     """Facts of known sensors with their zone and the UTC end of their local hour."""
-    stations = ctx.select("sensors_id", "measurands_id", "sensor_nodes_id", "tzid")
-    rows = facts.join(stations, "sensors_id")
-    offset = timeops.offset_seconds("datetime", F.col("tzid"))
+    rows = join_context(facts, ctx, "measurands_id", "sensor_nodes_id", "tzid")
+    offset = by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone))
     return rows.withColumn("hour", timeops.hour_end("datetime", offset))
 
 
@@ -50,42 +65,47 @@ def hourly_rollup(measurements: DataFrame, ctx: DataFrame, periods: DataFrame |
     rows = with_hour(measurements, ctx)
     if periods is not None:
         wanted = periods.select(F.col("datetime").alias("hour"), "offset_s").distinct()
-        rows = rows.withColumn("offset_s", timeops.offset_seconds("hour", F.col("tzid"))).join(
-            wanted, ["hour", "offset_s"], "left_semi"
-        )
-    grouped = rows.groupBy("sensors_id", "measurands_id", "sensor_nodes_id", "hour").agg(
+        at_hour = by_zone(ctx, lambda zone: timeops.offset_seconds("hour", zone))
+        rows = rows.withColumn("offset_s", at_hour).join(wanted, ["hour", "offset_s"], "left_semi")
+    keys = ["sensors_id", "measurands_id", "sensor_nodes_id", "hour"]
+    # hours of a sensor go to different tasks, whatever the join above was clustered by
+    rows = rows.select(*keys, "datetime", "value", "added_on").repartition("sensors_id", "hour")
+    grouped = _weighted(rows, keys, "value").groupBy(*keys).agg(
         F.max("added_on").alias("updated_on"),
         F.min("datetime").alias("datetime_first"),
         F.max("datetime").alias("datetime_last"),
         *_summary("value"),
         F.count_if(F.col("value").isNull()).alias("error_count"),
     )
-    return _spread_levels(grouped.withColumnRenamed("hour", "datetime"))
+    return grouped.withColumnRenamed("hour", "datetime")
 
 
 def _longer_rollup(rows: DataFrame) -> DataFrame:
-    grouped = rows.groupBy("sensors_id", "sensor_nodes_id", F.col("_period").alias("datetime")).agg(
+    keys = ["sensors_id", "sensor_nodes_id", "_period"]
+    wide = rows.select(
+        *keys, "updated_on", "datetime_first", "datetime_last", "value_count", "value_avg", "hour_min", "hour_max", "error_count"
+    ).withColumnRenamed("value_count", "hour_count").repartition("sensors_id", "_period")
+    grouped = _weighted(wide, keys, "value_avg").groupBy(*keys).agg(
         F.max("updated_on").alias("updated_on"),
         F.min("datetime_first").alias("datetime_first"),
         F.max("datetime_last").alias("datetime_last"),
         *_summary("value_avg"),
-        F.sum("value_count").alias("value_raw_count"),
-        F.try_divide(F.sum(F.col("value_avg") * F.col("value_count")), F.sum("value_count")).alias("value_raw_avg"),
+        F.sum("hour_count").alias("value_raw_count"),
+        F.try_divide(F.sum(F.col("value_avg") * F.col("hour_count")), F.sum("hour_count")).alias("value_raw_avg"),
         F.min(F.col("hour_min")).alias("value_raw_min"),
         F.max(F.col("hour_max")).alias("value_raw_max"),
         F.sum("error_count").alias("error_raw_count"),
         F.count_if(F.col("value_avg").isNull()).alias("error_count"),
     )
-    return _spread_levels(grouped)
+    return grouped.withColumnRenamed("_period", "datetime")
 
 
-def _local_hours(hourly: DataFrame, ctx: DataFrame) -> DataFrame:
-    stations = ctx.select("sensors_id", "sensor_nodes_id", "tzid")
+def _local_hours(hourly: DataFrame, ctx: DataFrame, where: Column | None = None) -> DataFrame:
     facts = hourly.where(F.col("value_count") > 0).select(
         "sensors_id", "datetime", "updated_on", "datetime_first", "datetime_last", "value_count", "value_avg",
         F.col("value_min").alias("hour_min"), F.col("value_max").alias("hour_max"), "error_count",
     )
-    return facts.join(stations, "sensors_id")
+    return join_context(facts, ctx, "sensor_nodes_id", "tzid", where=where)
 
 
 def _start_offset(period: Column) -> Column:
@@ -128,9 +148,12 @@ def daily_rollup(
         hourly = hourly.where(F.col("datetime") > timeops.shift(timeops.instant(start), -26 * 3600))
     if end is not None:
         hourly = hourly.where(F.col("datetime") <= timeops.shift(timeops.instant(end), 26 * 3600))
+    at_lag = None
     if lag is not None:
-        ctx = ctx.where(timeops.local_hour_int(timeops.instant(as_of), F.col("tzid")) == lag)
-    rows = _local_hours(hourly, ctx).withColumn("_period", timeops.local_date("datetime", F.col("tzid")))
+        at_lag = timeops.local_hour_int(timeops.instant(as_of), F.col("tzid")) == lag
+    rows = _local_hours(hourly, ctx, at_lag).withColumn(
+        "_period", by_zone(ctx, lambda zone: timeops.local_date("datetime", zone))
+    )
     if start is not None:
         rows = rows.where(F.col("_period") >= F.lit(start).cast("date"))
     if end is not None:
@@ -140,7 +163,9 @@ def daily_rollup(
 
 def annual_rollup(hourly: DataFrame, ctx: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """Per sensor and local year, from hourly rows (day percentiles cannot be combined)."""
-    rows = _local_hours(hourly, ctx).withColumn("_period", timeops.local_year("datetime", F.col("tzid")))
+    rows = _local_hours(hourly, ctx).withColumn(
+        "_period", by_zone(ctx, lambda zone: timeops.local_year("datetime", zone))
+    )
     return _longer_rollup(_keep_periods(rows, periods, "year"))
 
 
@@ -234,10 +259,9 @@ def daily_stats(daily: DataFrame, ctx: DataFrame, days: DataFrame) -> DataFrame:
 
 def rollup_reconcile(measurements: DataFrame, hourly: DataFrame, daily: DataFrame, ctx: DataFrame) -> DataFrame:
     """Sensor-days side by side from the daily, hourly and raw level; `matches` if equal."""
-    stations = ctx.select("sensors_id", "tzid")
-    day = timeops.local_date("datetime", F.col("tzid"))
+    day = by_zone(ctx, lambda zone: timeops.local_date("datetime", zone))
     from_hours = (
-        hourly.join(stations, "sensors_id")
+        join_context(hourly, ctx, "tzid")
         .groupBy("sensors_id", day.alias("day"))
         .agg(
             F.sum("value_count").alias("hourly_raw_count"),
@@ -245,9 +269,9 @@ def rollup_reconcile(measurements: DataFrame, hourly: DataFrame, daily: DataFram
             F.avg("value_avg").alias("hourly_avg"),
         )
     )
-    hour = timeops.hour_end("datetime", timeops.offset_seconds("datetime", F.col("tzid")))
+    hour = timeops.hour_end("datetime", by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone)))
     raw_hours = (
-        measurements.join(stations, "sensors_id")
+        join_context(measurements, ctx, "tzid")
         .groupBy("sensors_id", "tzid", hour.alias("datetime"))
         .agg(F.count("*").alias("n"), F.avg("value").alias("avg"))
     )
@@ -363,7 +387,7 @@ def providers_stats(measurements: DataFrame, ctx: DataFrame, day: str | None = N
         start = timeops.instant(day)
         rows = rows.where((F.col("added_on") > start) & (F.col("added_on") < timeops.shift(start, 86400)))
     rows = rows.where(F.col("added_on") != F.date_trunc("day", "added_on"))
-    rows = rows.join(ctx.select("sensors_id", "sensor_nodes_id", "providers_id"), "sensors_id")
+    rows = join_context(rows, ctx, "sensor_nodes_id", "providers_id")
     delay = timeops.seconds_between("added_on", "datetime")
     sensors = rows.groupBy(
         "providers_id", F.to_date("added_on").alias("day"), "sensor_nodes_id", "sensors_id"
@@ -396,7 +420,7 @@ def daily_exported_stats(hourly: DataFrame, ctx: DataFrame, day: str | None = No
     if day is not None:
         start = timeops.instant(day)
         rows = rows.where((F.col("datetime") > start) & (F.col("datetime") <= timeops.shift(start, 86400)))
-    rows = rows.join(ctx.select("sensors_id", "sensor_nodes_id"), "sensors_id")
+    rows = join_context(rows, ctx, "sensor_nodes_id")
     sensors = rows.groupBy(timeops.utc_date("datetime").alias("day"), "sensor_nodes_id", "sensors_id").agg(
         F.count("*").alias("h"), F.sum("value_count").alias("m")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import timeops
+from airloom.operators.context import join_context
 from airloom.operators.ranking import spread_lag
 from airloom.operators.upsert import upsert
 
@@ -74,13 +75,13 @@ def snap_rollup(
 ) -> DataFrame:
     """Node and grid cell: first, last, and distinct instants; optionally of some sensors
     or nodes only. Instants are made distinct before they are counted."""
-    placed = ctx.select("sensors_id", "sensor_nodes_id")
+    rows = measurements.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("sensors_id", "datetime", "lon", "lat")
     if sensors is not None:
-        placed = placed.join(sensors.select("sensors_id"), "sensors_id", "left_semi")
+        rows = rows.join(sensors.select("sensors_id"), "sensors_id", "left_semi")
+    placed = join_context(rows, ctx, "sensor_nodes_id")
     if nodes is not None:
         placed = placed.join(nodes.select("sensor_nodes_id"), "sensor_nodes_id", "left_semi")
-    rows = measurements.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("sensors_id", "datetime", "lon", "lat")
-    instants = _cells(rows.join(placed, "sensors_id"), size).select("sensor_nodes_id", "x", "y", "datetime").distinct()
+    instants = _cells(placed, size).select("sensor_nodes_id", "x", "y", "datetime").distinct()
     return instants.groupBy("sensor_nodes_id", "x", "y").agg(
         F.min("datetime").alias("start_datetime"), F.max("datetime").alias("end_datetime"), F.count("*").alias("measurements_count")
     ).withColumn("cell_size", F.lit(size))

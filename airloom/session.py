@@ -6,17 +6,14 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Hash aggregation of `percentile` falls back to sorting after this many groups
-# per task; the stock value of 128 is far below the groups of one rollup task.
-_PERCENTILE_GROUPS_IN_MEMORY = "16384"
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the operators assume. Idempotent, only SQL confs."""
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": _PERCENTILE_GROUPS_IN_MEMORY,
+        # split a hot sensor's join even when its grouping then needs another shuffle
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

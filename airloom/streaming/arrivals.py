@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airloom.functions import timeops
 from airloom.operators import ledger, rollups
+from airloom.operators.context import by_zone, join_context
 from airloom.operators.upsert import absent_rows, one_per_key
 from airloom.session import configure
 from airloom.sources.files import _exists, upsert_months, with_month, write_measurements
@@ -102,8 +103,8 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, ctx: DataFrame, store: S
         existing = spark.read.parquet(store.facts()).join(months, "ym", "left_semi")
         fresh = absent_rows(existing, batch, keys)
     # hours come from the whole batch, so a repeated batch after a failure marks them again
-    located = batch.join(ctx.select("sensors_id", "tzid"), "sensors_id").select(
-        "datetime", timeops.offset_seconds("datetime", F.col("tzid")).alias("offset_s")
+    located = join_context(batch.select("sensors_id", "datetime"), ctx, "tzid").select(
+        "datetime", by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone)).alias("offset_s")
     )
     hours = located.select(timeops.hour_end("datetime", F.col("offset_s")).alias("datetime"), "offset_s").distinct()
     _publish(ledger.mark_modified(_ledger(spark, store, "hour"), hours, "hour", as_of), store.ledger("hour"))
