@@ -128,9 +128,13 @@ def touched_periods(touched: DataFrame, level: str, zones: DataFrame | None = No
 def mark_modified(
     ledger: DataFrame, touched: DataFrame, level: str, as_of: str, zones: DataFrame | None = None
 ) -> DataFrame:
-    """Touch ledger rows: absent ones enter as never calculated, others count a change."""
+    """Touch the ledger rows that instants fall in."""
+    return mark_periods(ledger, touched_periods(touched, level, zones), as_of)
+
+
+def mark_periods(ledger: DataFrame, keys: DataFrame, as_of: str) -> DataFrame:
+    """Touch ledger rows by key: absent ones enter as never calculated, others count a change."""
     now = timeops.instant(as_of)
-    keys = touched_periods(touched, level, zones)
     return upsert(
         ledger,
         keys,
@@ -220,7 +224,7 @@ def recompute(
     """Roll up every stale period in one job.
 
     Returns the updated target, the updated ledger, and the periods that became
-    modified one level up (keys for `mark_modified` of the parent level).
+    modified one level up (keys for `mark_periods` of the parent ledger).
     `facts` are measurements for level hour, hourly rows for day and year.
     """
     now = timeops.instant(as_of)

@@ -169,13 +169,21 @@ def _edges(polygons: DataFrame, key: str) -> DataFrame:
     return edge.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
+# Fixed value: the polygon grid's origin, odd so that no vertex falls on a grid corner.
+_ORIGIN = 0.013714685310297
+
+
 def _cell(c: Column, cell_deg: float) -> Column:
-    return F.floor(c / cell_deg).cast("int")
+    return F.floor((c - _ORIGIN) / cell_deg).cast("int")
+
+
+def _line(index: Column, cell_deg: float) -> Column:
+    return index * F.lit(float(cell_deg)) + F.lit(_ORIGIN)
 
 
 def _cell_from(c: Column, cell_deg: float) -> Column:
     """First cell an edge starting at c touches: on a grid line, also the cell before."""
-    return (F.ceil(c / cell_deg) - 1).cast("int")
+    return (F.ceil((c - _ORIGIN) / cell_deg) - 1).cast("int")
 
 
 def polygon_grid(polygons: DataFrame, key: str, cell_deg: float = 1.0) -> DataFrame:
@@ -186,14 +194,15 @@ def polygon_grid(polygons: DataFrame, key: str, cell_deg: float = 1.0) -> DataFr
     the point to that corner tell its side. Large polygons cost no more per point.
     """
     edges = _edges(polygons, key)
-    size = F.lit(float(cell_deg))
     # where edges cross the grid's horizontal lines, by the half-open rule
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    first = F.floor(low / size).cast("int")
-    last = F.floor(high / size).cast("int")
-    lines = edges.withColumn("cj", F.explode(F.sequence(first, last))).withColumn("_y", F.col("cj") * size)
+    lines = edges.withColumn("cj", F.explode(F.sequence(_cell(low, cell_deg), _cell(high, cell_deg)))).withColumn(
+        "_y", _line(F.col("cj"), cell_deg)
+    )
     lines = lines.where((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y")))
-    crossing = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    crossing = F.col("x1") + F.try_divide(
+        (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1")
+    )
     crossed = lines.groupBy(key, "cj").agg(F.collect_list(crossing).alias("_xs"))
 
     box = edges.groupBy(key).agg(
@@ -209,7 +218,7 @@ def polygon_grid(polygons: DataFrame, key: str, cell_deg: float = 1.0) -> DataFr
         .groupBy(key, "ci", "cj")
         .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
     )
-    right = (F.col("ci") + 1) * size
+    right = _line(F.col("ci") + 1, cell_deg)
     corner = F.coalesce(F.size(F.filter("_xs", lambda x: x > right)), F.lit(0)) % 2 == 1
     grid = cells.join(crossed, [key, "cj"], "left").withColumn("corner_inside", corner).drop("_xs")
     grid = grid.join(near, [key, "ci", "cj"], "left")
@@ -221,12 +230,16 @@ def _inside(px: Column, py: Column, right: Column, bottom: Column) -> Column:
     down the border. Half-open rules keep vertices from counting twice."""
 
     def across(e: Column) -> Column:
-        x = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
+        x = e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
         return ((e["y1"] > py) != (e["y2"] > py)) & (x > px) & (x <= right)
 
     def down(e: Column) -> Column:
-        y = e["y1"] + (right - e["x1"]) * (e["y2"] - e["y1"]) / (e["x2"] - e["x1"])
-        return ((e["x1"] > right) != (e["x2"] > right)) & (y > bottom) & (y <= py)
+        slope = F.try_divide(e["y2"] - e["y1"], e["x2"] - e["x1"])
+        y = e["y1"] + (right - e["x1"]) * slope
+        # the border is walked a hair to its right: at either end the slope decides
+        below_start = (y < py) | ((y == py) & (slope <= 0))
+        above_end = (y > bottom) | ((y == bottom) & (slope > 0))
+        return ((e["x1"] > right) != (e["x2"] > right)) & above_end & below_start
 
     def on(e: Column) -> Column:
         flat = (e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"])
@@ -246,11 +259,10 @@ def assign_polygon(points: DataFrame, polygons: DataFrame, key: str, cell_deg: f
     Points meet polygons by grid cell; equal points are looked up once.
     """
     grid = polygon_grid(polygons, key, cell_deg)
-    size = F.lit(float(cell_deg))
     places = points.select("lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).distinct()
     located = places.withColumn("ci", _cell(F.col("lon"), cell_deg)).withColumn("cj", _cell(F.col("lat"), cell_deg))
     hit = located.join(grid, ["ci", "cj"]).where(
-        _inside(F.col("lon"), F.col("lat"), (F.col("ci") + 1) * size, F.col("cj") * size)
+        _inside(F.col("lon"), F.col("lat"), _line(F.col("ci") + 1, cell_deg), _line(F.col("cj"), cell_deg))
     )
     best = hit.groupBy("lon", "lat").agg(F.min(key).alias(key))
     return points.join(best, ["lon", "lat"], "left").select(*points.columns, key)

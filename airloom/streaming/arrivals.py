@@ -67,7 +67,7 @@ def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: st
     for level in ledger.LEVELS:
         book = _ledger(spark, store, level)
         if parents is not None:
-            book = ledger.mark_modified(book, parents, level, as_of)
+            book = ledger.mark_periods(book, parents, as_of)
         stale = ledger.stale_periods(book, level, None, upper="9999-01-01", as_of=as_of)
         if level == "hour":
             # only months that hold stale hours are read again
@@ -107,7 +107,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, ctx: DataFrame, store: S
         "datetime", by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone)).alias("offset_s")
     )
     hours = located.select(timeops.hour_end("datetime", F.col("offset_s")).alias("datetime"), "offset_s").distinct()
-    _publish(ledger.mark_modified(_ledger(spark, store, "hour"), hours, "hour", as_of), store.ledger("hour"))
+    _publish(ledger.mark_periods(_ledger(spark, store, "hour"), hours, as_of), store.ledger("hour"))
     write_measurements(fresh, store.facts())
     if recompute:
         recompute_store(spark, ctx, store, as_of)
@@ -129,15 +129,13 @@ def stream_hourly(stream: DataFrame, ctx: DataFrame, root: str, checkpoint: str,
 
 
 def stream_hourly_append(stream: DataFrame, ctx: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Hourly counts and averages for append outputs; rows later than `delay` are dropped.
-
-    The state key is the hour's own end, so hours of half-hour zones stay apart.
-    """
-    rows = rollups.with_hour(stream.withWatermark("datetime", delay), ctx)
-    return rows.groupBy(F.window("hour", "30 minutes").alias("w"), "sensors_id", "hour").agg(
+    """Hourly counts and averages for append outputs; hours older than `delay` behind the
+    newest are closed, and rows that arrive for them later are dropped."""
+    rows = rollups.with_hour(stream, ctx).withWatermark("hour", delay)
+    return rows.groupBy("hour", "sensors_id").agg(
         F.count("*").alias("value_count"), F.avg("value").alias("value_avg"), F.min("value").alias("value_min"),
         F.max("value").alias("value_max"),
-    ).drop("w")
+    )
 
 
 def stream_distinct(stream: DataFrame, delay: str = "1 day") -> DataFrame:
