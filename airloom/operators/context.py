@@ -61,33 +61,41 @@ def join_context(facts: DataFrame, ctx: DataFrame, *columns: str, where: Column
     return facts.join(F.broadcast(side) if _few_sensors(ctx) else side, "sensors_id")
 
 
-def _usual_zones(ctx: DataFrame) -> list[str]:
+def literal_zones(timezones: DataFrame, nodes: DataFrame) -> list[str]:
     """Zone names worth a branch of their own: all of a short zone table, else the ones
     most nodes have, at most `_MANY`."""
+    names = timezones.select("tzid").where(F.col("tzid").isNotNull()).distinct().limit(_FEW + 1)
+    zones = sorted(r[0] for r in names.collect())
+    if len(zones) > _FEW:
+        counts = nodes.groupBy("timezones_id").agg(F.count("*").alias("n")).join(timezones, "timezones_id")
+        zones = [r[0] for r in counts.orderBy(F.desc("n"), "tzid").limit(_MANY).select("tzid").collect()]
+    return zones
+
+
+def _usual_zones(ctx: DataFrame) -> list[str]:
     known = _KNOWN.get(ctx)
     if known is None:
         return []
     if "zones" not in known:
-        timezones = known["timezones"]
-        names = timezones.select("tzid").where(F.col("tzid").isNotNull()).distinct().limit(_FEW + 1)
-        zones = sorted(r[0] for r in names.collect())
-        if len(zones) > _FEW:
-            counts = known["nodes"].groupBy("timezones_id").agg(F.count("*").alias("n")).join(timezones, "timezones_id")
-            zones = [r[0] for r in counts.orderBy(F.desc("n"), "tzid").limit(_MANY).select("tzid").collect()]
-        known["zones"] = zones
+        known["zones"] = literal_zones(known["timezones"], known["nodes"])
     return known["zones"]
 
 
-def by_zone(ctx: DataFrame, convert: Callable[[str | Column], Column]) -> Column:
-    """`convert(zone)` for the zone in column `tzid`.
+def zone_branches(zones: list[str], convert: Callable[[str | Column], Column], column: str = "tzid") -> Column:
+    """`convert(zone)` for the zone in a column, with a literal branch for each listed one.
 
     A conversion parses its zone name for every row unless the name is a literal, which
-    costs more than the rest of a rollup's scan. Usual zones get a literal branch, all
-    others the general form, so the result is the same for any zone.
+    costs more than the rest of a rollup's scan. Zones not listed take the general form,
+    so the result is the same for any list.
     """
-    general = convert(F.col("tzid"))
     branches = None
-    for zone in _usual_zones(ctx):
-        test = F.col("tzid") == zone
+    for zone in zones:
+        test = F.col(column) == zone
         branches = F.when(test, convert(zone)) if branches is None else branches.when(test, convert(zone))
+    general = convert(F.col(column))
     return general if branches is None else branches.otherwise(general)
+
+
+def by_zone(ctx: DataFrame, convert: Callable[[str | Column], Column]) -> Column:
+    """`convert(zone)` for the context's zone in column `tzid`."""
+    return zone_branches(_usual_zones(ctx), convert)

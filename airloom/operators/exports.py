@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import numeric, timeops
+from airloom.operators.context import literal_zones, zone_branches
 from airloom.operators.intervals import max_in_ranges, overlap_marks
 from airloom.operators.upsert import upsert
 
@@ -47,7 +48,9 @@ def measurement_data_export(
         "sensor",
         "datetime",
         "tz",
-        timeops.iso_local("datetime", F.col("tz")).alias("datetime_str"),
+        zone_branches(literal_zones(timezones, sensor_nodes), lambda z: timeops.iso_local("datetime", z), "tz").alias(
+            "datetime_str"
+        ),
         "measurand",
         "units",
         "value",

@@ -361,8 +361,12 @@ def sensor_rollups_summary(lifetime: DataFrame, sensors: DataFrame, measurands:
 
 
 def analyses_summary(analyses: DataFrame) -> DataFrame:
-    """Per sensor: span, latest value and point, totals and extent."""
-    return analyses.groupBy("sensors_id").agg(
+    """Per sensor: span, latest value and point, totals and extent.
+
+    The point's coordinates are picked one by one: a struct would turn the hash
+    aggregation into a sorting one, and a sensor has one row per instant.
+    """
+    totals = analyses.groupBy("sensors_id").agg(
         F.min("datetime").alias("datetime_first"),
         F.max("datetime").alias("datetime_last"),
         F.max_by("value", "datetime").alias("last_value"),
@@ -372,8 +376,11 @@ def analyses_summary(analyses: DataFrame) -> DataFrame:
         F.min("lat").alias("miny"),
         F.max("lon").alias("maxx"),
         F.max("lat").alias("maxy"),
-        F.max_by(F.struct("lon", "lat"), "datetime").alias("last_point"),
+        F.max_by("lon", "datetime").alias("_lon"),
+        F.max_by("lat", "datetime").alias("_lat"),
     )
+    point = F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat"))
+    return totals.withColumn("last_point", point).drop("_lon", "_lat")
 
 
 def providers_stats(measurements: DataFrame, ctx: DataFrame, day: str | None = None) -> DataFrame:

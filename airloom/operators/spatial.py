@@ -87,12 +87,16 @@ def snap_rollup(
     ).withColumn("cell_size", F.lit(size))
 
 
+def _last_rows(measurements: DataFrame) -> DataFrame:
+    """Latest stamp and position per sensor (one row per instant, so columns agree)."""
+    return measurements.groupBy("sensors_id").agg(
+        F.max("datetime").alias("datetime"), F.max_by("lon", "datetime").alias("lon"), F.max_by("lat", "datetime").alias("lat")
+    )
+
+
 def snap_rollup_latest(measurements: DataFrame, ctx: DataFrame, size: float = 30.0) -> DataFrame:
     """The same over the latest row of each sensor."""
-    last = measurements.groupBy("sensors_id").agg(
-        F.max("datetime").alias("datetime"), F.max_by(F.struct("lon", "lat"), "datetime").alias("_p")
-    ).select("sensors_id", "datetime", "_p.lon", "_p.lat")
-    return snap_rollup(last, ctx, size)
+    return snap_rollup(_last_rows(measurements), ctx, size)
 
 
 def snap_rollup_merge(cells: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -123,7 +127,7 @@ def mobile_boxes(cells: DataFrame, expand: float = 20.0) -> DataFrame:
 
 def last_point(measurements: DataFrame, ctx: DataFrame) -> DataFrame:
     """Last known position of each node, over all its sensors."""
-    per_sensor = measurements.groupBy("sensors_id").agg(F.max(F.struct("datetime", "lon", "lat")).alias("_p"))
+    per_sensor = _last_rows(measurements).select("sensors_id", F.struct("datetime", "lon", "lat").alias("_p"))
     nodes = per_sensor.join(ctx.select("sensors_id", "sensor_nodes_id"), "sensors_id").groupBy("sensor_nodes_id").agg(F.max("_p").alias("_p"))
     return nodes.select("sensor_nodes_id", "_p.datetime", "_p.lon", "_p.lat")
 

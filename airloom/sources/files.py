@@ -41,19 +41,23 @@ def read_measurements(spark: SparkSession, path: str, start: str | None = None,
     return df
 
 
-def write_measurements(df: DataFrame, path: str, mode: str = "append", files_per_month: int = 1, sort: Sequence[str] = ("sensors_id", "datetime")) -> None:
-    """Write to month folders, rows sorted by sensor and time for parquet min/max skipping.
+def write_measurements(df: DataFrame, path: str, mode: str = "append", sort: Sequence[str] = ("sensors_id", "datetime")) -> None:
+    """Write to month folders, ranges of (month, sensor, time) per file.
 
-    A month is spread over `files_per_month` tasks by a hash of the row's key, so no
-    single task writes a whole month of a large table.
+    Range partitioning evens the files out however uneven months or sensors are, and
+    narrow ranges per file let parquet skip by sensor and time. It samples its input, so
+    `df` is read twice.
     """
-    rows = with_month(df)
-    slot = F.pmod(F.xxhash64(*sort), F.lit(files_per_month))
-    rows.withColumn("_slot", slot).repartition("ym", "_slot").drop("_slot").sortWithinPartitions("ym", *sort).write.mode(
-        mode
+    with_month(df).repartitionByRange("ym", *sort).sortWithinPartitions("ym", *sort).write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic"
     ).partitionBy("ym").parquet(path)
 
 
+def _evened(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows brought together by folder, large folders split and small ones joined."""
+    return df.hint("rebalance", *columns)
+
+
 def load_direct(df: DataFrame, path: str) -> None:
     write_measurements(df, path)
 
@@ -85,8 +89,9 @@ def upsert_months(spark: SparkSession, incoming: DataFrame, path: str, keys: Seq
     existing = spark.read.parquet(path).join(months, "ym", "left_semi")
     merged = upsert(existing, staged, list(keys), merge=merge)
     stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex}"
-    write_measurements(merged.drop("ym"), stage, sort=list(keys))
-    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+    merged.write.parquet(stage)
+    # overwriting is per folder: months without a row here stay
+    write_measurements(spark.read.parquet(stage).drop("ym"), path, mode="overwrite", sort=list(keys))
 
 
 # ---- delimited files ----------------------------------------------------------------------------------
@@ -170,14 +175,14 @@ def dump_by_period(measurements: DataFrame, sensor_map: DataFrame, path: str, st
     done = _written(rows.sparkSession, path, "period")
     if done:
         rows = rows.where(~F.col("period").isin(*done))
-    rows.repartition("period", "sensors_id").write.mode("append").partitionBy("period").option("sep", "|").option(
+    _evened(rows, "period").write.mode("append").partitionBy("period").option("sep", "|").option(
         "compression", "gzip"
     ).csv(path)
 
 
 def dump_by_day(df: DataFrame, path: str, column: str = "datetime") -> None:
     """One folder per UTC day [d, d+1)."""
-    df.withColumn("day", F.to_date(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    _evened(df.withColumn("day", F.to_date(column)), "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "day"
     ).parquet(path)
 
@@ -195,8 +200,9 @@ def restore(spark: SparkSession, path: str, start: str | None = None, end: str |
 def write_export(export_rows: DataFrame, path: str) -> None:
     """Export files per provider, country, node and local day."""
     day = F.to_date(timeops.shift(timeops.local_time("datetime", F.col("tz")), -1))
-    export_rows.withColumn("day", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "provider", "country", "sensor_nodes_id", "day"
+    keys = ("provider", "country", "sensor_nodes_id", "day")
+    _evened(export_rows.withColumn("day", day), *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *keys
     ).option("header", True).option("compression", "gzip").csv(path)
 
 

@@ -61,6 +61,18 @@ def _ledger(spark: SparkSession, store: Store, level: str) -> DataFrame:
     return spark.createDataFrame([], ledger.ledger_schema(level))
 
 
+def _calculated(spark: SparkSession, ctx: DataFrame, store: Store, stale: DataFrame, level: str, as_of: str) -> DataFrame:
+    """Ledger entries of recomputed periods, counted from the rows just written."""
+    path, now = store.data(level), timeops.instant(as_of)
+    rows = spark.read.parquet(path).where(F.col("calculated_on") == now)
+    counts = ledger.period_counts(rows, ctx, stale, level)
+    return stale.select(*ledger.KEYS).join(counts, ledger.KEYS, "left").select(
+        *ledger.KEYS, now.alias("calculated_on"), F.lit(1).alias("calculated_count"),
+        F.coalesce("sensor_nodes_count", F.lit(0)).alias("sensor_nodes_count"),
+        F.coalesce("sensors_count", F.lit(0)).alias("sensors_count"), "measurements_count",
+    )
+
+
 def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: str) -> None:
     """Bring hour, day and year data up to date, each level touching only stale periods."""
     parents = None
@@ -81,9 +93,7 @@ def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: st
             rows = roll(spark.read.parquet(store.data("hour")).drop("ym"), ctx, periods=stale)
         rows = rows.withColumn("calculated_on", timeops.instant(as_of))
         upsert_months(spark, rows, store.data(level), ["sensors_id", "datetime"])
-        done = stale.select(
-            *ledger.KEYS, timeops.instant(as_of).alias("calculated_on"), F.lit(1).alias("calculated_count"),
-        )
+        done = _calculated(spark, ctx, store, stale, level, as_of)
         marked = ledger.upsert(book, done, ledger.KEYS, merge={"calculated_count": F.col("old.calculated_count") + 1})
         _publish(marked, store.ledger(level))
         # stale periods of the published ledger are those calculated just now

@@ -178,6 +178,9 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows_of(day, *CORE) == rows_of(f.daily, *CORE)
     assert rows_of(spark.read.parquet(store.data("year")), *CORE) == rows_of(rollups.annual_rollup(f.hourly, f.ctx), *CORE)
     assert spark.read.parquet(store.facts()).count() == f.measurements.count()
+    book = arrivals._read(spark, store.ledger("hour"))
+    assert ledger.stale_periods(book, "hour", None, upper="9999-01-01", as_of="2024-04-01").count() == 0
+    assert book.agg(F.sum("measurements_count")).first()[0] == f.measurements.join(f.ctx, "sensors_id").count()
 
 
 def test_append_stream_dedupe_and_state(spark, tmp_path):
