@@ -40,6 +40,12 @@ def station_context(
     return ctx
 
 
+def broadcast_if_few(side: DataFrame, counted: DataFrame, rows: int = 100_000) -> DataFrame:
+    """`side` as a broadcast when `counted`, which has at least as many rows, stays within
+    the bound; else as it is."""
+    return F.broadcast(side) if counted.limit(rows + 1).count() <= rows else side
+
+
 def _few_sensors(ctx: DataFrame) -> bool:
     """Does the sensor table stay within the broadcast bound? Counted once per context."""
     known = _KNOWN.get(ctx)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import numeric, timeops
-from airloom.operators.context import literal_zones, zone_branches
+from airloom.operators.context import broadcast_if_few, literal_zones, zone_branches
 from airloom.operators.intervals import max_in_ranges, overlap_marks
 from airloom.operators.upsert import upsert
 
@@ -38,7 +38,8 @@ def measurement_data_export(
         .join(nodes, "sensor_nodes_id")
     )
     mobile = F.col("ismobile")
-    return measurements.select("sensors_id", "datetime", "value", "lon", "lat").join(stations, "sensors_id").select(
+    facts = measurements.select("sensors_id", "datetime", "value", "lon", "lat")
+    return facts.join(broadcast_if_few(stations, sensors), "sensors_id").select(
         "sensors_id",
         "sensor_nodes_id",
         F.concat("site_name", F.lit("-"), F.col("sensor_systems_id").cast("string")).alias("location"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import textops, timeops
+from airloom.operators.context import broadcast_if_few
 from airloom.operators.ranking import spread_row_number
 from airloom.operators.upsert import absent_rows, changed, insert_absent, one_per_key
 from airloom.session import cut_lineage
@@ -47,7 +48,7 @@ def ingest_format(facts: DataFrame, sensors: DataFrame, sensor_systems: DataFram
     micros = F.date_format("datetime", "SSSSSS")
     fraction = F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), F.regexp_replace(micros, "0+$", "")))
     stamp = F.concat(F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
-    return facts.join(stations, "sensors_id").select("id", "ingest_id", "value", stamp.alias("datetime"), "lon", "lat")
+    return facts.join(broadcast_if_few(stations, sensors), "sensors_id").select("id", "ingest_id", "value", stamp.alias("datetime"), "lon", "lat")
 
 
 def assign_ids(rows: DataFrame, existing: DataFrame, id_col: str, order: str) -> DataFrame:
@@ -503,9 +504,8 @@ def map_audit(rows: DataFrame, nodes: DataFrame, sensors: DataFrame) -> tuple[Da
     imported = sensors.groupBy("sensors_id").agg(F.count("*").alias("n")).agg(
         F.count("*").alias("imported_sensors"), F.coalesce(F.sum("n"), F.lit(0)).alias("records")
     )
-    mapped = sensors.select("old_sensors_id").distinct().agg(F.count("*").alias("mapped_sensors"))
-    one = F.lit(1).alias("_one")
-    counts = imported.select("*", one).join(mapped.select("*", one), "_one").drop("_one")
+    mapped = sensors.select("old_sensors_id").distinct().agg(F.count("*")).scalar()
+    counts = imported.select("*", mapped.alias("mapped_sensors"))
     return unmapped, counts.withColumn("diff", F.col("mapped_sensors") - F.col("imported_sensors"))
 
 

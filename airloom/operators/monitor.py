@@ -229,8 +229,8 @@ def timing_summary(timings: DataFrame) -> DataFrame:
         F.avg("elapsed").alias("avg"), F.stddev("elapsed").alias("sd"), F.min("elapsed").alias("min"), F.max("elapsed").alias("max"),
     )
     levels = numeric.exact_percentiles(timings, [], "elapsed", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95})
-    one = F.lit(1).alias("_one")
-    return plain.select("*", one).join(levels.select("*", one), "_one", "left").drop("_one")
+    quarters = levels.select(F.struct(*levels.columns)).scalar()
+    return plain.select("*", quarters.alias("_q")).select(*plain.columns, "_q.*")
 
 
 # ---- request log -------------------------------------------------------------------------------------

@@ -73,6 +73,9 @@ def test_text_and_numbers(spark):
     parts = spark.range(1).select(textops.split_ingest_id(F.lit("a-b-c-d")).alias("p")).first().p
     assert tuple(parts) == ("a", "b-c", "d")
     assert tuple(spark.range(1).select(textops.split_ingest_id(F.lit("a-b")).alias("p")).first().p) == ("a", "N/A", "b")
+    cells = textops.array_to_json_elements(F.array(F.lit("a"), F.lit('b"c'), F.lit(None).cast("string")))
+    assert one(spark, cells) == ['"a"', '"b\\"c"', "null"]
+    assert one(spark, textops.json_elements(F.lit('[1, "x", {"k": null}]'))) == ["1", '"x"', '{"k":null}']
     january = numeric.expected_hours(F.col("a"), F.col("b"), F.lit("month"), F.lit("01"))
     assert one(spark, january, a="2022-01-01 00:00:00", b="2024-01-01 00:00:00") == 2 * 31 * 24
     assert one(spark, numeric.expected_hours(F.col("a"), F.col("b"), F.lit("day"), F.lit("1")), a="2024-01-01", b="2024-01-15") == 48
