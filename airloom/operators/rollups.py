@@ -26,8 +26,7 @@ def _weighted(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     An interpolated percentile lies between two ranks: the row of rank r has the weight
     max(0, 1 - |position - r|), so each percentile is a sum. The sorted window spills
     when a group is long and no list of values is built; computing the shares ahead of
-    the grouping keeps the generated aggregation small, and the whole is some three
-    times as fast as `percentile` on groups of a few to some thousand rows.
+    the grouping keeps the generated aggregation small.
     """
     group = Window.partitionBy(*keys)
     ranked = rows.withColumn(
