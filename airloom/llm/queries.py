@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import bpe, huffman
+from airloom.llm import bpe, chat, ctph, decontaminate, huffman, langid, simhash, warc
 from airloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +30,37 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op2_chat_format", chat.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query("op3_simhash_groups")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_piecewise_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query("op6_warc_archives", warc.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(table(spark, sf_dir, "pages"))
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return huffman.write_and_read(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination", decontaminate.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
