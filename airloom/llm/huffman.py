@@ -39,6 +39,8 @@ from airloom.llm.shared import cut, portions, shared_folder, stored
 MAGIC = b"HUF1"
 #: Ids in a block, blocks decoded in step, longest code word (more for larger vocabularies).
 BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 4096, 512, 16
+#: Ids whose counts share a row.
+PAGE = 64
 #: Memory bound of one worker: words and pieces remembered.
 KEPT_WORDS, KEPT_PIECES = 300_000, 500_000
 
@@ -214,7 +216,7 @@ STAGED = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.uint32()))])
 
 
 def stage_ids(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int, key: str, text: str) -> DataFrame:
-    """One row for each key range: part, file, n_ids, and the ids seen with their counts."""
+    """One row for each key range: part, file, n_ids, and the counts of ids by pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(path, pattern), np.array([end_id], "<u4").tobytes()
@@ -238,15 +240,17 @@ def stage_ids(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int
         if writer is not None:
             writer.close()
             sink.close()
-            ids = np.flatnonzero(counts)
+            paged = np.pad(counts, (0, -len(counts) % PAGE)).reshape(-1, PAGE)
+            pages = np.flatnonzero(paged.any(1))
+            held = paged[pages].tolist()
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int32()), "file": [name], "n_ids": [total]}
-                | {"ids": pa.array([ids], pa.list_(pa.int32())), "counts": pa.array([counts[ids]], pa.list_(pa.int64()))}
+                | {"pages": pa.array([pages], pa.list_(pa.int32())), "counts": pa.array([held], pa.list_(pa.list_(pa.int64())))}
             )
 
     placed = docs.select(F.col(key).cast("long"), F.col(text)).repartitionByRange(key, text)
-    schema = "part int, file string, n_ids long, ids array<int>, counts array<long>"
+    schema = "part int, file string, n_ids long, pages array<int>, counts array<array<long>>"
     return placed.sortWithinPartitions(key, text).mapInArrow(run, schema)
 
 
@@ -354,10 +358,11 @@ def write_and_read(
     fs, base = _open(folder)
     fs.create_dir(base, recursive=True)
     staged = stored(stage_ids(docs, folder, path, pattern, end_id, key, text))
-    seen = staged.select(F.explode(F.arrays_zip("ids", "counts")).alias("x")).groupBy(F.col("x.ids").alias("id"))
-    counts = seen.agg(F.sum("x.counts").alias("n")).collect()  # a row for each id of the vocabulary
-    total = np.zeros(1 + max((r.id for r in counts), default=0), np.int64)
-    total[[r.id for r in counts]] = [r.n for r in counts]
+    seen = staged.select(F.explode(F.arrays_zip("pages", "counts")).alias("x")).select("x.*").groupBy("pages")
+    counts = seen.agg(*[F.sum(F.col("counts")[k]).alias(f"n{k}") for k in range(PAGE)]).collect()  # as many as the vocabulary
+    total = np.zeros(PAGE * (1 + max((r.pages for r in counts), default=0)), np.int64)
+    for row in counts:
+        total[row.pages * PAGE : (row.pages + 1) * PAGE] = row[1:]
     lengths = code_lengths(total)
     # one row for each file from here on
     n = max(1, staged.count())
