@@ -129,12 +129,12 @@ WITH items AS (
 ), item_places AS (
   SELECT item_id, w, unnest(range(1, len(w) + 1)) AS i FROM items WHERE len(w) >= 5
 ), item_seeds AS (
-  SELECT item_id, i, m, list_transform(range(0, length(m)), k -> CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END) AS seed
+  SELECT item_id, i, m, [CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END for k in range(0, length(m))] AS seed
   FROM item_places, masks WHERE i + length(m) - 1 <= len(w)
 ), doc_places AS (
   SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs
 ), doc_seeds AS (
-  SELECT doc_id, i, m, list_transform(range(0, length(m)), k -> CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END) AS seed
+  SELECT doc_id, i, m, [CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END for k in range(0, length(m))] AS seed
   FROM doc_places, masks WHERE i + length(m) - 1 <= len(w)
 ), hits AS (
   SELECT DISTINCT d.doc_id, s.item_id, d.i - s.i AS diagonal FROM doc_seeds d JOIN item_seeds s USING (m, seed)

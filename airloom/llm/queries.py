@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airloom.llm import bpe, chat, ctph, decontaminate, huffman, langid, simhash, warc
+from airloom.llm import bpe, chat, ctph, decontaminate, huffman, langid, secret_scan, simhash, surrogates, warc
 from airloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,11 +46,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = ~langid.held_out(F.col("key"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), learn=learn)
+
+
 @query("op6_warc_archives", warc.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.write_and_read(table(spark, sf_dir, "pages"))
 
 
+@query("op7_surrogates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = surrogates.replace(table(spark, sf_dir, "documents"), surrogates.KEY, count="n_replaced")
+    return made.select("doc_id", "text", "n_replaced")
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")

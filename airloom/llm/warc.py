@@ -220,8 +220,9 @@ WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages
 ), f AS (SELECT h, n, min(page_id) AS first FROM p GROUP BY h, n)
 SELECT page_id, n AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)
+    for i in range(0, 32)], '') AS payload_digest,
   CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p JOIN f USING (h, n)

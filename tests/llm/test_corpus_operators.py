@@ -67,7 +67,7 @@ def test_archives_round_trip(spark, tmp_path):
         assert r.payload_bytes == len(text[r.page_id])
         assert base64.b32decode(r.payload_digest) == hashlib.sha1(text[r.page_id]).digest()
     parts = sorted((r.chunk_no, bytes(r.data)) for r in back if r.page_id is None)
-    assert b"".join(p for _, p in parts) == big.encode() and len(parts) == 8
+    assert b"".join(p for _, p in parts) == big.encode() and len(parts) == 9
     raw = b"".join(gzip.open(a.file).read() for a in archives)
     assert raw.count(b"WARC/1.1\r\nWARC-Type: ") == len(rows) and b"http://b/%20x%0D%0A" in raw
     same = {r.page_id: r.record_type for r in warc.write_and_read(pages).collect()}

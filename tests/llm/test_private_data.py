@@ -1,0 +1,153 @@
+"""Secrets, surrogates and the pipeline."""
+
+import re
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from airloom.llm import langid, secret_scan, surrogates
+from airloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_op5_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {(r.doc_id, r.word_no) for r in QUERIES["op5_secret_scan"](spark, SF).collect()}
+    planted = re.compile(r"AKIA[0-9A-Z]{16}|password=[0-9a-f]{18}|\"[0-9a-f]{40}\"")
+    want, wide = set(), set()
+    for row in docs.collect():
+        for i, word in enumerate(re.split(r"[ \t\n\x0b\f\r]+", row.text)):
+            if planted.search(word):
+                want.add((row.doc_id, i))
+    held = {r.doc_id for r in docs.filter(langid.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    wide = {(r.key, r.word_no) for r in secret_scan.candidates(docs).collect()}
+    assert want and want <= wide and len(wide) > len(want)
+    kept, true = {x for x in rows if x[0] in held}, {x for x in want if x[0] in held}
+    assert len(kept & true) >= 0.95 * len(true) and len(kept - true) <= 0.05 * len(kept)
+
+
+def test_labelled_findings_remove_false_positives(spark):
+    docs = [(i, f"id sha{i % 7} value 4f{i:04d}9a8b7c6d5e{i:04d} in log", "a/log.txt") for i in range(60)]
+    docs += [(100 + i, f'set token = "4f{i:04d}9a8b7c6d5e{i:04d}" now', "a/code.py") for i in range(60)]
+    docs += [(None, None, None), (300, "", "x"), (301, "password=abc123def456ghi789", None)]
+    docs = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, source string, length int")
+    labels = [(i, 3, 0) for i in range(40)] + [(100 + i, 3, 1) for i in range(40)]
+    labels = spark.createDataFrame(labels, "key long, word_no long, label int")
+    kept = {r.doc_id for r in secret_scan.scan(docs, labels).collect()}
+    assert {100 + i for i in range(40, 60)} <= kept and not kept & set(range(60))
+    only = secret_scan.scan(docs, labels.filter("label = 1"))
+    assert only.count() == secret_scan.candidates(docs).count() == 121
+    assert secret_scan.scan(docs, labels.limit(0)).count() == 121
+    assert secret_scan.scan(docs.limit(0), labels).count() == 0
+
+
+PLAIN = {
+    "email": re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}"),
+    "ip": re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
+    "card": re.compile(r"(?<![\w.+-])\d{16}(?!\w)"),
+    "phone": re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}"),
+}
+
+
+def test_op7_replaces_every_entity_one_to_one(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = {r.doc_id: r for r in QUERIES["op7_surrogates"](spark, SF).collect()}
+    assert sorted(rows) == sorted(docs)
+    for name, pattern in PLAIN.items():
+        there, back = {}, {}
+        for key, text in docs.items():
+            old, new = pattern.findall(text), pattern.findall(rows[key].text)
+            assert len(old) == len(new)
+            for a, b in zip(old, new):
+                assert there.setdefault(a, b) == b and back.setdefault(b, a) == a
+        assert there and not there.keys() & back.keys()
+    for key, text in docs.items():
+        found = sum(len(p.findall(text)) for p in PLAIN.values())
+        assert rows[key].n_replaced == found
+        if not found:
+            assert rows[key].text == text
+
+
+def luhn(number: str) -> bool:
+    digits = [int(c) for c in reversed(number)]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_surrogates_keep_type_gender_script_and_format(spark):
+    rows = [
+        (1, "Mr. John Smith met Frau Anna Müller. Mr. SMITH: John.Smith@mail.example.com, +1 (956) 555-7594, +1 956-555-7594"),
+        (2, "cards 4111 1111 1111 1111, 4111-1111-1111-1111, 4111111111111112; ip 1.2.3.4. ssn 123-45-6789 г-жа Анна Иванова"),
+        (3, None), (4, ""), (5, "1.2.3 v4.5.6.7.8 2024-01-01 12345 Mr and Dr."), (None, "write a@b.co"), (4, "Mr. John Smith"),
+        (6, "Mr. John Smith"), (6, "Mr. John Smith"),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, surrogate string")
+    out = surrogates.replace(docs, "k", count="n")
+    assert out.columns == [*docs.columns, "n"]
+    made = out.collect()
+    text = {(r.doc_id, i): r.text for i, r in enumerate(sorted(made, key=lambda r: (r.doc_id or 0, r.text or "")))}
+    assert len(made) == len(rows)
+    one = next(t for (k, _), t in text.items() if k == 1)
+    m = re.fullmatch(
+        r"Mr\. (\w+) (\w+) met Frau (\w+) (\w+)\. Mr\. (\w+): ([a-z.0-9]+)@(mail-\w+)\.example, \+1 \((\d{3})\) (\d{3})-(\d{4}), \+1 (\d{3})-(\d{3})-(\d{4})",
+        one,
+    )
+    assert m and m[1] in surrogates.GIVEN["latin"]["m"] and m[3] in surrogates.GIVEN["latin"]["f"]
+    assert m[5] == m[2].upper() and m.groups()[7:10] == m.groups()[10:13] and "John" not in one
+    two = next(t for (k, _), t in text.items() if k == 2)
+    m = re.fullmatch(r"cards (\d{4}) (\d{4}) (\d{4}) (\d{4}), ([\d-]{19}), (\d{16}); ip ([\d.]+)\. ssn (\d{3}-\d{2}-\d{4}) г-жа (\w+) (\w+)", two)
+    card = "".join(m.groups()[:4])
+    assert luhn(card) and card[0] == "4" and m[5].replace("-", "") == card and not luhn(m[6])
+    assert m[9] in surrogates.GIVEN["cyrillic"]["f"] and m[7] != "1.2.3.4"
+    names = {r.text for r in made if r.doc_id in (4, 6) and r.text}
+    assert len(names) == 1
+    assert next(r.text for r in made if r.doc_id == 5) == rows[4][1] and "a@b.co" not in {r.text for r in made}
+    assert surrogates.replace(docs.limit(0), "k").count() == 0
+
+
+def test_colliding_draws_are_resolved(spark):
+    # 3,000 given names over lists of twelve: most first draws collide
+    people = spark.createDataFrame([("given", f"latin:m:Name{i}") for i in range(3000)], "kind string, canon string")
+    made = surrogates.assign(people, "k").collect()
+    assert len(made) == len({r.surrogate for r in made}) == 3000
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    sf, docs, out = "/root/testdata/sf0.001", None, []
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("n_chars", F.col("n_chars"))
+    extra = spark.createDataFrame([(-1, None, "en", "s", 0), (-2, "12 34", "en", "s", 5)], docs.schema)
+    docs = docs.union(extra)
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, sf)
+        out.append((name, docs.collect(), made.collect(), made.columns, docs.columns))
+        docs = corpus_pipeline.stored(made)
+    return out
+
+
+def test_pipeline_stages_take_effect(stages, spark):
+    for _, _, _, columns, given in stages[:-1]:
+        assert columns == given
+    _, before, after, *_ = stages[0]
+    assert {r.doc_id for r in before} - {r.doc_id for r in after} == {-1, -2}
+    _, before, after, *_ = stages[1]
+    want = brute.groups([(r.doc_id, r.text) for r in before])
+    assert {r.doc_id for r in after} == set(want.values()) and len(after) == len(set(want.values()))
+    _, before, after, *_ = stages[2]
+    items = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    leaked = {r.doc_id for r in before if any(t in r.text for t in items)}
+    assert leaked and {r.doc_id for r in before} - {r.doc_id for r in after} == leaked
+    _, before, after, *_ = stages[3]
+    new = {r.doc_id: r for r in after}
+    for row in before:
+        found = any(p.search(row.text) for p in PLAIN.values())
+        assert (new[row.doc_id].text != row.text) == found and new[row.doc_id].n_chars == len(new[row.doc_id].text)
+    _, before, after, *_ = stages[4]
+    assert len(after) == len(before) and all(len(r.ids) == r.n_tokens for r in after)
+
+
+def test_pipeline_query(spark, stages):
+    made = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {r.doc_id: r.ids for r in made.collect()} == {r.doc_id: r.ids for r in stages[-1][2]}
