@@ -17,29 +17,42 @@ _FEW, _MANY = 16, 128
 BROADCAST_SENSORS = 500_000
 
 
-def station_context(
-    sensors: DataFrame, sensor_systems: DataFrame, sensor_nodes: DataFrame, timezones: DataFrame
-) -> DataFrame:
-    """One row per sensor with its measurand, node, zone and visibility.
+def station_chain(sensors: DataFrame, sensor_systems: DataFrame, sensor_nodes: DataFrame) -> DataFrame:
+    """One row per sensor with its measurand, node and visibility.
 
-    Sensors whose node has no zone are left out, as in every rollup.
+    Nodes without a zone are kept: what does not ask for local time takes this form.
     """
-    nodes = sensor_nodes.join(timezones.select("timezones_id", "tzid"), "timezones_id").select(
-        "sensor_nodes_id",
-        "timezones_id",
-        "tzid",
-        "providers_id",
-        "countries_id",
-        F.col("is_public").alias("node_is_public"),
+    nodes = sensor_nodes.select(
+        "sensor_nodes_id", "timezones_id", "providers_id", "countries_id", F.col("is_public").alias("node_is_public")
     )
     systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id").join(nodes, "sensor_nodes_id")
-    ctx = sensors.select(
+    chain = sensors.select(
         "sensors_id", "sensor_systems_id", "measurands_id", F.col("is_public").alias("sensor_is_public")
     ).join(systems, "sensor_systems_id")
+    _KNOWN[chain] = {"sensors": sensors}
+    return chain
+
+
+def station_context(
+    sensors: DataFrame, sensor_systems: DataFrame, sensor_nodes: DataFrame, timezones: DataFrame
+) -> DataFrame:
+    """The station chain with the zone of each node.
+
+    Sensors whose node has no zone are left out, as in every rollup.
+    """
+    chain = station_chain(sensors, sensor_systems, sensor_nodes)
+    ctx = chain.join(timezones.select("timezones_id", "tzid"), "timezones_id")
     _KNOWN[ctx] = {"sensors": sensors, "nodes": sensor_nodes, "timezones": timezones}
     return ctx
 
 
+def recount(ctx: DataFrame) -> None:
+    """Forget what was counted for a context, so that one kept over time (a stream's) is
+    judged by the tables as they are now."""
+    for name in ("few", "zones"):
+        _KNOWN.get(ctx, {}).pop(name, None)
+
+
 def broadcast_if_few(side: DataFrame, counted: DataFrame, rows: int = 100_000) -> DataFrame:
     """`side` as a broadcast when `counted`, which has at least as many rows, stays within
     the bound; else as it is."""
@@ -56,15 +69,17 @@ def _few_sensors(ctx: DataFrame) -> bool:
     return known["few"]
 
 
-def join_context(facts: DataFrame, ctx: DataFrame, *columns: str, where: Column | None = None) -> DataFrame:
-    """Facts of known sensors with the named context columns.
+def join_context(
+    facts: DataFrame, ctx: DataFrame, *columns: str, where: Column | None = None, how: str = "inner"
+) -> DataFrame:
+    """Facts of known sensors (with `how` left: of all) with the named context columns.
 
     Below the counted bound the context is broadcast and the facts are not shuffled;
     above it the join shuffles both sides, and adaptive execution splits hot sensors.
     """
     side = ctx if where is None else ctx.where(where)
     side = side.select("sensors_id", *columns)
-    return facts.join(F.broadcast(side) if _few_sensors(ctx) else side, "sensors_id")
+    return facts.join(F.broadcast(side) if _few_sensors(ctx) else side, "sensors_id", how)
 
 
 def literal_zones(timezones: DataFrame, nodes: DataFrame) -> list[str]:
@@ -80,7 +95,7 @@ def literal_zones(timezones: DataFrame, nodes: DataFrame) -> list[str]:
 
 def _usual_zones(ctx: DataFrame) -> list[str]:
     known = _KNOWN.get(ctx)
-    if known is None:
+    if known is None or "timezones" not in known:
         return []
     if "zones" not in known:
         known["zones"] = literal_zones(known["timezones"], known["nodes"])

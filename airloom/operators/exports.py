@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airloom.functions import numeric, timeops
+from airloom.functions import timeops
 from airloom.operators.context import broadcast_if_few, literal_zones, zone_branches
 from airloom.operators.intervals import max_in_ranges, overlap_marks
 from airloom.operators.upsert import upsert
+from airloom.session import cut_lineage
 
 KEYS = ["sensor_nodes_id", "day"]
 
@@ -109,7 +110,7 @@ def export_day_counts(export_rows: DataFrame) -> DataFrame:
 
 def reset_export_logs(export_rows: DataFrame, existing: DataFrame | None = None, as_of: str | None = None):
     """(updated log, summary per node). Rows already logged keep their counts, become
-    modified at `as_of` and lose their queued and exported times."""
+    modified at `as_of` and lose their queued and exported times; new ones begin at `as_of`."""
     counts = export_day_counts(export_rows)
     if existing is None:
         kept, returned = counts, counts
@@ -121,7 +122,7 @@ def reset_export_logs(export_rows: DataFrame, existing: DataFrame | None = None,
                 "records": "keep", "measurands": "keep", "modified_on": timeops.instant(as_of),
                 "exported_on": null, "queued_on": null,
             },
-            insert={"added_on": timeops.instant(as_of)} if "added_on" in existing.columns else None,
+            insert={c: timeops.instant(as_of) for c in ("added_on", "modified_on") if c in existing.columns},
         )
         returned = kept.join(counts.select(*KEYS), KEYS, "left_semi")
     summary = returned.groupBy("sensor_nodes_id").agg(
@@ -133,7 +134,7 @@ def reset_export_logs(export_rows: DataFrame, existing: DataFrame | None = None,
 
 def modified_location_days(logs: DataFrame, zones: DataFrame, as_of: str) -> DataFrame:
     """Log rows changed since queued, with the seconds since the end of the day by the
-    node's clock (`zones`: sensor_nodes_id, tzid)."""
+    node's clock (`zones`: sensor_nodes_id, tzid; a NULL zone leaves them NULL)."""
     rows = logs.where(F.col("queued_on").isNull() | (F.col("modified_on") > F.col("queued_on")))
     local_now = timeops.local_time(timeops.instant(as_of), F.col("tzid"))
     wait = F.unix_seconds(F.date_add("day", 1).cast("timestamp")) - F.unix_seconds(local_now)
@@ -196,6 +197,14 @@ def outdated_location_days(
     ).orderBy("day", "sensor_nodes_id").limit(limit)
 
 
+def take_outdated(
+    logs: DataFrame, zones: DataFrame, version: int = 0, limit: int = 100, as_of: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(outdated node-days handed out, the log with them marked as queued)."""
+    rows = cut_lineage(outdated_location_days(logs, zones, version, limit, as_of))
+    return rows, mark_pending(logs, rows, as_of)
+
+
 def mark_pending(logs: DataFrame, pending: DataFrame, as_of: str) -> DataFrame:
     return upsert(logs, pending.select(*KEYS), KEYS, merge={"queued_on": timeops.instant(as_of)})
 
@@ -242,19 +251,23 @@ def open_data_export_status(logs: DataFrame) -> DataFrame:
     )
 
 
-def exports_per_day(logs: DataFrame) -> DataFrame:
-    """Per export date: count, and first, median and last data day."""
-    rows = logs.select(F.to_date("exported_on").alias("exported_day"), "day", F.unix_date("day").alias("n_day"))
-    plain = rows.groupBy("exported_day").agg(
-        F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day")
+def exports_per_day(logs: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+    """Per export date of the last days: count, first, median and last data day, first and last export."""
+    since = F.date_sub(F.to_date(timeops.instant(as_of)), days)
+    rows = logs.where(F.col("exported_on") > since).groupBy(F.to_date("exported_on").alias("exported_day"), "day").agg(
+        F.count("*").alias("_n"), F.min("exported_on").alias("_first"), F.max("exported_on").alias("_last")
     )
-    median = numeric.exact_percentiles(rows.where(F.col("exported_day").isNotNull()), ["exported_day"], "n_day", {"m": 0.5})
-    unset = numeric.exact_percentiles(rows.where(F.col("exported_day").isNull()), [], "n_day", {"m": 0.5})
-    both = median.unionByName(unset.withColumn("exported_day", F.lit(None).cast("date")))
-    middle = both.select(
-        F.col("exported_day").alias("_d"), F.date_from_unix_date(F.floor("m").cast("int")).alias("median_date")
+    # at most a row for each pair of days is left, so the median walks over counts
+    order = Window.partitionBy("exported_day").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_upto", F.sum("_n").over(order)).withColumn("_all", F.sum("_n").over(Window.partitionBy("exported_day")))
+    number = F.unix_date("day")
+    low = F.min(F.when(F.col("_upto") >= F.floor((F.col("_all") + 1) / 2), number))
+    high = F.min(F.when(F.col("_upto") >= F.floor((F.col("_all") + 2) / 2), number))
+    return rows.groupBy("exported_day").agg(
+        F.sum("_n").alias("n"), F.min("day").alias("first_day"),
+        F.date_from_unix_date(F.floor((low + high) / 2).cast("int")).alias("median_date"), F.max("day").alias("last_day"),
+        F.min("_first").alias("first_exported"), F.max("_last").alias("last_exported"),
     )
-    return plain.join(middle, F.col("exported_day").eqNullSafe(F.col("_d"))).drop("_d")
 
 
 def fill_ranges(logged: DataFrame, start: str, end: str, step_s: int) -> DataFrame:

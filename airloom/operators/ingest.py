@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import textops, timeops
-from airloom.operators.context import broadcast_if_few
+from airloom.operators.context import broadcast_if_few, join_context
 from airloom.operators.ranking import spread_row_number
 from airloom.operators.upsert import absent_rows, changed, insert_absent, one_per_key
 from airloom.session import cut_lineage
@@ -512,33 +513,93 @@ def map_audit(rows: DataFrame, nodes: DataFrame, sensors: DataFrame) -> tuple[Da
 # ---- merging and removing sensors ------------------------------------------------------------------
 
 
-def merge_sensors(
-    measurements: DataFrame, pairs: DataFrame, ctx: DataFrame, as_of: str
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Merge sensors in bulk; `pairs`: bad_sensors_id, good_sensors_id, a bad one once.
+class Merged(NamedTuple):
+    """What a merge gives: see `merge_sensors`."""
+
+    measurements: DataFrame
+    archive: DataFrame
+    touched: DataFrame
+    refused: DataFrame
+    allowed: DataFrame
+
+
+def check_merges(measurements: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(allowed pairs, refused pairs with reason and number of clashing measurements).
+
+    Refused are pairs with a missing id, of one sensor with itself, of a bad sensor with
+    several good ones, and into a sensor that is merged away itself; and pairs of whose
+    measurements one differs in value from the target's, or from that of another source of
+    the same target, at one instant. Repeated pairs count once.
+    """
+    names = ["bad_sensors_id", "good_sensors_id"]
+    bad, good = map(F.col, names)
+    given = pairs.select(*names).distinct()
+    plain = F.when(bad.isNull() | good.isNull(), "missing id").when(bad == good, "same sensor")
+    given = given.withColumn("reason", plain)
+    sound = given.where(F.col("reason").isNull()).select(*names)
+    targets = sound.groupBy(bad).agg(F.count("*").alias("_targets"))
+    leaving = sound.select(bad.alias("good_sensors_id")).distinct().withColumn("_leaves", F.lit(True))
+    judged = sound.join(targets, "bad_sensors_id").join(leaving, "good_sensors_id", "left").select(
+        *names, F.when(F.col("_targets") > 1, "several targets").when(F.col("_leaves"), "target is merged itself").alias("reason")
+    )
+    open_pairs = judged.where(F.col("reason").isNull()).select(*names)
+
+    few = lambda side: broadcast_if_few(side, pairs)
+    source = measurements.join(few(open_pairs.withColumnRenamed("bad_sensors_id", "sensors_id")), "sensors_id").select(
+        F.col("sensors_id").alias("bad_sensors_id"), "good_sensors_id", "datetime", "value"
+    )
+    held = measurements.join(few(open_pairs.select(good.alias("sensors_id")).distinct()), "sensors_id", "left_semi").select(
+        F.lit(None).cast("bigint").alias("bad_sensors_id"), F.col("sensors_id").alias("good_sensors_id"), "datetime", "value"
+    )
+    from_source = bad.isNotNull()
+    at = source.unionByName(held).groupBy("good_sensors_id", "datetime").agg(
+        F.min(F.when(from_source, F.col("value"))).alias("_low"), F.max(F.when(from_source, F.col("value"))).alias("_high"),
+        F.max(F.when(~from_source, F.col("value"))).alias("_held"),
+    )
+    at = at.where((F.col("_low") != F.col("_high")) | (F.col("_low") != F.col("_held")))
+    clash = source.join(at, ["good_sensors_id", "datetime"]).where(
+        (F.col("_low") != F.col("_high")) | (F.col("value") != F.col("_held"))
+    ).where(F.col("value").isNotNull())
+    clash = clash.groupBy(*names).agg(F.count("*").alias("conflicts"))
+    refused = (
+        given.where(F.col("reason").isNotNull())
+        .unionByName(judged.where(F.col("reason").isNotNull()))
+        .withColumn("conflicts", F.lit(0).cast("bigint"))
+        .unionByName(clash.withColumn("reason", F.lit("values differ")).select(*names, "reason", "conflicts"))
+    )
+    return open_pairs.join(clash, names, "left_anti"), refused
 
-    Returns (measurements, archive, touched periods, conflicts). A pair with differing
-    values at one instant is refused: it appears in `conflicts` with its count and
-    nothing of it moves. Touched periods are hour keys for `mark_modified`.
+
+def merge_sensors(measurements: DataFrame, pairs: DataFrame, ctx: DataFrame, as_of: str) -> Merged:
+    """Merge sensors in bulk; `pairs`: bad_sensors_id, good_sensors_id.
+
+    Nothing of a refused pair moves (see `check_merges`). Of several sources' rows at one
+    instant the first with a value is taken; the target's own rows stay. Touched periods are
+    hour keys for `mark_modified`. The bad sensors of the allowed pairs are still in the
+    other tables: `remove_merged` takes them out.
     """
-    bad = measurements.join(pairs.withColumnRenamed("bad_sensors_id", "sensors_id"), "sensors_id")
-    good = measurements.select(F.col("sensors_id").alias("good_sensors_id"), "datetime", F.col("value").alias("_good_value"))
-    clash = bad.join(good, ["good_sensors_id", "datetime"]).where(F.col("value") != F.col("_good_value"))
-    conflicts = clash.groupBy(F.col("sensors_id").alias("bad_sensors_id"), "good_sensors_id").agg(F.count("*").alias("conflicts"))
-    allowed = pairs.join(conflicts, ["bad_sensors_id", "good_sensors_id"], "left_anti")
-    moving = measurements.join(allowed.withColumnRenamed("bad_sensors_id", "sensors_id"), "sensors_id")
+    allowed, refused = check_merges(measurements, pairs)
+    allowed = cut_lineage(allowed)
+    side = broadcast_if_few(allowed, allowed)
+    moving = measurements.join(side.withColumnRenamed("bad_sensors_id", "sensors_id"), "sensors_id")
     moved = moving.withColumn("sensors_id", F.col("good_sensors_id")).select(*measurements.columns)
-    fresh = absent_rows(measurements, moved, ["sensors_id", "datetime"])
-    kept = measurements.join(allowed.select(F.col("bad_sensors_id").alias("sensors_id")), "sensors_id", "left_anti")
+    there = measurements.join(side.select(F.col("good_sensors_id").alias("sensors_id")).distinct(), "sensors_id", "left_semi")
+    fresh = absent_rows(there, moved, ["sensors_id", "datetime"], order=F.col("value").isNull())
+    kept = measurements.join(side.select(F.col("bad_sensors_id").alias("sensors_id")), "sensors_id", "left_anti")
     archive = moving.select(
         *measurements.columns, timeops.instant(as_of).alias("archived_on"),
         F.concat(F.lit("merged into sensor "), F.col("good_sensors_id").cast("string")).alias("archive_reason"),
     )
     offset = timeops.offset_seconds("datetime", F.col("tzid"))
-    touched = fresh.join(ctx.select("sensors_id", "tzid"), "sensors_id").select(
+    touched = join_context(fresh, ctx, "tzid").select(
         timeops.hour_end("datetime", offset).alias("datetime"), offset.alias("offset_s")
     ).distinct()
-    return kept.unionByName(fresh), archive, touched, conflicts
+    return Merged(kept.unionByName(fresh), archive, touched, refused, allowed)
+
+
+def remove_merged(merged: Merged, tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The other tables (`sensors` among them) without the sensors that were merged away."""
+    return remove_sensor_data(tables, merged.allowed.select(F.col("bad_sensors_id").alias("sensors_id")))
 
 
 def remove_sensor_data(

@@ -109,10 +109,9 @@ def snap_rollup_merge(cells: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def mobile_generalized(measurements: DataFrame, analyses: DataFrame, ctx: DataFrame, size: float = 30.0) -> DataFrame:
     """Row counts per node and cell, of measurements and of analyses side by side."""
-    placed = ctx.select("sensors_id", "sensor_nodes_id")
 
     def counted(facts: DataFrame) -> DataFrame:
-        rows = facts.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).join(placed, "sensors_id", "left")
+        rows = join_context(facts.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()), ctx, "sensor_nodes_id", how="left")
         return _cells(rows, size).groupBy("sensor_nodes_id", "x", "y").agg(F.count("*").alias("count"))
 
     return counted(measurements).unionByName(counted(analyses))

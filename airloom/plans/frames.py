@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.operators import rollups
-from airloom.operators.context import station_context
+from airloom.operators.context import station_chain, station_context
 from airloom.session import configure
 
 AS_OF = "2024-01-31 00:00:00"
@@ -76,7 +76,7 @@ FROM {customer}"""
 FRAMES["sensor_nodes"] = """
 SELECT c_custkey AS sensor_nodes_id, c_name AS site_name, c_mktsegment AS source_name,
   concat(c_mktsegment, '/', CAST(c_custkey AS STRING)) AS source_id, c_custkey % 5 = 0 AS ismobile,
-  c_custkey % 11 <> 0 AS is_public, c_nationkey AS countries_id, n_regionkey AS timezones_id,
+  c_custkey % 11 <> 0 AS is_public, c_nationkey AS countries_id, CASE WHEN c_custkey % 17 < 2 THEN NULL ELSE n_regionkey END AS timezones_id,
   CAST(c_custkey % 10 AS INT) AS providers_id, CAST(c_custkey % 5 AS INT) AS owner_entities_id,
   CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey*37) % 360 - 180 AS DOUBLE) END AS lon,
   CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey*13) % 160 - 80 AS DOUBLE) END AS lat,
@@ -274,6 +274,10 @@ class Frames:
         stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in stamps}) if stamps else df
 
+    @cached_property
+    def stations(self) -> DataFrame:
+        return station_chain(self.sensors, self.sensor_systems, self.sensor_nodes)
+
     @cached_property
     def ctx(self) -> DataFrame:
         return station_context(self.sensors, self.sensor_systems, self.sensor_nodes, self.timezones)
@@ -312,6 +316,12 @@ SELECT s.sensors_id, s.measurands_id, s.sensor_systems_id, sy.sensor_nodes_id, n
 FROM {sensors} s JOIN {sensor_systems} sy ON sy.sensor_systems_id = s.sensor_systems_id
 JOIN {sensor_nodes} n ON n.sensor_nodes_id = sy.sensor_nodes_id JOIN {timezones} t ON t.timezones_id = n.timezones_id"""
 
+CHECK["stations"] = """
+SELECT s.sensors_id, s.measurands_id, s.sensor_systems_id, sy.sensor_nodes_id, n.timezones_id, s.is_public AS sensor_is_public,
+  n.is_public AS node_is_public, n.providers_id, n.countries_id
+FROM {sensors} s JOIN {sensor_systems} sy ON sy.sensor_systems_id = s.sensor_systems_id
+JOIN {sensor_nodes} n ON n.sensor_nodes_id = sy.sensor_nodes_id"""
+
 _HOURLY = """
 SELECT sensors_id, measurands_id, sensor_nodes_id,
   date_trunc('hour', datetime + (off - 1) * INTERVAL 1 SECOND) - off * INTERVAL 1 SECOND + INTERVAL 1 HOUR AS datetime,

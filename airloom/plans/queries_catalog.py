@@ -144,11 +144,11 @@ def _(f):
     "source_stats", "source_name:s nodes_total:i nodes_added:i nodes_active:i last_modified:t",
     f"""SELECT source_name, count(*) AS nodes_total, count(*) FILTER (WHERE added_on > TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY) AS nodes_added,
       count(*) FILTER (WHERE last_modified > TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY) AS nodes_active, max(last_modified) AS last_modified
-    FROM (SELECT n.sensor_nodes_id, p.source_name, n.added_on, (SELECT max(l.modified_on) FROM {{lifetime}} l JOIN {{ctx}} c ON c.sensors_id = l.sensors_id
+    FROM (SELECT n.sensor_nodes_id, p.source_name, n.added_on, (SELECT max(l.modified_on) FROM {{lifetime}} l JOIN {{stations}} c ON c.sensors_id = l.sensors_id
       WHERE c.sensor_nodes_id = n.sensor_nodes_id) AS last_modified FROM {{sensor_nodes}} n JOIN {{providers}} p ON p.providers_id = n.providers_id) x GROUP BY 1""",
 )
 def _(f):
-    return catalog.source_stats(f.sensor_nodes, f.providers, f.ctx, f.lifetime, AS_OF)
+    return catalog.source_stats(f.sensor_nodes, f.providers, f.stations, f.lifetime, AS_OF)
 
 
 def _parameters_sql(owner: str) -> str:
@@ -156,7 +156,7 @@ def _parameters_sql(owner: str) -> str:
       string_agg(concat_ws('|', m.measurands_id, m.measurand, m.units), ';' ORDER BY m.measurands_id) AS parameters,
       string_agg(CAST(m.measurands_id AS VARCHAR), ',' ORDER BY m.measurands_id) AS parameter_ids
     FROM (SELECT c.{owner}, c.measurands_id, min(l.datetime_first) AS first, max(l.datetime_last) AS last, sum(l.value_count) AS n
-      FROM {{ctx}} c JOIN {{lifetime}} l ON l.sensors_id = c.sensors_id WHERE c.node_is_public AND c.sensor_is_public GROUP BY 1, 2) x
+      FROM {{stations}} c JOIN {{lifetime}} l ON l.sensors_id = c.sensors_id WHERE c.node_is_public AND c.sensor_is_public GROUP BY 1, 2) x
     JOIN {{measurands}} m ON m.measurands_id = x.measurands_id GROUP BY 1"""
 
 
@@ -169,7 +169,7 @@ def _parameters_sql(owner: str) -> str:
     LEFT JOIN {rolled} r ON r.countries_id = c.countries_id""", {"rolled": _parameters_sql("countries_id")},
 )
 def _(f):
-    rows = catalog.countries_view(f.countries, f.sensor_nodes, f.ctx, f.lifetime, f.measurands)
+    rows = catalog.countries_view(f.countries, f.sensor_nodes, f.stations, f.lifetime, f.measurands)
     return rows.withColumns(
         {"parameters": listed("parameters", "id", "name", "units"), "parameter_ids": plain_list("parameter_ids"), "providers_ids": plain_list("providers_ids")}
     )
@@ -186,7 +186,7 @@ def _(f):
     JOIN {entities} e ON e.entities_id = p.owner_entities_id WHERE p.is_public""", {"rolled": _parameters_sql("providers_id")},
 )
 def _(f):
-    rows = catalog.providers_view(f.providers, f.sensor_nodes, f.ctx, f.lifetime, f.measurands, f.entities)
+    rows = catalog.providers_view(f.providers, f.sensor_nodes, f.stations, f.lifetime, f.measurands, f.entities)
     return rows.withColumns({"parameters": listed("parameters", "id", "name", "units"), "parameter_ids": plain_list("parameter_ids")}).select(
         "*", F.col("owner_entity.name").alias("owner_name"), "extent.*"
     )
@@ -196,10 +196,10 @@ def _(f):
     "parameters_view", "id:i name:s display_name:s units:s locations_count:i measurements_count:i datetime_first:t datetime_last:t",
     """SELECT m.measurands_id AS id, m.measurand AS name, m.display AS display_name, m.units, count(*) AS locations_count, sum(l.value_count) AS measurements_count,
       min(l.datetime_first) AS datetime_first, max(l.datetime_last) AS datetime_last
-    FROM {measurands} m JOIN {ctx} c ON c.measurands_id = m.measurands_id LEFT JOIN {lifetime} l ON l.sensors_id = c.sensors_id GROUP BY 1, 2, 3, 4""",
+    FROM {measurands} m JOIN {stations} c ON c.measurands_id = m.measurands_id LEFT JOIN {lifetime} l ON l.sensors_id = c.sensors_id GROUP BY 1, 2, 3, 4""",
 )
 def _(f):
-    return catalog.parameters_view(f.measurands, f.sensors, f.ctx, f.lifetime)
+    return catalog.parameters_view(f.measurands, f.sensors, f.stations, f.lifetime)
 
 
 @query(
@@ -292,10 +292,10 @@ def _(f):
     "providers_check", "label:s datetime_first:t datetime_last:t sensor_nodes_count:i sensors_avg:f sensors_count:i",
     """SELECT p.label, min(a) AS datetime_first, max(b) AS datetime_last, count(*) AS sensor_nodes_count, round(avg(n), 1) AS sensors_avg, sum(n) AS sensors_count
     FROM (SELECT c.sensor_nodes_id, c.providers_id, min(l.datetime_first) AS a, max(l.datetime_last) AS b, count(*) AS n FROM {lifetime} l
-      JOIN {ctx} c ON c.sensors_id = l.sensors_id GROUP BY 1, 2) x JOIN {providers} p ON p.providers_id = x.providers_id GROUP BY 1""",
+      JOIN {stations} c ON c.sensors_id = l.sensors_id GROUP BY 1, 2) x JOIN {providers} p ON p.providers_id = x.providers_id GROUP BY 1""",
 )
 def _(f):
-    return catalog.providers_check(f.lifetime, f.ctx, f.providers)
+    return catalog.providers_check(f.lifetime, f.stations, f.providers)
 
 
 @query(
@@ -442,10 +442,10 @@ def _(f):
 
 @query(
     "node_from_sensor", "event_id:i sensor_nodes_id:i",
-    "SELECT event_id, c.sensor_nodes_id FROM {events} e LEFT JOIN {ctx} c ON c.sensors_id = e.event_id",
+    "SELECT event_id, c.sensor_nodes_id FROM {events} e LEFT JOIN {stations} c ON c.sensors_id = e.event_id",
 )
 def _(f):
-    return catalog.node_from_sensor(f.sql("SELECT event_id, event_id AS sensors_id FROM {events}"), f.ctx)
+    return catalog.node_from_sensor(f.sql("SELECT event_id, event_id AS sensors_id FROM {events}"), f.stations)
 
 
 @query(

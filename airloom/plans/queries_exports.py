@@ -14,10 +14,10 @@ MID = "1998-06-15 12:00:00"
 
 
 def _zones(f):
-    return f.sensor_nodes.join(f.timezones, "timezones_id").select("sensor_nodes_id", "tzid")
+    return f.sensor_nodes.join(f.timezones, "timezones_id", "left").select("sensor_nodes_id", "tzid")
 
 
-_ZONES = "SELECT n.sensor_nodes_id, t.tzid FROM {sensor_nodes} n JOIN {timezones} t ON t.timezones_id = n.timezones_id"
+_ZONES = "SELECT n.sensor_nodes_id, t.tzid FROM {sensor_nodes} n LEFT JOIN {timezones} t ON t.timezones_id = n.timezones_id"
 
 
 @query(
@@ -135,11 +135,11 @@ def _(f):
 
 @query(
     "open_data_query", "sensors_id:i datetime:t value:f measurands_id:i",
-    """SELECT m.sensors_id, datetime, value, measurands_id FROM {measurements} m JOIN {ctx} c ON c.sensors_id = m.sensors_id
+    """SELECT m.sensors_id, datetime, value, measurands_id FROM {measurements} m JOIN {stations} c ON c.sensors_id = m.sensors_id
     WHERE sensor_nodes_id = 2 AND datetime > TIMESTAMP '2024-01-10' AND datetime <= TIMESTAMP '2024-01-11'""",
 )
 def _(f):
-    return exports.open_data_rows(f.measurements, f.ctx, 2, "2024-01-10")
+    return exports.open_data_rows(f.measurements, f.stations, 2, "2024-01-10")
 
 
 @query(
@@ -216,7 +216,7 @@ def _(f):
     "sensor_nodes_id:i day:d records:i measurands:i modified_on:t exported_on:t queued_on:t added_on:t",
     f"""SELECT coalesce(l.sensor_nodes_id, d.sensor_nodes_id) AS sensor_nodes_id, coalesce(l.day, d.day) AS day, coalesce(l.records, d.records) AS records,
       coalesce(l.measurands, d.measurands) AS measurands,
-      CASE WHEN l.day IS NULL THEN NULL WHEN d.day IS NULL THEN l.modified_on ELSE TIMESTAMP '{AS_OF}' END AS modified_on,
+      CASE WHEN d.day IS NULL THEN l.modified_on ELSE TIMESTAMP '{AS_OF}' END AS modified_on,
       CASE WHEN d.day IS NULL THEN l.exported_on END AS exported_on, CASE WHEN d.day IS NULL THEN l.queued_on END AS queued_on,
       CASE WHEN l.day IS NULL THEN TIMESTAMP '{AS_OF}' ELSE l.added_on END AS added_on
     FROM {{shifted}} l FULL JOIN (SELECT sensor_nodes_id, CAST(datetime - INTERVAL 1 SECOND AS DATE) AS day, count(value) AS records,
@@ -267,15 +267,18 @@ def _(f):
     return exports.pending_location_days_check(f.export_logs, _zones(f), MID)
 
 
-@query(
-    "outdated_location_days", "sensor_nodes_id:i day:d records:i modified_on:t queued_on:t exported_on:t utc_offset:i",
-    f"""SELECT l.sensor_nodes_id, day, records, modified_on, queued_on, exported_on,
+_OUTDATED = f"""SELECT l.sensor_nodes_id, day, records, modified_on, queued_on, exported_on,
       (epoch_us(timezone(tzid, timezone('UTC', TIMESTAMP '{MID}'))) - epoch_us(TIMESTAMP '{MID}')) // 1000000 AS utc_offset
     FROM {{export_logs}} l JOIN {{zones}} z ON z.sensor_nodes_id = l.sensor_nodes_id
     WHERE day < DATE '1998-06-15' AND (queued_on IS NULL OR queued_on < TIMESTAMP '{MID}' - INTERVAL 4 HOUR) AND json_extract_string(metadata, '$.error') IS NULL
       AND (exported_on IS NULL OR queued_on > exported_on OR json_extract_string(metadata, '$.version') IS NULL
         OR CAST(json_extract_string(metadata, '$.version') AS INT) < 2)
-    ORDER BY day, l.sensor_nodes_id LIMIT 100""", {"zones": _ZONES},
+    ORDER BY day, l.sensor_nodes_id LIMIT 100"""
+
+
+@query(
+    "outdated_location_days", "sensor_nodes_id:i day:d records:i modified_on:t queued_on:t exported_on:t utc_offset:i",
+    _OUTDATED, {"zones": _ZONES},
 )
 def _(f):
     return exports.outdated_location_days(f.export_logs, _zones(f), version=2, limit=100, as_of=MID)
@@ -284,6 +287,16 @@ def _(f):
 _LOG = "sensor_nodes_id:i day:d records:i modified_on:t queued_on:t exported_on:t metadata:s"
 
 
+@query(
+    "take_outdated_location_days", _LOG,
+    f"""SELECT l.* REPLACE (CASE WHEN p.day IS NULL THEN l.queued_on ELSE TIMESTAMP '{MID}' END AS queued_on)
+    FROM {{export_logs}} l LEFT JOIN {{outdated}} p ON p.sensor_nodes_id = l.sensor_nodes_id AND p.day = l.day""",
+    {"zones": _ZONES, "outdated": _OUTDATED},
+)
+def _(f):
+    return exports.take_outdated(f.export_logs, _zones(f), version=2, limit=100, as_of=MID)[1]
+
+
 @query(
     "mark_pending", _LOG,
     f"""SELECT l.* REPLACE (CASE WHEN p.day IS NULL THEN l.queued_on ELSE TIMESTAMP '{MID}' END AS queued_on)
@@ -341,13 +354,14 @@ def _(f):
 
 
 @query(
-    "exports_per_day", "exported_day:d n:i first_day:d median_date:d last_day:d",
-    """SELECT CAST(exported_on AS DATE) AS exported_day, count(*) AS n, min(day) AS first_day,
+    "exports_per_day", "exported_day:d n:i first_day:d median_date:d last_day:d first_exported:t last_exported:t",
+    f"""SELECT CAST(exported_on AS DATE) AS exported_day, count(*) AS n, min(day) AS first_day,
       CAST(make_timestamp(CAST(floor(quantile_cont(epoch_us(CAST(day AS TIMESTAMP)) / 1e6, 0.5) / 86400) AS BIGINT) * 86400000000) AS DATE) AS median_date,
-      max(day) AS last_day FROM {export_logs} GROUP BY 1""",
+      max(day) AS last_day, min(exported_on) AS first_exported, max(exported_on) AS last_exported
+    FROM {{export_logs}} WHERE exported_on > CAST(TIMESTAMP '{MID}' AS DATE) - 30 GROUP BY 1""",
 )
 def _(f):
-    return exports.exports_per_day(f.export_logs)
+    return exports.exports_per_day(f.export_logs, MID)
 
 
 @query(

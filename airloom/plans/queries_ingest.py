@@ -434,18 +434,33 @@ def _(f):
 
 # ---- merging and removing ---------------------------------------------------------------------------
 
-# odd customers' sensors merge into the even neighbour's; facts are long ones with shared days
-_PAIRS = """SELECT c_custkey*5 + m AS bad_sensors_id, (c_custkey - 1)*5 + m AS good_sensors_id FROM (SELECT *, {five} AS m FROM {customer}) c WHERE c_custkey % 2 = 1"""
+# odd customers' sensors merge into the even neighbour's; among them pairs of one sensor, with a
+# missing id, repeated, into two targets, in a chain, and two sources of one target
+_SENSOR_FIVES = "(SELECT *, {five} AS m FROM {customer}) c"
+_PAIRS = f"""SELECT c_custkey*5 + m AS bad_sensors_id, (c_custkey - 1)*5 + m AS good_sensors_id FROM {_SENSOR_FIVES} WHERE c_custkey % 2 = 1
+UNION ALL SELECT c_custkey*5 + m, c_custkey*5 + m FROM {_SENSOR_FIVES} WHERE c_custkey % 5 = 0
+UNION ALL SELECT c_custkey*5 + m, CASE WHEN m < 3 THEN NULL ELSE (c_custkey - 1)*5 + m END FROM {_SENSOR_FIVES} WHERE c_custkey % 10 = 1
+UNION ALL SELECT c_custkey*5 + m, (c_custkey + 1)*5 + m FROM {_SENSOR_FIVES} WHERE c_custkey % 10 = 3 AND m = 0
+UNION ALL SELECT (c_custkey - 1)*5 + m, (c_custkey + 1)*5 + m FROM {_SENSOR_FIVES} WHERE c_custkey % 10 = 7 AND m = 1
+UNION ALL SELECT (c_custkey + 1)*5 + m, (c_custkey - 1)*5 + m FROM {_SENSOR_FIVES} WHERE c_custkey % 10 = 9 AND m > 1"""
 _PAIRS_CHECK = _PAIRS.replace("{five}", "unnest([0, 1, 2, 3, 4])")
 # values depend on the sensor's place in its pair, so that a third of the pairs clash
-_FACTS = """SELECT sensors_id, datetime, CASE WHEN sensors_id % 15 < 5 THEN 1.0 * sensors_id ELSE 1.0 END AS value, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, added_on FROM {measurements_long}"""
+_FACTS = """SELECT sensors_id, datetime, CASE WHEN sensors_id % 15 < 5 THEN 1.0 * sensors_id WHEN sensors_id % 15 = 7 THEN NULL ELSE 1.0 END AS value, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, added_on FROM {measurements_long}"""
 _MERGE = {
     "pairs": _PAIRS_CHECK, "facts": _FACTS,
-    "conflicts": """SELECT bad_sensors_id, good_sensors_id, count(*) AS conflicts FROM {pairs} p JOIN {facts} b ON b.sensors_id = p.bad_sensors_id
-      JOIN {facts} g ON g.sensors_id = p.good_sensors_id AND g.datetime = b.datetime WHERE b.value <> g.value GROUP BY 1, 2""",
-    "allowed": "SELECT * FROM {pairs} WHERE bad_sensors_id NOT IN (SELECT bad_sensors_id FROM {conflicts})",
-    "fresh": """SELECT a.good_sensors_id AS sensors_id, b.datetime, b.value FROM {allowed} a JOIN {facts} b ON b.sensors_id = a.bad_sensors_id
-      WHERE NOT EXISTS (SELECT 1 FROM {facts} g WHERE g.sensors_id = a.good_sensors_id AND g.datetime = b.datetime)""",
+    "sound": "SELECT DISTINCT bad_sensors_id, good_sensors_id FROM {pairs} WHERE bad_sensors_id <> good_sensors_id",
+    "several": "SELECT bad_sensors_id FROM {sound} GROUP BY 1 HAVING count(*) > 1",
+    "chained": """SELECT * FROM {sound} WHERE bad_sensors_id NOT IN (SELECT bad_sensors_id FROM {several})
+      AND good_sensors_id IN (SELECT bad_sensors_id FROM {sound})""",
+    "candidates": """SELECT * FROM {sound} s WHERE bad_sensors_id NOT IN (SELECT bad_sensors_id FROM {several})
+      AND good_sensors_id NOT IN (SELECT bad_sensors_id FROM {sound})""",
+    "sourced": "SELECT p.bad_sensors_id, p.good_sensors_id, b.datetime, b.value FROM {candidates} p JOIN {facts} b ON b.sensors_id = p.bad_sensors_id",
+    "conflicts": """SELECT bad_sensors_id, good_sensors_id, count(*) AS conflicts FROM {sourced} s
+      WHERE EXISTS (SELECT 1 FROM {facts} g WHERE g.sensors_id = s.good_sensors_id AND g.datetime = s.datetime AND g.value <> s.value)
+      OR EXISTS (SELECT 1 FROM {sourced} o WHERE o.good_sensors_id = s.good_sensors_id AND o.datetime = s.datetime AND o.value <> s.value) GROUP BY 1, 2""",
+    "allowed": "SELECT * FROM {candidates} WHERE bad_sensors_id NOT IN (SELECT bad_sensors_id FROM {conflicts})",
+    "fresh": """SELECT a.good_sensors_id AS sensors_id, b.datetime, max(b.value) AS value FROM {allowed} a JOIN {facts} b ON b.sensors_id = a.bad_sensors_id
+      WHERE NOT EXISTS (SELECT 1 FROM {facts} g WHERE g.sensors_id = a.good_sensors_id AND g.datetime = b.datetime) GROUP BY 1, 2""",
 }
 
 
@@ -458,7 +473,7 @@ def _merge(f):
     """SELECT sensors_id, datetime, value FROM {facts} WHERE sensors_id NOT IN (SELECT bad_sensors_id FROM {allowed}) UNION ALL SELECT sensors_id, datetime, value FROM {fresh}""", _MERGE,
 )
 def _(f):
-    return _merge(f)[0]
+    return _merge(f).measurements
 
 
 @query(
@@ -467,7 +482,7 @@ def _(f):
     FROM {{facts}} f JOIN {{allowed}} a ON a.bad_sensors_id = f.sensors_id""", _MERGE,
 )
 def _(f):
-    return _merge(f)[1]
+    return _merge(f).archive
 
 
 @query(
@@ -476,12 +491,27 @@ def _(f):
     FROM (SELECT f.datetime, CAST(epoch_us(timezone(c.tzid, timezone('UTC', f.datetime))) - epoch_us(f.datetime) AS BIGINT) // 1000000 AS o FROM {fresh} f JOIN {ctx} c ON c.sensors_id = f.sensors_id) x""", _MERGE,
 )
 def _(f):
-    return _merge(f)[2]
+    return _merge(f).touched
 
 
-@query("merge_sensors_conflicts", "bad_sensors_id:i good_sensors_id:i conflicts:i", "SELECT * FROM {conflicts}", _MERGE)
+@query(
+    "merge_sensors_refused", "bad_sensors_id:i good_sensors_id:i reason:s conflicts:i",
+    """SELECT DISTINCT bad_sensors_id, good_sensors_id, CASE WHEN bad_sensors_id = good_sensors_id THEN 'same sensor' ELSE 'missing id' END AS reason, 0 AS conflicts
+    FROM {pairs} WHERE bad_sensors_id = good_sensors_id OR bad_sensors_id IS NULL OR good_sensors_id IS NULL
+    UNION ALL SELECT *, 'several targets', 0 FROM {sound} WHERE bad_sensors_id IN (SELECT bad_sensors_id FROM {several})
+    UNION ALL SELECT *, 'target is merged itself', 0 FROM {chained}
+    UNION ALL SELECT bad_sensors_id, good_sensors_id, 'values differ', conflicts FROM {conflicts}""", _MERGE,
+)
+def _(f):
+    return _merge(f).refused
+
+
+@query(
+    "merge_sensors_cleanup", "sensors_id:i measurands_id:i",
+    "SELECT sensors_id, measurands_id FROM {sensors} WHERE sensors_id NOT IN (SELECT bad_sensors_id FROM {allowed})", _MERGE,
+)
 def _(f):
-    return _merge(f)[3]
+    return ingest.remove_merged(_merge(f), {"sensors": f.sensors})[0]["sensors"]
 
 
 _GONE = "SELECT DISTINCT user_id * 5 + 1 AS sensors_id FROM {events} WHERE event_type = 'error'"

@@ -167,7 +167,7 @@ for _kind, _col, _from in (
     ("user", "users_id", "{api_logs} l JOIN {user_keys} u ON u.token = l.api_key"),
     ("sensor", "sensors_id", "(SELECT x.*, " + _SENSOR + " AS sensors_id FROM {api_logs} x) l WHERE sensors_id IS NOT NULL"),
     ("node", "sensor_nodes_id", "(SELECT x.timing, x.added_on, coalesce(x.n, c.sensor_nodes_id) AS sensor_nodes_id FROM (SELECT y.*, " + _SENSOR
-     + " AS s, " + _NODE + " AS n FROM {api_logs} y) x LEFT JOIN {ctx} c ON c.sensors_id = x.s) l WHERE sensor_nodes_id IS NOT NULL"),
+     + " AS s, " + _NODE + " AS n FROM {api_logs} y) x LEFT JOIN {stations} c ON c.sensors_id = x.s) l WHERE sensor_nodes_id IS NOT NULL"),
 ):
     _cols = f", {_col}" if _col else ""
     _text = "s" if _kind == "resource" else "i"
@@ -176,7 +176,7 @@ for _kind, _col, _from in (
         f"SELECT CAST(added_on AS DATE) AS day{_cols}, {_TOTALS} FROM {_from} GROUP BY 1{', 2' if _col else ''}", {"agent": _AGENT},
     )(
         lambda f, kind=_kind: monitor.daily_requests(
-            f.api_logs, kind, lookup={"agent": lambda: f.agents, "user": lambda: f.user_keys, "node": lambda: f.ctx}.get(kind, lambda: None)()
+            f.api_logs, kind, lookup={"agent": lambda: f.agents, "user": lambda: f.user_keys, "node": lambda: f.stations}.get(kind, lambda: None)()
         )
     )
 

@@ -279,11 +279,11 @@ def _(f):
       min(epoch_us(added_on) - epoch_us(datetime)) / 1e6 AS offset_min, avg(epoch_us(added_on) - epoch_us(datetime)) / 1e6 AS offset_avg,
       max(epoch_us(added_on) - epoch_us(datetime)) / 1e6 AS offset_max, min(datetime) AS datetime_min, max(datetime) AS datetime_max,
       min(added_on) AS added_on_min, max(added_on) AS added_on_max
-    FROM {measurements} m JOIN {ctx} c ON c.sensors_id = m.sensors_id WHERE added_on <> date_trunc('day', added_on)
+    FROM {measurements} m JOIN {stations} c ON c.sensors_id = m.sensors_id WHERE added_on <> date_trunc('day', added_on)
     GROUP BY providers_id, CAST(added_on AS DATE)""",
 )
 def _(f):
-    return rollups.providers_stats(f.measurements, f.ctx)
+    return rollups.providers_stats(f.measurements, f.stations)
 
 
 @query(
@@ -791,7 +791,7 @@ def _flag_sql(scope: str, level: str | None, low: str = "r.datetime - INTERVAL 1
     elif scope == "both":
         where = node + " AND ((f.only_sensors_id IS NULL AND r.sensors_id IS NULL) OR f.only_sensors_id = r.sensors_id)"
     else:
-        where = ("f.sensor_nodes_id = (SELECT c.sensor_nodes_id FROM {ctx} c WHERE c.sensors_id = r.sensors_id) "
+        where = ("f.sensor_nodes_id = (SELECT c.sensor_nodes_id FROM {stations} c WHERE c.sensors_id = r.sensors_id) "
                  "AND (f.only_sensors_id IS NULL OR f.only_sensors_id = r.sensors_id)")
     return f"EXISTS (SELECT 1 FROM {{flags}} f JOIN {{flag_types}} ft ON ft.flag_types_id = f.flag_types_id WHERE {where} AND {when}{lv})"
 
@@ -803,7 +803,7 @@ for _scope in ("node", "sensor", "both"):
             f"SELECT r.*, {_flag_sql(_scope, _lvl)} AS flagged FROM {{ask}} r", {"ask": _ASK},
         )(
             lambda f, scope=_scope, lvl=_lvl: flags.flags_exist(
-                f.sql(_ASK), _flags(f), f.flag_types, f.ctx, scope, lvl
+                f.sql(_ASK), _flags(f), f.flag_types, f.stations, scope, lvl
             )
         )
 
@@ -817,4 +817,4 @@ _MATRIX = [
     "SELECT r.event_id, " + ", ".join(f"{s} AS {n}" for n, s in _MATRIX) + " FROM {ask} r", {"ask": _ASK},
 )
 def _(f):
-    return flags.flag_matrix(f.sql(_ASK), _flags(f), f.flag_types, f.ctx)
+    return flags.flag_matrix(f.sql(_ASK), _flags(f), f.flag_types, f.stations)

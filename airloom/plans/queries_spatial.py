@@ -13,7 +13,7 @@ _Y = "round_even(ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0 / {s}, 0) * {s
 
 def _cells_sql(source: str, size: str, where: str = "") -> str:
     return f"""SELECT sensor_nodes_id, {_X.format(s=size)} AS x, {_Y.format(s=size)} AS y, min(datetime) AS start_datetime, max(datetime) AS end_datetime,
-      count(DISTINCT datetime) AS measurements_count FROM {{{source}}} m JOIN {{ctx}} c ON c.sensors_id = m.sensors_id {where} GROUP BY 1, 2, 3"""
+      count(DISTINCT datetime) AS measurements_count FROM {{{source}}} m JOIN {{stations}} c ON c.sensors_id = m.sensors_id {where} GROUP BY 1, 2, 3"""
 
 
 _CELL = "sensor_nodes_id:i x:n y:n start_datetime:t end_datetime:t measurements_count:i"
@@ -21,7 +21,7 @@ _CELL = "sensor_nodes_id:i x:n y:n start_datetime:t end_datetime:t measurements_
 
 @query("snap_rollup", _CELL, _cells_sql("measurements", "30.0"))
 def _(f):
-    return spatial.snap_rollup(f.measurements, f.ctx, 30.0)
+    return spatial.snap_rollup(f.measurements, f.stations, 30.0)
 
 
 @query(
@@ -30,7 +30,7 @@ def _(f):
 )
 def _(f):
     chosen = f.sql("SELECT DISTINCT user_id * 5 AS sensors_id FROM {events} WHERE event_type = 'error'")
-    return spatial.snap_rollup(f.measurements, f.ctx, 1000000.0, sensors=chosen)
+    return spatial.snap_rollup(f.measurements, f.stations, 1000000.0, sensors=chosen)
 
 
 @query(
@@ -39,7 +39,7 @@ def _(f):
 )
 def _(f):
     chosen = f.sql("SELECT DISTINCT user_id AS sensor_nodes_id FROM {events} WHERE event_type = 'signup'")
-    return spatial.snap_rollup(f.measurements, f.ctx, 1000000.0, nodes=chosen)
+    return spatial.snap_rollup(f.measurements, f.stations, 1000000.0, nodes=chosen)
 
 
 @query(
@@ -47,7 +47,7 @@ def _(f):
     {"latest": "SELECT sensors_id, max(datetime) AS datetime, arg_max(lon, datetime) AS lon, arg_max(lat, datetime) AS lat FROM {measurements} GROUP BY 1"},
 )
 def _(f):
-    return spatial.snap_rollup_latest(f.measurements, f.ctx, 1000000.0)
+    return spatial.snap_rollup_latest(f.measurements, f.stations, 1000000.0)
 
 
 @query(
@@ -62,13 +62,13 @@ def _(f):
 def _(f):
     early = F.col("datetime") < F.lit("2024-01-16").cast("timestamp")
     return spatial.snap_rollup_merge(
-        spatial.snap_rollup(f.measurements.where(early), f.ctx, 1000000.0), spatial.snap_rollup(f.measurements.where(~early), f.ctx, 1000000.0)
+        spatial.snap_rollup(f.measurements.where(early), f.stations, 1000000.0), spatial.snap_rollup(f.measurements.where(~early), f.stations, 1000000.0)
     )
 
 
 def _generalized_sql(source: str) -> str:
     return f"""SELECT sensor_nodes_id, {_X.format(s='30.0')} AS x, {_Y.format(s='30.0')} AS y, count(*) AS count FROM {{{source}}} m
-      LEFT JOIN {{ctx}} c ON c.sensors_id = m.sensors_id GROUP BY 1, 2, 3"""
+      LEFT JOIN {{stations}} c ON c.sensors_id = m.sensors_id GROUP BY 1, 2, 3"""
 
 
 _GENERAL = _generalized_sql("measurements") + " UNION ALL " + _generalized_sql("measurements_long")
@@ -76,7 +76,7 @@ _GENERAL = _generalized_sql("measurements") + " UNION ALL " + _generalized_sql("
 
 @query("mobile_generalized", "sensor_nodes_id:i x:n y:n count:i", _GENERAL)
 def _(f):
-    return spatial.mobile_generalized(f.measurements, f.measurements_long, f.ctx)
+    return spatial.mobile_generalized(f.measurements, f.measurements_long, f.stations)
 
 
 @query(
@@ -84,16 +84,16 @@ def _(f):
     "SELECT sensor_nodes_id, min(x) - 20 AS xmin, min(y) - 20 AS ymin, max(x) + 20 AS xmax, max(y) + 20 AS ymax FROM {general} GROUP BY 1", {"general": _GENERAL},
 )
 def _(f):
-    return spatial.mobile_boxes(spatial.mobile_generalized(f.measurements, f.measurements_long, f.ctx))
+    return spatial.mobile_boxes(spatial.mobile_generalized(f.measurements, f.measurements_long, f.stations))
 
 
 @query(
     "last_point", "sensor_nodes_id:i datetime:t lon:f lat:f",
     """SELECT c.sensor_nodes_id, max(m.datetime) AS datetime, arg_max(m.lon, m.datetime) AS lon, arg_max(m.lat, m.datetime) AS lat
-    FROM {measurements} m JOIN {ctx} c ON c.sensors_id = m.sensors_id GROUP BY 1""",
+    FROM {measurements} m JOIN {stations} c ON c.sensors_id = m.sensors_id GROUP BY 1""",
 )
 def _(f):
-    return spatial.last_point(f.measurements, f.ctx)
+    return spatial.last_point(f.measurements, f.stations)
 
 
 @query(
@@ -105,7 +105,7 @@ def _(f):
         WINDOW w AS (PARTITION BY sensor_nodes_id ORDER BY end_datetime, x, y)) a) b""", {"cells": _cells_sql("measurements", "50.0")},
 )
 def _(f):
-    return spatial.step_distance(spatial.snap_rollup(f.measurements, f.ctx, 50.0))
+    return spatial.step_distance(spatial.snap_rollup(f.measurements, f.stations, 50.0))
 
 
 @query(

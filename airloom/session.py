@@ -23,10 +23,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
 
-    A folder of our own is used only when none is set, which is the case in tests.
+    A folder of our own is used only in a local session (one machine, as in tests) that
+    names none; a cluster without the setting is an error.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        configured = context.getConf().get("spark.checkpoint.dir")
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="airloom-ckpt-"))
     return df.checkpoint(eager=True)
