@@ -56,6 +56,35 @@ def json_elements(c: Column) -> Column:
     return F.transform(F.from_json(c, "array<variant>"), lambda x: F.to_json(x))
 
 
+JSON_MEMBERS = "map<string,variant>"
+
+
+def json_members(c: Column) -> Column:
+    """Members of a JSON object by name, as variants; none for NULL or anything else."""
+    return F.coalesce(F.from_json(c, JSON_MEMBERS), F.from_json(F.lit("{}"), JSON_MEMBERS))
+
+
+def members_over(base: Column, top: Column) -> Column:
+    """All members, those of `top` where both have one."""
+    return F.map_concat(F.map_filter(base, lambda k, v: ~F.map_contains_key(top, k)), top)
+
+
+def members_without_null(members: Column) -> Column:
+    """The members but JSON nulls (nested objects stay as they are)."""
+    return F.map_filter(members, lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
+
+
+def members_text(members: Column) -> Column:
+    """JSON text of an object, members in the order of their names."""
+    names = F.array_sort(F.map_keys(members))
+    return F.to_json(F.map_from_entries(F.transform(names, lambda k: F.struct(k.alias("key"), members[k].alias("value")))))
+
+
+def member_string(members: Column, name: str) -> Column:
+    """A member as text: strings unquoted, NULL for JSON null."""
+    return F.try_variant_get(members[name], "$", "string")
+
+
 def array_to_json_elements(c: Column) -> Column:
     """Each array element as JSON text."""
 

@@ -318,21 +318,18 @@ def manufacturers(instruments: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def source_json(slug: Column, name: Column, readme: Column, metadata: Column | None = None) -> Column:
-    """Source as JSON text without NULLs; `metadata` (a map) adds or replaces fields."""
+    """Source as JSON text without NULLs; the members of `metadata` (JSON text) go over its own."""
     link = F.when(readme.isNotNull(), F.concat(F.lit("/v2/sources/readme/"), slug))
-    fields = F.map_filter(
-        F.create_map(F.lit("id"), slug, F.lit("name"), name, F.lit("readme"), link), lambda k, v: v.isNotNull()
-    )
+    fields = textops.json_members(F.to_json(F.struct(slug.alias("id"), name.alias("name"), link.alias("readme"))))
     if metadata is not None:
-        extra = F.coalesce(metadata, F.expr("map()").cast("map<string,string>"))
-        kept = F.map_filter(fields, lambda k, v: ~F.map_contains_key(extra, k))
-        fields = F.map_concat(kept, F.map_filter(extra, lambda k, v: v.isNotNull()))
-    return F.to_json(fields)
+        fields = textops.members_over(fields, textops.json_members(metadata))
+    return textops.members_text(textops.members_without_null(fields))
 
 
 def node_sources(sensor_nodes_sources: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per node, the list of its sources as JSON texts."""
-    told = sources.select("sources_id", source_json(F.col("slug"), F.col("name"), F.col("readme")).alias("source"))
+    """Per node, the list of its sources as JSON texts, their own metadata (JSON text) included."""
+    metadata = F.col("metadata") if "metadata" in sources.columns else None
+    told = sources.select("sources_id", source_json(F.col("slug"), F.col("name"), F.col("readme"), metadata).alias("source"))
     return sensor_nodes_sources.join(told, "sources_id", "left").groupBy("sensor_nodes_id").agg(
         F.sort_array(F.collect_list("source")).alias("sources")
     )
@@ -364,20 +361,20 @@ def sources_per(sensor_nodes: DataFrame, sensor_nodes_sources: DataFrame, column
 def sensor_nodes_ext(
     sensor_nodes: DataFrame, name_history: DataFrame, origins: DataFrame, sources: DataFrame
 ) -> DataFrame:
-    """Nodes with merged metadata: own fields (a string map) without the attribution, the
-    origin's fields over them, then past names and sources. Later keys win, NULLs go."""
-    own = F.coalesce("metadata", F.expr("map()").cast("map<string,string>"))
-    own = F.map_filter(own, lambda k, v: k != "attribution")
-    theirs = F.coalesce("origin_metadata", F.expr("map()").cast("map<string,string>"))
+    """Nodes with merged metadata, all of it JSON text: own members without the attribution,
+    the origin's over them, then past names and sources. Later ones win, nulls go."""
+    own = F.map_filter(textops.json_members(F.col("_own")), lambda k, v: k != "attribution")
     past = F.to_json(F.struct("cities", "source_names", "site_names"))
-    added = F.create_map(F.lit("pvals"), past, F.lit("sources"), F.to_json("sources"))
-
-    def over(base: Column, top: Column) -> Column:
-        return F.map_concat(F.map_filter(base, lambda k, v: ~F.map_contains_key(top, k)), top)
-
-    merged = F.map_filter(over(over(own, theirs), added), lambda k, v: v.isNotNull())
+    told = F.concat(F.lit("["), F.array_join("sources", ","), F.lit("]"))
+    added = F.map_concat(
+        F.create_map(F.lit("pvals"), F.parse_json(past)), F.create_map(F.lit("sources"), F.try_parse_json(told))
+    )
+    merged = textops.members_over(
+        textops.members_over(own, textops.json_members(F.col("origin_metadata"))), added
+    )
+    merged = textops.members_text(textops.members_without_null(merged))
     return (
-        sensor_nodes.join(name_history, "sensor_nodes_id", "left")
+        sensor_nodes.withColumnRenamed("metadata", "_own").join(name_history, "sensor_nodes_id", "left")
         .join(origins.select("origin", F.col("metadata").alias("origin_metadata")), "origin", "left")
         .join(sources, "sensor_nodes_id", "left")
         .select(

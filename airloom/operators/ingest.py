@@ -338,18 +338,28 @@ def reject_summary(rejects: DataFrame, kind: str, fields: Sequence[str]) -> Data
 # ---- sources -------------------------------------------------------------------------------------
 
 
-def merge_maps(df: DataFrame, keys: Sequence[str], map_col: str, order: Column, name: str) -> DataFrame:
-    """One map per key: for each entry the value of the last row by `order` that has it.
+def merge_json(df: DataFrame, keys: Sequence[str], json_col: str, order: Column, name: str) -> DataFrame:
+    """One JSON object (text) per key: each member as the last row by `order` has it.
 
-    Entries are reduced before they are gathered, so a group's copies never pile up.
+    Values keep their JSON types. Members are reduced before they are gathered, so a
+    group's copies never pile up.
     """
-    entries = df.select(*keys, F.explode(map_col).alias("_f", "_v"), order.alias("_o"))
+    entries = df.select(*keys, F.explode(textops.json_members(F.col(json_col))).alias("_f", "_v"), order.alias("_o"))
+    entries = entries.select(*keys, "_f", F.to_json("_v").alias("_v"), "_o")
     last = entries.groupBy(*keys, "_f").agg(F.max_by("_v", F.struct("_o", "_v")).alias("_v"))
-    return last.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_f", "_v")))).alias(name))
+    gathered = F.map_from_entries(F.sort_array(F.collect_list(F.struct("_f", "_v"))))
+    merged = last.groupBy(*keys).agg(gathered.alias(name))
+    return merged.withColumn(name, F.to_json(F.transform_values(name, lambda k, v: F.parse_json(v))))
 
 
 def update_sources(
-    nodes: DataFrame, origins: DataFrame, sources: DataFrame, links: DataFrame, direct_origin: str, attributed_origin: str
+    nodes: DataFrame,
+    origins: DataFrame,
+    sources: DataFrame,
+    links: DataFrame,
+    direct_origin: str,
+    attributed_origin: str,
+    readmes: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Origins, sources and node-source links from node metadata (JSON text).
 
@@ -357,35 +367,42 @@ def update_sources(
     goes over that of nodes without `entity`. Nodes of the direct origin link by slug =
     source name; those of the attributed origin by the names in their attribution list;
     all others without attribution by source name in any case. `sources`: sources_id,
-    slug, name, metadata (map). Returns nodes, sources, links.
+    slug, name, metadata (JSON text) and with `readmes` (slug, readme) the readme, filled
+    where it is missing in sources there were or that the direct origin adds. Values of
+    metadata keep their JSON types. Returns nodes, sources, links.
     """
-    meta = F.coalesce(F.from_json("metadata", "map<string,string>"), F.expr("map()").cast("map<string,string>"))
-    named = nodes.withColumn("_m", meta).withColumn(
-        "origin", F.coalesce("origin", F.upper(F.coalesce(F.col("_m")["origin"], F.col("source_name"))))
+    text = textops.member_string
+    named = nodes.withColumn("_m", textops.json_members(F.col("metadata"))).withColumn(
+        "origin", F.coalesce("origin", F.upper(F.coalesce(text(F.col("_m"), "origin"), F.col("source_name"))))
     )
-    told = origins.select("origin", F.from_json("metadata", "map<string,string>").alias("_o"))
+    told = origins.select("origin", textops.json_members(F.col("metadata")).alias("_o"))
     merged = named.join(told, "origin", "left")
-    over = F.map_concat(F.map_filter("_m", lambda k, v: ~F.map_contains_key("_o", k)), F.col("_o"))
-    clean = F.map_filter(over, lambda k, v: v.isNotNull() & ~k.isin("source_type", "origin"))
+    over = textops.members_over(F.col("_m"), F.col("_o"))
+    clean = F.map_filter(textops.members_without_null(over), lambda k, v: ~k.isin("source_type", "origin"))
     with_entity = F.map_contains_key("_m", F.lit("entity")) & F.col("metadata").isNotNull()
     # the reference skips nodes without any metadata: the test for the field is NULL there
     take = F.col("_o").isNotNull() & F.col("metadata").isNotNull() & ~with_entity
     merged = merged.withColumn("_m", F.when(take, clean).otherwise(F.col("_m")))
-    out_nodes = merged.withColumn("metadata", F.when(take, F.to_json("_m")).otherwise(F.col("metadata"))).select(*nodes.columns)
+    out_nodes = merged.withColumn(
+        "metadata", F.when(take, textops.members_text(F.col("_m"))).otherwise(F.col("metadata"))
+    ).select(*nodes.columns)
 
     origin = F.col("origin")
     has_list = F.map_contains_key("_m", F.lit("attribution"))
     direct = merged.where(origin == direct_origin)
-    attributed = merged.where((origin == attributed_origin) & has_list).select(
-        "sensor_nodes_id", F.explode(F.from_json(F.col("_m")["attribution"], "array<map<string,string>>")).alias("_a")
-    ).select("sensor_nodes_id", F.col("_a")["name"].alias("name"), F.map_filter("_a", lambda k, v: k != "name").alias("_fields"))
+    listed = F.from_json(F.to_json(F.col("_m")["attribution"]), f"array<{textops.JSON_MEMBERS}>")
+    attributed = merged.where((origin == attributed_origin) & has_list).select("sensor_nodes_id", F.explode(listed).alias("_a"))
+    attributed = attributed.select(
+        "sensor_nodes_id", text(F.col("_a"), "name").alias("name"),
+        textops.members_text(F.map_filter("_a", lambda k, v: k != "name")).alias("_fields"),
+    )
     other = merged.where((origin != direct_origin) & F.col("metadata").isNotNull() & ~has_list)
 
-    empty = F.lit(None).cast("map<string,string>")
+    empty = F.lit(None).cast("string")
     from_direct = direct.select(
-        F.col("source_name").alias("slug"), F.coalesce(F.col("_m")["sensor_node_source_fullname"], F.lit(None)).alias("name"), empty.alias("metadata")
+        F.col("source_name").alias("slug"), text(F.col("_m"), "sensor_node_source_fullname").alias("name"), empty.alias("metadata")
     ).where(F.col("name").isNotNull())
-    from_list = merge_maps(attributed, ["name"], "_fields", F.to_json("_fields"), "metadata")
+    from_list = merge_json(attributed, ["name"], "_fields", F.col("_fields"), "metadata")
     from_list = attributed.select("name").distinct().join(from_list, "name", "left").select(
         F.lit(None).cast("string").alias("slug"), "name", "metadata"
     )
@@ -396,13 +413,20 @@ def update_sources(
     offered = from_direct.withColumn("_k", F.lit(0)).unionByName(from_list.withColumn("_k", F.lit(1))).unionByName(
         from_other.withColumn("_k", F.lit(2))
     )
-    first = offered.withColumn("_j", F.to_json("metadata")).groupBy("name").agg(
-        F.min_by(F.struct("slug", "_j"), F.struct("_k", "slug", "_j")).alias("_s")
+    first = offered.groupBy("name").agg(
+        F.min_by(F.struct("slug", "metadata", "_k"), F.struct("_k", "slug", "metadata")).alias("_s")
     )
     fresh = first.join(sources.select("name"), "name", "left_anti").select(
-        F.col("_s.slug").alias("slug"), "name", F.from_json("_s._j", "map<string,string>").alias("metadata")
+        F.col("_s.slug").alias("slug"), "name", F.col("_s.metadata").alias("metadata"), (F.col("_s._k") == 0).alias("_direct")
     )
-    all_sources = sources.unionByName(assign_ids(fresh, sources, "sources_id", "name"), allowMissingColumns=True)
+    added = fresh.select("slug", "name", "metadata")
+    all_sources = sources.unionByName(assign_ids(added, sources, "sources_id", "name"), allowMissingColumns=True)
+    if readmes is not None:
+        late = fresh.where(~F.col("_direct")).select("name").withColumn("_late", F.lit(True))
+        texts = readmes.groupBy("slug").agg(F.min("readme").alias("_readme"))
+        all_sources = all_sources.join(texts, "slug", "left").join(late, "name", "left").withColumn(
+            "readme", F.when(F.col("_late"), F.col("readme")).otherwise(F.coalesce("readme", "_readme"))
+        ).select(*all_sources.columns)
 
     by_slug = direct.join(all_sources.select(F.col("slug").alias("source_name"), "sources_id"), "source_name")
     by_name = attributed.join(all_sources.select("name", "sources_id"), "name")

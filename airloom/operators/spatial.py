@@ -293,19 +293,24 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str, within_m:
         .withColumn("cj", F.explode(F.sequence(_cell(F.least("y1", "y2"), cell_deg), _cell(F.greatest("y1", "y2"), cell_deg))))
         .withColumn("ci", F.pmod("ci", F.lit(row)))
     )
+    # a polygon's edges in a cell stay together, so a point makes one row per cell and polygon
+    celled = celled.groupBy("ci", "cj", key).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
     metre = math.pi * EARTH_RADIUS / 180
     wrap = lambda d: F.pmod(d + 180, F.lit(360.0)) - 180
-    ax = wrap(F.col("x1") - F.col("lon")) * metre * F.cos(F.radians("lat"))
-    bx = wrap(F.col("x2") - F.col("lon")) * metre * F.cos(F.radians("lat"))
-    ay, by = (F.col("y1") - F.col("lat")) * metre, (F.col("y2") - F.col("lat")) * metre
-    pairs = near.join(celled, ["ci", "cj"]).select("lon", "lat", key, ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    t = F.coalesce(F.try_divide(-(F.col("ax") * dx + F.col("ay") * dy), dx * dx + dy * dy), F.lit(0.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-    far = F.sqrt(F.pow(F.col("ax") + t * dx, 2.0) + F.pow(F.col("ay") + t * dy, 2.0))
-    borders = pairs.select("lon", "lat", F.struct(far.alias("distance"), F.col(key).alias("k")).alias("_c")).where(
-        F.col("_c.distance") <= within_m
-    )
+
+    def far(e: Column) -> Column:
+        ax = wrap(e["x1"] - F.col("lon")) * metre * F.cos(F.radians("lat"))
+        bx = wrap(e["x2"] - F.col("lon")) * metre * F.cos(F.radians("lat"))
+        ay, by = (e["y1"] - F.col("lat")) * metre, (e["y2"] - F.col("lat")) * metre
+        dx, dy = bx - ax, by - ay
+        t = F.coalesce(F.try_divide(-(ax * dx + ay * dy), dx * dx + dy * dy), F.lit(0.0))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+        return F.sqrt(F.pow(ax + t * dx, 2.0) + F.pow(ay + t * dy, 2.0))
+
+    closest = F.array_min(F.transform("edges", far))
+    borders = near.join(celled, ["ci", "cj"]).select(
+        "lon", "lat", F.struct(closest.alias("distance"), F.col(key).alias("k")).alias("_c")
+    ).where(F.col("_c.distance") <= within_m)
     covered = assign_polygon(places, polygons, key, cell_deg).where(F.col(key).isNotNull()).select(
         "lon", "lat", F.struct(F.lit(0.0).alias("distance"), F.col(key).alias("k")).alias("_c")
     )

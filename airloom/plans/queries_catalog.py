@@ -251,18 +251,35 @@ for _what in ("country", "city"):
     )(lambda f, what=_what: catalog.sources_per(f.sensor_nodes, f.sensor_nodes_sources, what))
 
 
-@query("sensor_nodes_ext", "sensor_nodes_id:i country:s has_geo:b origin:s metadata:s")
+@query(
+    "sensor_nodes_ext",
+    "sensor_nodes_id:i country:s has_geo:b origin:s k:s own:i inside:s o:f city:s attributed:b sources_count:i first_id:s first_rank:i",
+    """SELECT n.sensor_nodes_id, n.country, n.lon IS NOT NULL OR n.ismobile AS has_geo, n.origin, coalesce(n.origin, CAST(n.sensor_nodes_id AS VARCHAR)) AS k,
+      n.sensor_nodes_id AS own, 'b' AS inside, CASE WHEN n.origin IS NOT NULL THEN 1.5 END AS o, n.city, false AS attributed,
+      count(s.sources_id) AS sources_count, min(s.slug) AS first_id, CAST(arg_min(s.sources_id, s.slug) AS BIGINT) AS first_rank
+    FROM {sensor_nodes} n LEFT JOIN {sensor_nodes_sources} l ON l.sensor_nodes_id = n.sensor_nodes_id
+    LEFT JOIN {sources} s ON s.sources_id = l.sources_id GROUP BY ALL""",
+)
 def _(f):
-    text = F.concat(F.lit('{"k": "'), F.col("sensor_nodes_id").cast("string"), F.lit('", "attribution": "x"}'))
-    nodes = f.sensor_nodes.withColumn("metadata", F.from_json(text, "map<string,string>"))
+    number = F.col("sensor_nodes_id").cast("string")
+    text = F.concat(F.lit('{"k": "'), number, F.lit('", "attribution": "x", "gone": null, "own": ['), number, F.lit(', {"a": "b"}]}'))
+    nodes = f.sensor_nodes.withColumn("metadata", text)
     history = f.sensor_nodes.select(
         "sensor_nodes_id", F.array("city").alias("cities"), F.array("source_name").alias("source_names"), F.array("site_name").alias("site_names")
     )
-    origins = f.sensor_nodes.select("origin").where(F.col("origin").isNotNull()).distinct().withColumn(
-        "metadata", F.create_map(F.lit("k"), F.col("origin"), F.lit("o"), F.lit("1"))
+    origins = f.sensor_nodes.select("origin").where(F.col("origin").isNotNull()).distinct()
+    origins = origins.withColumn("metadata", F.to_json(F.struct(F.col("origin").alias("k"), F.lit(1.5).alias("o"))))
+    told = f.sources.withColumn("metadata", F.to_json(F.struct(F.col("sources_id").alias("rank"))))
+    rows = catalog.sensor_nodes_ext(nodes, history, origins, catalog.node_sources(f.sensor_nodes_sources, told))
+    whole, field = F.parse_json("metadata"), lambda path: F.get_json_object("metadata", path)
+    return rows.select(
+        "sensor_nodes_id", "country", "has_geo", "origin", field("$.k").alias("k"),
+        F.try_variant_get(whole, "$.own[0]", "bigint").alias("own"), field("$.own[1].a").alias("inside"),
+        F.try_variant_get(whole, "$.o", "double").alias("o"), F.try_variant_get(whole, "$.pvals.cities[0]", "string").alias("city"),
+        F.col("metadata").rlike("attribution|gone").alias("attributed"),
+        F.coalesce(F.json_array_length(field("$.sources")), F.lit(0)).alias("sources_count"), field("$.sources[0].id").alias("first_id"),
+        F.try_variant_get(whole, "$.sources[0].rank", "bigint").alias("first_rank"),
     )
-    sources = catalog.node_sources(f.sensor_nodes_sources, f.sources)
-    return catalog.sensor_nodes_ext(nodes, history, origins, sources).withColumn("metadata", F.to_json("metadata"))
 
 
 @query(

@@ -303,16 +303,21 @@ def _(f):
 # ---- sources ------------------------------------------------------------------------------------
 
 _SRC_NODES = """SELECT c_custkey AS sensor_nodes_id, c_mktsegment AS source_name, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE upper(CASE c_custkey % 3 WHEN 0 THEN 'dir' WHEN 1 THEN 'att' ELSE 'oth' END) END AS origin,
-  CASE WHEN c_custkey % 3 = 0 THEN concat('{{"sensor_node_source_fullname": "Full ', c_mktsegment, '", "source_type": "s"}}')
-       WHEN c_custkey % 3 = 1 THEN concat('{{"attribution": [{{"name": "N', CAST(c_nationkey AS STRING), '", "url": "u', CAST(c_nationkey AS STRING), '"}}, {{"name": "Common", "url": "c"}}]}}')
+  CASE WHEN c_custkey % 3 = 0 THEN concat('{{"sensor_node_source_fullname": "Full ', c_mktsegment, '", "source_type": "s", "n": 1.5, "gone": null, "list": [1, {{"a": "b"}}]}}')
+       WHEN c_custkey % 3 = 1 THEN concat('{{"attribution": [{{"name": "N', CAST(c_nationkey AS STRING), '", "url": "u', CAST(c_nationkey AS STRING), '", "rank": ', CAST(c_nationkey AS STRING), '}}, {{"name": "Common", "url": "c"}}]}}')
        ELSE '{{"entity": "e"}}' END AS metadata FROM {customer}"""
 
 
+_READMES = """SELECT slug, concat('about ', slug) AS readme FROM {sources} WHERE sources_id % 4 <> 0
+UNION ALL SELECT DISTINCT c_mktsegment, 'about the segment' FROM {customer} UNION ALL SELECT DISTINCT lower(c_mktsegment), 'never' FROM {customer}"""
+
+
 def _sources(f):
-    origins = f.sql("SELECT DISTINCT upper(CASE c_custkey % 3 WHEN 0 THEN 'dir' ELSE 'att' END) AS origin, '{{\"country\": \"x\"}}' AS metadata FROM {customer}")
-    held = f.sources.select("sources_id", "slug", "name", F.lit(None).cast("map<string,string>").alias("metadata"))
+    origins = f.sql("SELECT DISTINCT upper(CASE c_custkey % 3 WHEN 0 THEN 'dir' ELSE 'att' END) AS origin, '{{\"country\": \"x\", \"n\": 2}}' AS metadata FROM {customer}")
+    held = f.sources.select("sources_id", "slug", "name", F.lit(None).cast("string").alias("metadata"), "readme")
+    readmes = f.sql(_READMES)
     links = f.sensor_nodes_sources.where(F.lit(False))
-    return ingest.update_sources(f.sql(_SRC_NODES), origins, held, links, "DIR", "ATT")
+    return ingest.update_sources(f.sql(_SRC_NODES), origins, held, links, "DIR", "ATT", readmes)
 
 
 @query(
@@ -330,19 +335,48 @@ def _(f):
 @query(
     "update_sources_new", "slug:s name:s metadata:s",
     """SELECT source_name AS slug, 'Full ' || source_name AS name, NULL AS metadata FROM {nodes} WHERE origin = 'DIR' UNION
-    SELECT NULL, name, '{{"url":"' || url || '"}}' FROM (SELECT json_extract_string(metadata, '$.attribution[0].name') AS name, json_extract_string(metadata, '$.attribution[0].url') AS url FROM {nodes} WHERE origin = 'ATT'
-      UNION SELECT 'Common', 'c') a UNION
+    SELECT NULL, name, '{{' || coalesce('"rank":' || rank || ',', '') || '"url":"' || url || '"}}' FROM (SELECT json_extract_string(metadata, '$.attribution[0].name') AS name, json_extract_string(metadata, '$.attribution[0].url') AS url,
+      json_extract_string(metadata, '$.attribution[0].rank') AS rank FROM {nodes} WHERE origin = 'ATT' UNION SELECT 'Common', 'c', NULL) a UNION
     SELECT lower(source_name), source_name, NULL FROM {nodes} WHERE (origin <> 'DIR' OR origin IS NULL) AND NOT contains(metadata, 'attribution')""",
     {"nodes": _SRC_NODES},
 )
 def _(f):
     _, sources, _ = _sources(f)
-    return sources.join(f.sources.select("name"), "name", "left_anti").withColumn("metadata", F.to_json("metadata"))
+    return sources.join(f.sources.select("name"), "name", "left_anti")
 
 
-@query("update_sources_nodes", "sensor_nodes_id:i origin:s metadata:s")
+@query(
+    "update_sources_readmes", "slug:s name:s readme:s",
+    """SELECT s.slug, s.name, coalesce(s.readme, r.readme) AS readme FROM {sources} s LEFT JOIN {readmes} r ON r.slug = s.slug
+    UNION SELECT source_name, 'Full ' || source_name, 'about the segment' FROM {nodes} WHERE origin = 'DIR'
+    UNION SELECT NULL, name, NULL FROM (SELECT json_extract_string(metadata, '$.attribution[0].name') AS name FROM {nodes} WHERE origin = 'ATT' UNION SELECT 'Common') a
+    UNION SELECT lower(source_name), source_name, NULL FROM {nodes} WHERE (origin <> 'DIR' OR origin IS NULL) AND NOT contains(metadata, 'attribution')""",
+    {"nodes": _SRC_NODES, "readmes": _READMES},
+)
 def _(f):
-    return _sources(f)[0]
+    return _sources(f)[1]
+
+
+@query(
+    "update_sources_nodes", "sensor_nodes_id:i origin:s country:s n:f kind:s elements:i inner_b:s has_gone:b attributed:s rank:i entity:s",
+    """SELECT sensor_nodes_id, coalesce(origin, upper(source_name)) AS origin, CASE WHEN taken THEN 'x' END AS country,
+      CASE WHEN taken THEN 2.0 WHEN json_extract(metadata, '$.n') IS NOT NULL THEN 1.5 END AS n,
+      CASE WHEN NOT taken THEN json_extract_string(metadata, '$.source_type') END AS kind,
+      json_array_length(metadata, '$.list') AS elements, json_extract_string(metadata, '$.list[1].a') AS inner_b,
+      contains(metadata, 'gone') AND NOT taken AS has_gone, json_extract_string(metadata, '$.attribution[1].name') AS attributed,
+      CAST(json_extract(metadata, '$.attribution[0].rank') AS BIGINT) AS rank, json_extract_string(metadata, '$.entity') AS entity
+    FROM (SELECT *, coalesce(origin IN ('DIR', 'ATT'), false) AND NOT contains(metadata, 'entity') AS taken FROM {nodes}) x""",
+    {"nodes": _SRC_NODES},
+)
+def _(f):
+    field = lambda path: F.get_json_object("metadata", path)
+    return _sources(f)[0].select(
+        "sensor_nodes_id", "origin", field("$.country").alias("country"),
+        F.try_variant_get(F.parse_json("metadata"), "$.n", "double").alias("n"), field("$.source_type").alias("kind"),
+        F.json_array_length(field("$.list")).alias("elements"), field("$.list[1].a").alias("inner_b"),
+        F.col("metadata").contains("gone").alias("has_gone"), field("$.attribution[1].name").alias("attributed"),
+        F.try_variant_get(F.parse_json("metadata"), "$.attribution[0].rank", "bigint").alias("rank"), field("$.entity").alias("entity"),
+    )
 
 
 # ---- migration maps -------------------------------------------------------------------------------
@@ -550,14 +584,15 @@ for _i, (_name, _out, _sql) in enumerate((
 
 @query(
     "json_merge_agg", "sensor_nodes_id:i merged:s",
-    """SELECT user_id AS sensor_nodes_id, '{{"k":"' || CAST(arg_max(k, event_id) AS VARCHAR) || '","t":"' || arg_max(event_type, event_id) || '"}}' AS merged
+    """SELECT user_id AS sensor_nodes_id, '{{"k":' || CAST(arg_max(k, event_id) AS VARCHAR) || ',"l":[' || CAST(arg_max(k, event_id) AS VARCHAR) || ',{{"x":"y"}}],"t":"' || arg_max(event_type, event_id) || '"}}' AS merged
     FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k FROM {events}) e GROUP BY 1""",
 )
 def _(f):
     rows = f.sql(
-        "SELECT user_id AS sensor_nodes_id, event_id, map('k', CAST(CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS STRING), 't', event_type) AS m FROM {events}"
+        """SELECT user_id AS sensor_nodes_id, event_id, concat('{{"t": "', event_type, '", "k": ', k, ', "l": [', k, ', {{"x": "y"}}]}}') AS m
+        FROM (SELECT *, CAST(CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS STRING) AS k FROM {events}) e"""
     )
-    return ingest.merge_maps(rows, ["sensor_nodes_id"], "m", F.col("event_id"), "merged").withColumn("merged", F.to_json("merged"))
+    return ingest.merge_json(rows, ["sensor_nodes_id"], "m", F.col("event_id"), "merged")
 
 
 @query(

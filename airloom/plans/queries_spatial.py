@@ -172,7 +172,15 @@ def _(f):
     return spatial.assign_polygon(points, shapes, "countries_id", cell_deg=5.0).join(boxes.select("countries_id", "iso"), "countries_id", "left")
 
 
-@query("nearest_country", "sensor_nodes_id:i countries_id:i distance:n")
+# on the plane touching the point, the distance to a box is that to its nearest coordinates
+@query(
+    "nearest_country", "sensor_nodes_id:i countries_id:i distance:n",
+    """SELECT p.sensor_nodes_id, b.countries_id, b.d AS distance FROM {sensor_nodes} p LEFT JOIN
+      (SELECT sensor_nodes_id, unnest(arg_min({{'countries_id': countries_id, 'd': d}}, (d, countries_id))) FROM
+        (SELECT n.sensor_nodes_id, z.countries_id, sqrt(pow(greatest(xmin - lon, 0, lon - xmax) * m * cos(radians(lat)), 2) + pow(greatest(ymin - lat, 0, lat - ymax) * m, 2)) AS d
+        FROM {sensor_nodes} n, {boxes} z, (SELECT pi() * 6371008.7714150598 / 180 AS m) r WHERE lon IS NOT NULL) x WHERE d <= 250000 GROUP BY 1) b ON b.sensor_nodes_id = p.sensor_nodes_id""",
+    {"boxes": _NATION_BOX},
+)
 def _(f):
     boxes = f.sql(_NATION_BOX)
     ring = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("xmin", "ymin"), ("xmin", "ymax"), ("xmax", "ymax"), ("xmax", "ymin"))])
