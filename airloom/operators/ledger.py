@@ -112,10 +112,14 @@ def touched_periods(touched: DataFrame, level: str, zones: DataFrame | None = No
     (tzid) use at the instant is concerned. For level year `datetime` is a local date.
     """
     if "offset_s" not in touched.columns:
+        # no zone changes its clock within a quarter of an hour (UTC), so instants reduce to
+        # quarters and zones to the few offsets in use there before they meet
         listed = zones.agg(F.collect_set("tzid")).scalar()
-        touched = touched.select("datetime", F.explode(listed).alias("tzid")).select(
-            "datetime", timeops.offset_seconds("datetime", F.col("tzid")).alias("offset_s")
-        )
+        quarter = F.timestamp_seconds(F.floor(F.unix_seconds("datetime") / 900) * 900)
+        exact = touched.select("datetime", quarter.alias("_q")) if level == "hour" else touched.select("datetime", quarter.alias("_q")).distinct()
+        offsets = F.array_distinct(F.transform(listed, lambda z: timeops.offset_seconds("_q", z)))
+        used = exact.select("_q").distinct().select("_q", offsets.alias("_offsets"))
+        touched = exact.join(used, "_q").select("datetime", F.explode("_offsets").alias("offset_s"))
     off = F.col("offset_s")
     period = {
         "hour": lambda: timeops.hour_end("datetime", off),

@@ -59,9 +59,27 @@ def with_hour(facts: DataFrame, ctx: DataFrame) -> DataFrame:
     return rows.withColumn("hour", timeops.hour_end("datetime", offset))
 
 
+def within_periods(rows: DataFrame, periods: DataFrame, level: str) -> DataFrame:
+    """Rows of facts that can belong to the periods: bounds that reach the scan.
+
+    From the first period to the end of the last one, 26 hours wider either way (a zone is
+    at most so far off UTC), as scalar subqueries: they run before the scan and prune its
+    row groups, and its month folders where the facts have the column `ym`.
+    """
+    first, last = F.min("datetime").cast("timestamp"), F.max("datetime").cast("timestamp")
+    length = {"hour": 0, "day": 86400, "year": 366 * 86400}[level]
+    low = periods.agg(timeops.shift(first, -26 * 3600).alias("t"))
+    high = periods.agg(timeops.shift(last, length + 26 * 3600).alias("t"))
+    at = F.col("datetime")
+    if "ym" in rows.columns:
+        month = (F.year("t") * 100 + F.month("t")).alias("ym")
+        rows = rows.where((F.col("ym") >= low.select(month).scalar()) & (F.col("ym") <= high.select(month).scalar()))
+    return rows.where((at >= low.scalar()) & (at <= high.scalar()))
+
+
 def hourly_rollup(measurements: DataFrame, ctx: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """Per sensor and local hour. `periods(datetime, offset_s)` limits to those hours."""
-    rows = with_hour(measurements, ctx)
+    rows = with_hour(measurements if periods is None else within_periods(measurements, periods, "hour"), ctx)
     if periods is not None:
         wanted = periods.select(F.col("datetime").alias("hour"), "offset_s").distinct()
         at_hour = by_zone(ctx, lambda zone: timeops.offset_seconds("hour", zone))
@@ -147,6 +165,8 @@ def daily_rollup(
         hourly = hourly.where(F.col("datetime") > timeops.shift(timeops.instant(start), -26 * 3600))
     if end is not None:
         hourly = hourly.where(F.col("datetime") <= timeops.shift(timeops.instant(end), 26 * 3600))
+    if periods is not None:
+        hourly = within_periods(hourly, periods, "day")
     at_lag = None
     if lag is not None:
         at_lag = timeops.local_hour_int(timeops.instant(as_of), F.col("tzid")) == lag
@@ -162,6 +182,8 @@ def daily_rollup(
 
 def annual_rollup(hourly: DataFrame, ctx: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """Per sensor and local year, from hourly rows (day percentiles cannot be combined)."""
+    if periods is not None:
+        hourly = within_periods(hourly, periods, "year")
     rows = _local_hours(hourly, ctx).withColumn(
         "_period", by_zone(ctx, lambda zone: timeops.local_year("datetime", zone))
     )

@@ -24,6 +24,16 @@ def with_month(df: DataFrame, column: str = "datetime") -> DataFrame:
     return df.withColumn("ym", F.year(at) * 100 + F.month(at))
 
 
+def months_of(stamps: DataFrame, column: str = "datetime") -> list[int]:
+    """The UTC months that occur, a few integers: literals that prune month folders."""
+    return sorted(r.ym for r in with_month(stamps.select(column), column).select("ym").distinct().collect() if r.ym)
+
+
+def read_months(spark: SparkSession, path: str, months: Sequence[int]) -> DataFrame:
+    """Rows of the given month folders; no other folder is opened."""
+    return spark.read.parquet(path).where(F.col("ym").isin(list(months)))
+
+
 def _month(text: str) -> int:
     year, month = re.match(r"(\d{4})-(\d{2})", text).groups()
     return int(year) * 100 + int(month)
@@ -65,8 +75,7 @@ def load_direct(df: DataFrame, path: str) -> None:
 def load_indirect(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ("sensors_id", "datetime")) -> None:
     """Append only rows whose key is absent, comparing within the months that arrive."""
     staged = with_month(df)
-    months = staged.select("ym").distinct()
-    existing = spark.read.parquet(path).join(months, "ym", "left_semi")
+    existing = read_months(spark, path, months_of(df))
     write_measurements(absent_rows(existing, staged, list(keys)).drop("ym"), path)
 
 
@@ -85,8 +94,7 @@ def upsert_months(spark: SparkSession, incoming: DataFrame, path: str, keys: Seq
     if not _exists(spark, path):
         write_measurements(staged.drop("ym"), path, sort=list(keys))
         return
-    months = staged.select("ym").distinct()
-    existing = spark.read.parquet(path).join(months, "ym", "left_semi")
+    existing = read_months(spark, path, months_of(incoming))
     merged = upsert(existing, staged, list(keys), merge=merge)
     stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex}"
     merged.write.parquet(stage)

@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airloom.functions import timeops
 from airloom.operators import ledger, rollups
-from airloom.operators.context import by_zone, join_context
+from airloom.operators.context import by_zone, join_context, recount
 from airloom.operators.upsert import absent_rows, one_per_key
 from airloom.session import configure
-from airloom.sources.files import _exists, upsert_months, with_month, write_measurements
+from airloom.sources.files import _exists, months_of, read_months, upsert_months, write_measurements
 
 
 @dataclass(frozen=True)
@@ -39,24 +39,40 @@ class Store:
         return f"{self.root}/{level}_ledger"
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished snapshots of a folder, oldest first.
+
+    A snapshot is finished once its writer has left `_SUCCESS` in it, and its name begins
+    with its number, so there is no marker that could be missing or half written.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    found = [f.getPath().getName() for f in fs.listStatus(where)]
+    done = [n for n in found if n.startswith("v_") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(done)
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    """A versioned folder: its `current` marker names the snapshot to read."""
-    marker = spark.read.text(f"{path}/current").first()[0]
-    return spark.read.parquet(f"{path}/{marker}")
+    return spark.read.parquet(f"{path}/{_versions(spark, path)[-1]}")
 
 
-def _publish(df: DataFrame, path: str) -> None:
-    """Write a new snapshot, then point `current` at it; readers see old or new."""
-    spark, version = df.sparkSession, f"v_{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).text(f"{path}/current")
+def _publish(df: DataFrame, path: str, keep: int = 3) -> None:
+    """Write a new snapshot; readers take the newest finished one. Of the older ones `keep`
+    stay for readers that have begun, the rest are removed."""
+    spark = df.sparkSession
+    known = _versions(spark, path)
+    number = int(known[-1].split("_")[1]) + 1 if known else 1
+    df.write.mode("errorifexists").parquet(f"{path}/v_{number:012d}_{uuid.uuid4().hex}")
+    for name in known[: max(0, len(known) - keep)]:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def _ledger(spark: SparkSession, store: Store, level: str) -> DataFrame:
     path = store.ledger(level)
-    if _exists(spark, f"{path}/current"):
+    if _versions(spark, path):
         return _read(spark, path)
     return spark.createDataFrame([], ledger.ledger_schema(level))
 
@@ -64,15 +80,26 @@ def _ledger(spark: SparkSession, store: Store, level: str) -> DataFrame:
 def _calculated(spark: SparkSession, ctx: DataFrame, store: Store, stale: DataFrame, level: str, as_of: str) -> DataFrame:
     """Ledger entries of recomputed periods, counted from the rows just written."""
     path, now = store.data(level), timeops.instant(as_of)
-    rows = spark.read.parquet(path).where(F.col("calculated_on") == now)
+    rows = read_months(spark, path, months_of(stale)).where(F.col("calculated_on") == now)
     counts = ledger.period_counts(rows, ctx, stale, level)
     return stale.select(*ledger.KEYS).join(counts, ledger.KEYS, "left").select(
-        *ledger.KEYS, now.alias("calculated_on"), F.lit(1).alias("calculated_count"),
+        *ledger.KEYS, now.alias("calculated_on"), F.lit(2).alias("calculated_count"),
         F.coalesce("sensor_nodes_count", F.lit(0)).alias("sensor_nodes_count"),
         F.coalesce("sensors_count", F.lit(0)).alias("sensors_count"), "measurements_count",
     )
 
 
+def _months_around(periods: DataFrame, level: str) -> list[int]:
+    """UTC months in which rows of the periods can lie."""
+    day = F.col("datetime").cast("date")
+    if level == "year":
+        begin = F.trunc(day, "year")
+        stamps = F.sequence(F.add_months(begin, -1), F.add_months(begin, 12), F.expr("interval 1 month"))
+    else:
+        stamps = F.array(*[F.date_add(day, k) for k in (-2, 0, 2)])
+    return months_of(periods.select(F.explode(stamps).alias("datetime")).distinct())
+
+
 def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: str) -> None:
     """Bring hour, day and year data up to date, each level touching only stale periods."""
     parents = None
@@ -81,20 +108,15 @@ def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: st
         if parents is not None:
             book = ledger.mark_periods(book, parents, as_of)
         stale = ledger.stale_periods(book, level, None, upper="9999-01-01", as_of=as_of)
-        if level == "hour":
-            # only months that hold stale hours are read again
-            months = with_month(stale.select(timeops.shift("datetime", -3600).alias("datetime"))).select("ym").union(
-                with_month(stale.select("datetime")).select("ym")
-            ).distinct()
-            facts = spark.read.parquet(store.facts()).join(months, "ym", "left_semi").drop("ym")
-            rows = rollups.hourly_rollup(facts, ctx, periods=stale)
-        else:
-            roll = rollups.daily_rollup if level == "day" else rollups.annual_rollup
-            rows = roll(spark.read.parquet(store.data("hour")).drop("ym"), ctx, periods=stale)
+        # only months that can hold rows of stale periods are read again
+        source = store.facts() if level == "hour" else store.data("hour")
+        recent = read_months(spark, source, _months_around(stale, level)).drop("ym")
+        roll = {"hour": rollups.hourly_rollup, "day": rollups.daily_rollup, "year": rollups.annual_rollup}[level]
+        rows = roll(recent, ctx, periods=stale)
         rows = rows.withColumn("calculated_on", timeops.instant(as_of))
         upsert_months(spark, rows, store.data(level), ["sensors_id", "datetime"])
         done = _calculated(spark, ctx, store, stale, level, as_of)
-        marked = ledger.upsert(book, done, ledger.KEYS, merge={"calculated_count": F.col("old.calculated_count") + 1})
+        marked = ledger.upsert(book, done, ledger.KEYS, merge={"calculated_count": F.col("old.calculated_count") + 2})
         _publish(marked, store.ledger(level))
         # stale periods of the published ledger are those calculated just now
         written = _read(spark, store.ledger(level)).where(F.col("calculated_on") == timeops.instant(as_of))
@@ -104,13 +126,13 @@ def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: st
 def ingest_batch(spark: SparkSession, batch: DataFrame, ctx: DataFrame, store: Store, as_of: str, recompute: bool = True) -> None:
     """Insert absent measurements, mark their hours as modified, and recompute."""
     configure(spark)
+    recount(ctx)
     keys = ["sensors_id", "datetime"]
     first = not _exists(spark, store.facts())
     if first:
         fresh = one_per_key(batch, keys)
     else:
-        months = with_month(batch.select("datetime")).select("ym").distinct()
-        existing = spark.read.parquet(store.facts()).join(months, "ym", "left_semi")
+        existing = read_months(spark, store.facts(), months_of(batch))
         fresh = absent_rows(existing, batch, keys)
     # hours come from the whole batch, so a repeated batch after a failure marks them again
     located = join_context(batch.select("sensors_id", "datetime"), ctx, "tzid").select(

@@ -201,7 +201,10 @@ def test_append_stream_dedupe_and_state(spark, tmp_path):
     got = {(r.sensors_id, r.hour): r.value_count for r in hours.collect()}
     assert got and all(want[k] == v for k, v in got.items())
     runs = drain(arrivals.stream_sessions(spark.readStream.schema(f.measurements.schema).parquet(source)), "sessions")
-    assert runs.count() >= 0
+    want = {tuple(r) for r in arrivals.stream_sessions(f.measurements.unionByName(f.measurements)).collect()}
+    closed = f.measurements.agg(F.max("datetime") - F.expr("interval 1 day")).first()[0]
+    got = {tuple(r) for r in runs.collect()}
+    assert got <= want and {w for w in want if w[2] < closed} <= got and got
 
     cut = F.col("datetime") < F.lit("2024-01-15").cast("timestamp")
     empty = spark.createDataFrame([], "sensors_id long, datetime_first timestamp, datetime_last timestamp, value_count long, n long, mean double, m2 double, value_min double, value_max double, value_latest double")
@@ -211,3 +214,49 @@ def test_append_stream_dedupe_and_state(spark, tmp_path):
         assert r.sd is None or abs((r.m2 / (r.n - 1)) ** 0.5 - r.sd) < 1e-9
     late = arrivals.late_rows(f.measurements.where(cut), f.lifetime, 86400)
     assert late.count() > 0
+
+
+def _scan_filters(df) -> str:
+    """Partition and data filters of the file scans of a plan, as it is before it runs."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return " ".join(line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_incremental_paths_open_few_months(spark, tmp_path, monkeypatch):
+    from airloom.sources import files
+
+    f, path = Frames(spark, SF), str(tmp_path / "facts")
+    files.write_measurements(f.measurements_long, path)
+    all_months = files.months_of(f.measurements_long)
+    few = f.measurements_long.where(F.col("datetime").between("1996-03-05", "1996-04-20"))
+    assert len(all_months) > 50 and files.months_of(few) == [199603, 199604]
+    filters = _scan_filters(files.read_months(spark, path, files.months_of(few)))
+    assert "PartitionFilters: [ym" in filters and "199603,199604" in filters
+    opened = []
+    read = files.read_months
+    monkeypatch.setattr(files, "read_months", lambda s, p, months: opened.append(list(months)) or read(s, p, months))
+    files.load_indirect(spark, few, path)
+    files.upsert_months(spark, few.withColumn("value", F.lit(-1.0)), path, ["sensors_id", "datetime"])
+    assert opened == [[199603, 199604]] * 2
+    back = spark.read.parquet(path)
+    assert back.count() == f.measurements_long.count() and back.where("value = -1").count() == few.count()
+
+    periods = spark.createDataFrame([("1996-03-10 05:00:00", 0)], "t string, offset_s int").select(F.col("t").cast("timestamp").alias("datetime"), "offset_s")
+    for level, wanted in (("hour", {199603}), ("day", {199603}), ("year", None)):
+        pruned = rollups.within_periods(back, periods, level)
+        assert "PartitionFilters: [isnotnull(ym" in _scan_filters(pruned) and "subquery" in _scan_filters(pruned)
+        months = set(files.months_of(pruned))
+        assert months and months < set(all_months) and (wanted is None or months <= wanted)
+    days = spark.createDataFrame([("1996-03-31", 0), ("1998-01-01", 0)], "t string, offset_s int").select(F.col("t").cast("date").alias("datetime"), "offset_s")
+    assert arrivals._months_around(days, "day") == [199603, 199604, 199712, 199801]
+    assert arrivals._months_around(days.limit(1), "year") == [199512, *range(199601, 199613), 199701]
+
+
+def test_snapshots_are_found_by_their_own_success(spark, tmp_path):
+    path = str(tmp_path / "book")
+    for i in range(6):
+        arrivals._publish(spark.range(i + 1), path, keep=2)
+        assert arrivals._read(spark, path).count() == i + 1
+    assert len(arrivals._versions(spark, path)) == 3
+    (tmp_path / "book" / "v_999999999999_unfinished").mkdir()
+    assert arrivals._read(spark, path).count() == 6
