@@ -6,6 +6,7 @@ from importlib import import_module
 
 _MODULES = (
     "queries_rollups", "queries_exports", "queries_monitor", "queries_catalog", "queries_spatial", "queries_ingest",
+    "queries_files",
 )
 
 

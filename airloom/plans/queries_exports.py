@@ -20,42 +20,17 @@ def _zones(f):
 _ZONES = "SELECT n.sensor_nodes_id, t.tzid FROM {sensor_nodes} n LEFT JOIN {timezones} t ON t.timezones_id = n.timezones_id"
 
 
-@query(
-    "read_measurements_range", "sensors_id:i datetime:t value:f",
-    """SELECT sensors_id, datetime, value FROM {measurements}
-    WHERE datetime > TIMESTAMP '2024-01-05' AND datetime <= TIMESTAMP '2024-01-12'""",
-)
-def _(f):
-    at = F.col("datetime")
-    return f.measurements.where((at > timeops.instant("2024-01-05")) & (at <= timeops.instant("2024-01-12")))
-
-
 _RAW = """SELECT l_suppkey*5 + l_linenumber % 5 AS sensors_id, l_shipdate AS datetime, l_quantity AS value, l_extendedprice AS price FROM {lineitem}"""
 
 
-@query(
-    "load_indirect", "sensors_id:i datetime:t value:f price:f",
-    """SELECT sensors_id, datetime, value, price FROM (SELECT *, 0 AS old FROM {first} UNION ALL
-      SELECT DISTINCT ON (sensors_id, datetime) *, 1 AS old FROM (SELECT * FROM {raw} ORDER BY sensors_id, datetime, value, price) r
-      WHERE NOT EXISTS (SELECT 1 FROM {first} e WHERE e.sensors_id = r.sensors_id AND e.datetime = r.datetime)
-      ORDER BY sensors_id, datetime, value, price) x""",
-    {"raw": _RAW, "first": """SELECT sensors_id, datetime, min(value) AS value, min(price) AS price FROM {raw} WHERE sensors_id % 2 = 0 GROUP BY 1, 2"""},
-)
-def _(f):
-    rows = f.sql(_RAW)
-    held = rows.where(F.col("sensors_id") % 2 == 0).groupBy("sensors_id", "datetime").agg(
-        F.min("value").alias("value"), F.min("price").alias("price")
-    )
-    return upsert.insert_absent(held, rows, ["sensors_id", "datetime"])
-
-
 @query(
     "insert_absent", "sensors_id:i datetime:t value:f",
-    """SELECT sensors_id, datetime, min(value) AS value FROM {raw} GROUP BY 1, 2""", {"raw": _RAW},
+    """SELECT sensors_id, datetime, CASE WHEN sensors_id % 2 = 0 THEN -min(value) ELSE min(value) END AS value FROM {raw} GROUP BY 1, 2""", {"raw": _RAW},
 )
 def _(f):
-    rows = f.sql(_RAW).select("sensors_id", "datetime", "value")
-    return upsert.insert_absent(rows.where(F.lit(False)), rows, ["sensors_id", "datetime"])
+    rows, keys = f.sql(_RAW).select("sensors_id", "datetime", "value"), ["sensors_id", "datetime"]
+    held = rows.where(F.col("sensors_id") % 2 == 0).groupBy(*keys).agg((-F.min("value")).alias("value"))
+    return upsert.insert_absent(held, rows, keys)
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,16 +21,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir.
 
     A folder of our own is used only in a local session (one machine, as in tests) that
     names none; a cluster without the setting is an error.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return configured or f"file://{tempfile.mkdtemp(prefix='airloom-')}"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not configured and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="airloom-ckpt-"))
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

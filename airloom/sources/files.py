@@ -15,6 +15,10 @@ from airloom.functions import timeops
 from airloom.operators.upsert import absent_rows, one_per_key, upsert
 
 
+#: Text form of an instant that loses nothing (the default drops microseconds).
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 # ---- facts in parquet, one folder per month ---------------------------------------------------------
 
 
@@ -185,7 +189,7 @@ def dump_by_period(measurements: DataFrame, sensor_map: DataFrame, path: str, st
         rows = rows.where(~F.col("period").isin(*done))
     _evened(rows, "period").write.mode("append").partitionBy("period").option("sep", "|").option(
         "compression", "gzip"
-    ).csv(path)
+    ).option("timestampFormat", MICROS).csv(path)
 
 
 def dump_by_day(df: DataFrame, path: str, column: str = "datetime") -> None:
@@ -211,32 +215,66 @@ def write_export(export_rows: DataFrame, path: str) -> None:
     keys = ("provider", "country", "sensor_nodes_id", "day")
     _evened(export_rows.withColumn("day", day), *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *keys
-    ).option("header", True).option("compression", "gzip").csv(path)
+    ).option("header", True).option("compression", "gzip").option("timestampFormat", MICROS).csv(path)
+
+
+# ---- snapshots -------------------------------------------------------------------------------------------
+
+
+def snapshots(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished snapshots of a folder, oldest first.
+
+    A snapshot is finished once its writer has left `_SUCCESS` in it, and its name begins
+    with its number, so there is no marker that could be missing or half written.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    found = [f.getPath().getName() for f in fs.listStatus(where)]
+    done = [n for n in found if n.startswith("v_") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(done)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{snapshots(spark, path)[-1]}")
+
+
+def publish(df: DataFrame, path: str, keep: int = 3) -> None:
+    """Write a new snapshot; readers take the newest finished one. Of the older ones `keep`
+    stay for readers that have begun, the rest are removed."""
+    spark = df.sparkSession
+    known = snapshots(spark, path)
+    number = int(known[-1].split("_")[1]) + 1 if known else 1
+    df.write.mode("errorifexists").parquet(f"{path}/v_{number:012d}_{uuid.uuid4().hex}")
+    for name in known[: max(0, len(known) - keep)]:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def refresh_cached(views: dict[str, DataFrame], folder: str) -> None:
-    """Replace the stored copy of each view. Each is staged first, as views may read each
-    other's copies."""
+    """Publish a new copy of each view. Earlier copies stay readable meanwhile, so views may
+    read each other's copies, and a failed refresh leaves the copies there were."""
     for name, view in views.items():
-        path, stage = f"{folder}/{name}", f"{folder}/.stage_{name}_{uuid.uuid4().hex}"
-        view.write.mode("overwrite").parquet(stage)
-        view.sparkSession.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        publish(view, f"{folder}/{name}")
+
+
+def read_cached(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_snapshot(spark, f"{folder}/{name}")
 
 
-def data_table_stats(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def data_table_stats(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> DataFrame:
     """Sizes of parquet partitions per table: average, largest, smallest, total, median,
-    count and span. `tables`: name to (frame read from files, partition column).
+    count and span. `tables`: name to (folder, partition column).
 
-    Only file metadata and the partition column are read. Partition counts are those of
-    folders, far below the rows.
+    The files are listed, not read. Partition counts are those of folders.
     """
     out = None
-    for name, (df, column) in tables.items():
-        files = df.select(
-            F.col(column).cast("string").alias("partition"), F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("b")
-        ).distinct()
-        sizes = files.groupBy("partition").agg(F.sum("b").alias("table_size")).where(F.col("table_size") > 0)
-        row = sizes.agg(
+    for name, (path, column) in tables.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+        folder = F.regexp_extract("path", rf"/{re.escape(column)}=([^/]*)/", 1)
+        sizes = files.select(folder.alias("partition"), "length").groupBy("partition").agg(F.sum("length").alias("table_size"))
+        row = sizes.where(F.col("table_size") > 0).agg(
             F.round(F.avg("table_size")).alias("table_size_avg"), F.max("table_size").alias("table_size_max"),
             F.min("table_size").alias("table_size_min"), F.sum("table_size").alias("table_size_total"),
             F.percentile("table_size", 0.5).alias("table_size_med"), F.count("*").alias("partitions_count"),

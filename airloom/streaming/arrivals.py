@@ -7,7 +7,6 @@ watermark form serves append-only outputs.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,7 +19,9 @@ from airloom.operators import ledger, rollups
 from airloom.operators.context import by_zone, join_context, recount
 from airloom.operators.upsert import absent_rows, one_per_key
 from airloom.session import configure
-from airloom.sources.files import _exists, months_of, read_months, upsert_months, write_measurements
+from airloom.sources.files import (
+    _exists, months_of, publish, read_months, read_snapshot, snapshots, upsert_months, write_measurements,
+)
 
 
 @dataclass(frozen=True)
@@ -39,41 +40,10 @@ class Store:
         return f"{self.root}/{level}_ledger"
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of the finished snapshots of a folder, oldest first.
-
-    A snapshot is finished once its writer has left `_SUCCESS` in it, and its name begins
-    with its number, so there is no marker that could be missing or half written.
-    """
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return []
-    found = [f.getPath().getName() for f in fs.listStatus(where)]
-    done = [n for n in found if n.startswith("v_") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return sorted(done)
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{_versions(spark, path)[-1]}")
-
-
-def _publish(df: DataFrame, path: str, keep: int = 3) -> None:
-    """Write a new snapshot; readers take the newest finished one. Of the older ones `keep`
-    stay for readers that have begun, the rest are removed."""
-    spark = df.sparkSession
-    known = _versions(spark, path)
-    number = int(known[-1].split("_")[1]) + 1 if known else 1
-    df.write.mode("errorifexists").parquet(f"{path}/v_{number:012d}_{uuid.uuid4().hex}")
-    for name in known[: max(0, len(known) - keep)]:
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-
-
 def _ledger(spark: SparkSession, store: Store, level: str) -> DataFrame:
     path = store.ledger(level)
-    if _versions(spark, path):
-        return _read(spark, path)
+    if snapshots(spark, path):
+        return read_snapshot(spark, path)
     return spark.createDataFrame([], ledger.ledger_schema(level))
 
 
@@ -117,9 +87,9 @@ def recompute_store(spark: SparkSession, ctx: DataFrame, store: Store, as_of: st
         upsert_months(spark, rows, store.data(level), ["sensors_id", "datetime"])
         done = _calculated(spark, ctx, store, stale, level, as_of)
         marked = ledger.upsert(book, done, ledger.KEYS, merge={"calculated_count": F.col("old.calculated_count") + 2})
-        _publish(marked, store.ledger(level))
+        publish(marked, store.ledger(level))
         # stale periods of the published ledger are those calculated just now
-        written = _read(spark, store.ledger(level)).where(F.col("calculated_on") == timeops.instant(as_of))
+        written = read_snapshot(spark, store.ledger(level)).where(F.col("calculated_on") == timeops.instant(as_of))
         parents = ledger.cascade(written.select(*ledger.KEYS), level)
 
 
@@ -139,7 +109,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, ctx: DataFrame, store: S
         "datetime", by_zone(ctx, lambda zone: timeops.offset_seconds("datetime", zone)).alias("offset_s")
     )
     hours = located.select(timeops.hour_end("datetime", F.col("offset_s")).alias("datetime"), "offset_s").distinct()
-    _publish(ledger.mark_periods(_ledger(spark, store, "hour"), hours, as_of), store.ledger("hour"))
+    publish(ledger.mark_periods(_ledger(spark, store, "hour"), hours, as_of), store.ledger("hour"))
     write_measurements(fresh, store.facts())
     if recompute:
         recompute_store(spark, ctx, store, as_of)

@@ -10,6 +10,7 @@ from test_time import station
 from airloom.functions import timeops
 from airloom.operators import flags, ledger, rollups, schedules
 from airloom.plans.frames import Frames
+from airloom.sources import files
 from airloom.streaming import arrivals
 
 SF = "/root/testdata/sf0.001"
@@ -178,7 +179,7 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows_of(day, *CORE) == rows_of(f.daily, *CORE)
     assert rows_of(spark.read.parquet(store.data("year")), *CORE) == rows_of(rollups.annual_rollup(f.hourly, f.ctx), *CORE)
     assert spark.read.parquet(store.facts()).count() == f.measurements.count()
-    book = arrivals._read(spark, store.ledger("hour"))
+    book = files.read_snapshot(spark, store.ledger("hour"))
     assert ledger.stale_periods(book, "hour", None, upper="9999-01-01", as_of="2024-04-01").count() == 0
     assert book.agg(F.sum("measurements_count")).first()[0] == f.measurements.join(f.ctx, "sensors_id").count()
 
@@ -223,8 +224,6 @@ def _scan_filters(df) -> str:
 
 
 def test_incremental_paths_open_few_months(spark, tmp_path, monkeypatch):
-    from airloom.sources import files
-
     f, path = Frames(spark, SF), str(tmp_path / "facts")
     files.write_measurements(f.measurements_long, path)
     all_months = files.months_of(f.measurements_long)
@@ -255,8 +254,8 @@ def test_incremental_paths_open_few_months(spark, tmp_path, monkeypatch):
 def test_snapshots_are_found_by_their_own_success(spark, tmp_path):
     path = str(tmp_path / "book")
     for i in range(6):
-        arrivals._publish(spark.range(i + 1), path, keep=2)
-        assert arrivals._read(spark, path).count() == i + 1
-    assert len(arrivals._versions(spark, path)) == 3
+        files.publish(spark.range(i + 1), path, keep=2)
+        assert files.read_snapshot(spark, path).count() == i + 1
+    assert len(files.snapshots(spark, path)) == 3
     (tmp_path / "book" / "v_999999999999_unfinished").mkdir()
-    assert arrivals._read(spark, path).count() == 6
+    assert files.read_snapshot(spark, path).count() == 6
