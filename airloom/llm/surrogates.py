@@ -11,8 +11,8 @@ other entity has it; of several entities that draw the same, the first keeps it
 others draw again. Rounds go on until all entities have their own, each written to the
 shared folder. Nothing about entities is collected.
 
-Only DataFrame functions are used. Texts are matched once to list mentions, and those with
-mentions once more to put the parts together.
+Only DataFrame functions are used. Texts that can hold a mention are matched to list them, and
+those with mentions once more to put the parts together; only the former are shuffled.
 
 Defined results: null texts stay null, texts without a mention stay as they are; rows that share
 an id (a null id too) share their table of replacements, which does not change them as a
@@ -78,6 +78,14 @@ KEY = "example key"
 DIGITS = ("card", "ssn", "phone", "iban")
 
 
+def possible(text: Column) -> Column:
+    """Whether a text can hold a mention: all have a digit or an at sign, but for names.
+
+    Far cheaper than the whole pattern, which then runs over these texts only.
+    """
+    return F.coalesce(text.rlike("[0-9@]") | text.rlike(NAME), F.lit(False))
+
+
 def mentions(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ANY), 0)
 
@@ -255,8 +263,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 def replacements(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc key as `owner`, table: mention -> replacement, n_mentions of different spelling)."""
-    said = docs.select(F.col(doc).alias("owner"), F.explode(mentions(F.col(text))).alias("mention")).distinct()
-    said = stored(said)
+    listed = F.when(possible(F.col(text)), mentions(F.col(text)))
+    # an outer explode: an inner one would make the optimiser match every text twice
+    found = docs.select(F.col(doc).alias("owner"), F.explode_outer(listed).alias("mention"))
+    said = stored(found.filter("mention IS NOT NULL").distinct())
     forms = said.select("mention").distinct().withColumn("of", kind(F.col("mention")))
     forms = forms.select("mention", "of", F.posexplode(parts(F.col("mention"), F.col("of"))).alias("n", "part"))
     forms = stored(forms.select("mention", "of", "n", "part.*"))
@@ -271,7 +281,8 @@ def replacements(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "te
 def replace(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
     """`docs` with all mentions replaced; `count` names a column for their number."""
     tables = stored(replacements(docs, key, doc, text)).select(F.col("owner").alias("_owner"), F.col("table").alias("_table"))
-    joined = docs.join(tables, F.col(doc).eqNullSafe(F.col("_owner")), "left")
+    # only texts that can hold a mention meet the tables; the others are not shuffled
+    joined = docs.filter(possible(F.col(text))).join(tables, F.col(doc).eqNullSafe(F.col("_owner")), "left")
     table = F.col("_table")
     found = F.when(table.isNotNull(), mentions(F.col(text)))
     between = F.split(F.col(text), ANY, -1)
@@ -282,4 +293,7 @@ def replace(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text",
     columns = [F.when(table.isNull(), F.col(text)).otherwise(new).alias(text) if c == text else F.col(c) for c in docs.columns]
     if count:
         columns.append(F.coalesce(F.size(found), F.lit(0)).cast("long").alias(count))
-    return joined.select(*columns)
+    others = docs.filter(~possible(F.col(text)))
+    if count:
+        others = others.withColumn(count, F.lit(0).cast("long"))
+    return joined.select(*columns).unionByName(others)
