@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airloom.functions.joins import join_null_safe
+
 
 def sig_digits(n: Column, digits: int) -> Column:
     """Round to a number of significant digits; zero stays zero."""
@@ -62,16 +64,14 @@ def exact_percentiles(
     value: str,
     probs: Mapping[str, float],
     slices: int = 256,
-    in_task: int = 1_000_000,
 ) -> DataFrame:
     """Interpolated percentiles per key, exact, for keys that may hold most of the data.
 
     `percentile` keeps every distinct value of a group in one task. Here equal values
-    are first counted in parallel; when no key has more than `in_task` distinct values,
-    `percentile` works on those counts. Otherwise approximate cut points split each key
-    into slices, slice totals locate the wanted ranks, and only the slices holding them
-    are sorted. Use `percentile` itself for groups with a natural bound, such as one
-    sensor and hour.
+    are first counted in parallel; approximate cut points split each key into slices,
+    slice totals locate the wanted ranks, and only the slices holding them are sorted.
+    The counts are shuffled once and serve all steps, so the input runs once. Use
+    `percentile` itself for groups with a natural bound, such as one sensor and hour.
     """
     keys = list(keys)
     group = keys or ["_all"]
@@ -81,17 +81,11 @@ def exact_percentiles(
         .groupBy(*group, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    widest = counted.groupBy(*group).agg(F.count("*").alias("_d")).where(F.col("_d") > in_task)
-    if widest.limit(1).isEmpty():
-        levels = counted.groupBy(*group).agg(
-            F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n")).alias("_l")
-        )
-        return levels.select(*keys, *[F.get("_l", F.lit(i)).alias(name) for i, name in enumerate(probs)])
     steps = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = counted.groupBy(*group).agg(
         F.array_distinct(F.percentile_approx("_v", steps, 10_000)).alias("_cuts")
     )
-    sliced = counted.join(cuts, group).withColumn(
+    sliced = join_null_safe(counted, cuts, group).withColumn(
         "_slice", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     ).drop("_cuts")
 
@@ -119,7 +113,7 @@ def exact_percentiles(
     targets = totals.where(wanted).select(*group, "_slice", "_before", "_total")
 
     ordered = Window.partitionBy(*group, "_slice").orderBy("_v")
-    placed = sliced.join(targets, [*group, "_slice"]).withColumn(
+    placed = join_null_safe(sliced, targets, [*group, "_slice"]).withColumn(
         "_first",
         F.col("_before") + F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"),
     )

@@ -1,10 +1,9 @@
 """Row numbers and previous rows within groups of any size.
 
-A window sorts a whole group in one task. A count per group first tells whether any is
-over `chunk_rows`; if none is, the plain window runs. Otherwise such groups are cut at
-values picked by a hash of the order column (the same on every run, about one cut per
-`chunk_rows` rows), each chunk is ranked on its own, and totals of the earlier chunks
-are added. Both ways give the same result.
+A window sorts a whole group in one task. Here groups are cut at rows picked by a hash of
+the order columns (the same on every run, about one cut per `chunk_rows` rows of a key that
+has more), each chunk is ranked on its own, and totals of the earlier chunks are added.
+The input is shuffled by key and order once, and that shuffle serves all steps.
 """
 
 from __future__ import annotations
@@ -14,26 +13,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airloom.functions.joins import join_null_safe
+
 
 def _ordered(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order]
 
 
-def has_large_groups(df: DataFrame, keys: Sequence[str], rows: int) -> bool:
-    """One small job: does any key hold more than so many rows?"""
-    return not df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).limit(1).isEmpty()
+def _chunked(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]], chunk_rows: int) -> DataFrame:
+    """df with `_chunk`, rising along the order columns; equal rows share one."""
+    names = [c for c, _ in order]
+    base = df.repartition(*keys, *names)
+    big = base.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk_rows).select(*keys)
+    picked = base.select(*keys, *names).where(F.pmod(F.xxhash64(*names), F.lit(chunk_rows)) == 0)
+    cuts = join_null_safe(picked, big, keys, "left_semi").groupBy(*keys).agg(F.collect_set(F.struct(*names)).alias("_cuts"))
 
+    def reached(cut: Column) -> Column:
+        """Does the row stand at or after the cut in the order?"""
+        after = F.lit(True)
+        for name, up in reversed(order):
+            row, at = F.col(name), cut[name]
+            # NULL is the smallest value
+            over = (row > at) if up else (row < at)
+            over = F.coalesce(over, (row.isNotNull() & at.isNull()) if up else (row.isNull() & at.isNotNull()))
+            after = over | (row.eqNullSafe(at) & after)
+        return after
 
-def _chunked(df: DataFrame, keys: list[str], first: str, ascending: bool, chunk_rows: int) -> DataFrame:
-    """df with `_chunk`, rising along the first order column; equal values share one."""
-    big = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk_rows).select(*keys)
-    picked = df.select(*keys, first).where(
-        F.col(first).isNotNull() & (F.pmod(F.xxhash64(first), F.lit(chunk_rows)) == 0)
-    )
-    cuts = picked.join(big, keys, "left_semi").groupBy(*keys).agg(F.sort_array(F.collect_set(first)).alias("_cuts"))
-    below = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(first))), F.lit(0))
-    below = F.when(F.col(first).isNull() | F.col("_cuts").isNull(), 0).otherwise(below)
-    return df.join(cuts, keys, "left").withColumn("_chunk", below if ascending else -below).drop("_cuts")
+    chunk = F.coalesce(F.size(F.filter("_cuts", reached)), F.lit(0))
+    return join_null_safe(base, cuts, keys, "left").withColumn("_chunk", chunk).drop("_cuts")
 
 
 def spread_row_number(
@@ -43,21 +50,15 @@ def spread_row_number(
     name: str = "rank",
     chunk_rows: int = 200_000,
 ) -> DataFrame:
-    """row_number per key in the order of (column, ascending) pairs.
-
-    The first order column should vary within a key, and the last make rows unique.
-    """
+    """row_number per key in the order of (column, ascending) pairs, which make rows unique."""
     keys = list(keys)
-    if not has_large_groups(df, keys, chunk_rows):
-        ranks = F.row_number().over(Window.partitionBy(*keys).orderBy(*_ordered(order)))
-        return df.withColumn(name, ranks.cast("bigint"))
-    cut = _chunked(df, keys, order[0][0], order[0][1], chunk_rows)
+    cut = _chunked(df, keys, order, chunk_rows)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*keys, "_chunk").agg(F.count("*").alias("_n")).select(
         *keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*_ordered(order))
-    return cut.join(totals, [*keys, "_chunk"]).withColumn(
+    return join_null_safe(cut, totals, [*keys, "_chunk"]).withColumn(
         name, (F.row_number().over(inside) + F.col("_before")).cast("bigint")
     ).drop("_chunk", "_before")
 
@@ -67,15 +68,12 @@ def spread_lag(
 ) -> DataFrame:
     """df with `prev_<column>`: the value of the previous row per key in ascending order."""
     keys, row = list(keys), F.struct(*columns)
-    if not has_large_groups(df, keys, chunk_rows):
-        before = F.lag(row).over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]))
-        return df.withColumn("_prev", before).select(*df.columns, *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in columns])
-    cut = _chunked(df, keys, order[0], True, chunk_rows)
+    cut = _chunked(df, keys, [(c, True) for c in order], chunk_rows)
     last = cut.groupBy(*keys, "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_last"))
     chunks = Window.partitionBy(*keys).orderBy("_chunk")
     carried = last.select(*keys, "_chunk", F.lag("_last").over(chunks).alias("_carried"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    seen = cut.join(carried, [*keys, "_chunk"]).withColumn(
+    seen = join_null_safe(cut, carried, [*keys, "_chunk"]).withColumn(
         "_prev", F.when(F.row_number().over(inside) == 1, F.col("_carried")).otherwise(F.lag(row).over(inside))
     )
     return seen.select(*df.columns, *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in columns])

@@ -15,7 +15,7 @@ from airloom.plans.frames import Frames
 def hot(spark):
     """A third of all rows under key 0, many equal values."""
     rnd = random.Random(7)
-    rows = [(0 if i % 3 == 0 else rnd.randrange(1, 40), rnd.choice([None, *range(300)]), i) for i in range(6000)]
+    rows = [(None if i % 17 == 1 else 0 if i % 3 == 0 else rnd.randrange(1, 40), rnd.choice([None, *range(300)]), i) for i in range(6000)]
     return spark.createDataFrame(rows, "k int, v int, id long").cache()
 
 
@@ -25,10 +25,19 @@ def test_spread_row_number(hot, up):
     plain = hot.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(order, "id")).cast("bigint"))
     cut = ranking.spread_row_number(hot, ["k"], [("v", up), ("id", True)], "r", chunk_rows=50)
     assert sorted(map(tuple, plain.collect()), key=lambda r: r[2]) == sorted(map(tuple, cut.collect()), key=lambda r: r[2])
-    chunks = ranking._chunked(hot, ["k"], "v", up, 50).where("k = 0").select("_chunk").distinct().count()
+    chunks = ranking._chunked(hot, ["k"], [("v", up), ("id", True)], 50).where("k = 0").select("_chunk").distinct().count()
     assert chunks > 1
 
 
+def test_a_constant_first_column_is_cut_as_well(hot):
+    same = hot.withColumn("c", F.lit(1))
+    chunks = ranking._chunked(same, ["k"], [("c", True), ("id", False)], 50)
+    assert chunks.where("k = 0").select("_chunk").distinct().count() > 10
+    made = ranking.spread_row_number(same, ["k"], [("c", True), ("id", False)], "r", chunk_rows=50)
+    plain = same.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("c", F.desc("id"))).cast("bigint"))
+    assert {(r.id, r.r) for r in made.collect()} == {(r.id, r.r) for r in plain.collect()}
+
+
 def test_spread_lag(hot):
     plain = hot.withColumn("prev_id", F.lag("id").over(Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first(), "id")))
     cut = ranking.spread_lag(hot, ["k"], ["v", "id"], ["id"], chunk_rows=50)
@@ -38,9 +47,9 @@ def test_spread_lag(hot):
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_exact_percentiles(hot, keys):
     probs = {"a": 0.0, "b": 0.02, "c": 0.5, "d": 0.9731, "e": 1.0}
-    few = numeric.exact_percentiles(hot, keys, "v", probs, slices=16, in_task=5)
+    few = numeric.exact_percentiles(hot, keys, "v", probs, slices=16)
     plain = (hot.groupBy(*keys) if keys else hot.groupBy()).agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()])
-    assert {tuple(map(lambda x: round(x, 9), r)) for r in few.collect()} == {tuple(map(lambda x: round(x, 9), r)) for r in plain.collect()}
+    assert {tuple(x if x is None else round(x, 9) for x in r) for r in few.collect()} == {tuple(x if x is None else round(x, 9) for x in r) for r in plain.collect()}
 
 
 @pytest.mark.parametrize("chunk", [60, 7200, 86400 * 30])
