@@ -75,10 +75,36 @@ def max_in_ranges(
 ) -> DataFrame:
     """Ranges (low, high] with the largest `value` of facts stamped inside.
 
-    Facts collapse to one row per stamp first, then meet the ranges of their day.
+    Facts collapse to one row per stamp first. Whole days within a range take the day's
+    maximum; only its first and last day look at stamps, through a running maximum of the
+    day from either end, so no stamp is paired with a range.
     """
-    per_stamp = facts.groupBy(at).agg(F.max(value).alias("_v")).withColumn("_day", F.to_date(at))
-    cut = ranges.withColumn("_day", F.explode(F.sequence(F.to_date(low), F.to_date(high))))
-    hits = per_stamp.join(cut, "_day").where((F.col(at) > F.col(low)) & (F.col(at) <= F.col(high)))
-    best = hits.groupBy(low, high).agg(F.max("_v").alias(name))
+    at_day = F.to_date(at)
+    per_stamp = facts.where(F.col(at).isNotNull()).groupBy(at).agg(F.max(value).alias("_v")).withColumn("_day", at_day)
+    per_day = per_stamp.groupBy("_day").agg(F.max("_v").alias("_v"))
+    asked = ranges.select(low, high).distinct().where(F.col(low) < F.col(high)).select(
+        low, high, F.to_date(low).alias("_d1"), F.to_date(high).alias("_d2")
+    )
+    inner = asked.where(F.datediff("_d2", "_d1") > 1).withColumn(
+        "_day", F.explode(F.sequence(F.date_add("_d1", 1), F.date_sub("_d2", 1)))
+    ).join(per_day, "_day").select(low, high, "_v")
+
+    def edge(asked: DataFrame, day: str, limit: str, after: bool) -> DataFrame:
+        """Maximum of the day's stamps after (or up to) a limit: the stamps and the limits of a
+        day in one order, and a running maximum up to each limit."""
+        stamps = per_stamp.select("_day", F.col(at).alias("_t"), "_v")
+        marks = asked.select(F.col(day).alias("_day"), F.col(limit).alias("_t")).distinct().withColumn("_v", F.lit(None).cast(per_stamp.schema["_v"].dataType))
+        both = stamps.withColumn("_mark", F.lit(0)).unionByName(marks.withColumn("_mark", F.lit(1)))
+        # a stamp equal to the limit is inside (.., high] and outside (low, ..]
+        order = [F.desc("_t"), F.desc("_mark")] if after else [F.asc("_t"), F.asc("_mark")]
+        run = Window.partitionBy("_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        seen = both.withColumn("_best", F.max("_v").over(run)).where("_mark = 1").select("_day", "_t", F.col("_best").alias("_v"))
+        return asked.join(seen, (F.col(day) == seen["_day"]) & (F.col(limit) == seen["_t"])).select(low, high, "_v")
+
+    long = asked.where(F.col("_d1") < F.col("_d2"))
+    short = asked.where(F.col("_d1") == F.col("_d2"))
+    # ranges within one day are as short as the day's stamps between them are few
+    hits = short.join(per_stamp, F.col("_d1") == F.col("_day")).where((F.col(at) > F.col(low)) & (F.col(at) <= F.col(high))).select(low, high, "_v")
+    parts = inner.unionByName(edge(long, "_d1", low, True)).unionByName(edge(long, "_d2", high, False)).unionByName(hits)
+    best = parts.groupBy(low, high).agg(F.max("_v").alias(name))
     return ranges.join(best, [low, high], "left")

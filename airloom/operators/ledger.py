@@ -117,8 +117,8 @@ def touched_periods(touched: DataFrame, level: str, zones: DataFrame | None = No
         listed = zones.agg(F.collect_set("tzid")).scalar()
         quarter = F.timestamp_seconds(F.floor(F.unix_seconds("datetime") / 900) * 900)
         exact = touched.select("datetime", quarter.alias("_q")) if level == "hour" else touched.select("datetime", quarter.alias("_q")).distinct()
-        offsets = F.array_distinct(F.transform(listed, lambda z: timeops.offset_seconds("_q", z)))
-        used = exact.select("_q").distinct().select("_q", offsets.alias("_offsets"))
+        offsets = F.array_distinct(F.transform("_zones", lambda z: timeops.offset_seconds("_q", z)))
+        used = exact.select("_q").distinct().withColumn("_zones", listed).select("_q", offsets.alias("_offsets"))
         touched = exact.join(used, "_q").select("datetime", F.explode("_offsets").alias("offset_s"))
     off = F.col("offset_s")
     period = {

@@ -343,8 +343,17 @@ def table_counts_audit(tables: Mapping[str, DataFrame], minimums: Mapping[str, i
     return out.withColumn("enough", F.col("rows") >= F.col("minimum"))
 
 
+def node_countries_audit(nodes: DataFrame, countries: DataFrame, expected: DataFrame) -> DataFrame:
+    """Country of nodes against the one expected (`expected`: sensor_nodes_id, iso)."""
+    placed = nodes.join(countries.select("countries_id", F.col("iso").alias("found")), "countries_id")
+    told = expected.withColumnRenamed("iso", "expected").join(placed.select("sensor_nodes_id", "found"), "sensor_nodes_id", "left")
+    return told.select(
+        "sensor_nodes_id", "expected", "found", F.coalesce(F.col("found") == F.col("expected"), F.lit(False)).alias("as_expected")
+    )
+
+
 def canary_days(measurements: DataFrame, sites: DataFrame, mode: str) -> DataFrame:
-    """Daily averages of a calendar series (value = local day of month) per site.
+    """Daily averages per site, meant for a calendar series (value = local day of month).
 
     `sites`: sensors_id, site_name, tzid. utc and local group by that day; a local day's
     average must equal its day number. compare shows the stamps side by side.

@@ -150,7 +150,7 @@ FRAMES["flags"] = f"""
 SELECT event_id AS flags_id, user_id - user_id % 2 AS sensor_nodes_id, k % 4 + 1 AS flag_types_id, ts AS valid_from,
   CASE WHEN k = 50 THEN NULL ELSE ts + (k + 1) * INTERVAL '1' MINUTE END AS valid_to,
   CASE WHEN k % 3 = 0 THEN NULL ELSE user_id*5 + k % 5 END AS only_sensors_id
-FROM {_EVENTS} WHERE event_type = 'error'"""
+FROM {_EVENTS}"""
 
 FRAMES["api_logs"] = f"""
 SELECT user_id AS api_key, CASE WHEN k < 90 THEN 200 WHEN k < 97 THEN 404 ELSE 500 END AS status_code,

@@ -160,7 +160,7 @@ def _(f):
 _RANGES = """SELECT o_orderdate AS datetime_first, max(o_orderdate) + CAST(max(o_orderkey) % 5 + 1 AS INT) * INTERVAL '1' DAY AS datetime_last,
   max(o_orderdate) + CAST(max(o_orderkey) % 3 AS INT) * INTERVAL '1' DAY AS updated_on, max(o_orderdate) + INTERVAL '1' DAY AS exported_on,
   CASE WHEN count(*) % 2 = 0 THEN NULL ELSE max(o_orderdate) END AS imported_on, CAST(count(*) AS DOUBLE) AS import_time
-FROM {orders} WHERE o_orderstatus = 'P' GROUP BY o_orderdate"""
+FROM {orders} GROUP BY o_orderdate"""
 
 
 @query(
@@ -342,11 +342,11 @@ def _(f):
 @query(
     "fill_ranges", "datetime_first:t datetime_last:t",
     """SELECT a AS datetime_first, a + INTERVAL 12 HOUR AS datetime_last FROM
-      (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2001-01-01', INTERVAL 12 HOUR)) AS a) s
+      (SELECT unnest(generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2004-01-01', INTERVAL 12 HOUR)) AS a) s
     WHERE NOT EXISTS (SELECT 1 FROM {ranges} r WHERE r.datetime_first < a + INTERVAL 12 HOUR AND r.datetime_last > a)""", {"ranges": _RANGES},
 )
 def _(f):
-    return exports.fill_ranges(f.sql(_RANGES), "1996-01-01", "2001-01-01", 43200)
+    return exports.fill_ranges(f.sql(_RANGES), "1990-01-01", "2004-01-01", 43200)
 
 
 @query(

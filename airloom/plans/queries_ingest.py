@@ -9,7 +9,7 @@ from airloom.plans.frames import AS_OF
 from airloom.plans.registry import query
 
 _KEYS = """SELECT DISTINCT lower(p_type) AS key, CAST(CASE WHEN p_type LIKE 'E%' THEN 1 WHEN p_type LIKE 'P%' THEN 3 ELSE 5 END AS INT) AS measurands_id,
-  '' AS units, 'x' AS source_name FROM {part} WHERE p_type <> 'STANDARD'"""
+  '' AS units, 'x' AS source_name FROM {part}"""
 
 _SPLIT = """CASE WHEN len(string_split(ingest_id, '-')) < 3 THEN 'N/A' ELSE array_to_string(string_split(ingest_id, '-')[2:-2], '-') END"""
 

@@ -373,20 +373,30 @@ def _(f):
     return monitor.table_counts_audit({"nodes": f.sensor_nodes, "measurements": f.measurements}, {"nodes": 1000, "measurements": 1000000})
 
 
+_EXPECTED = """SELECT c_custkey AS sensor_nodes_id, CASE WHEN c_custkey % 7 = 0 THEN '??' ELSE substring(n_name, 8, 2) END AS iso
+FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey UNION ALL SELECT -n_nationkey - 1, 'XX' FROM {nation}"""
+
+
+@query(
+    "node_countries_audit", "sensor_nodes_id:i expected:s found:s as_expected:b",
+    """SELECT e.sensor_nodes_id, e.iso AS expected, c.iso AS found, coalesce(c.iso = e.iso, false) AS as_expected FROM {expected} e
+    LEFT JOIN {sensor_nodes} n ON n.sensor_nodes_id = e.sensor_nodes_id LEFT JOIN {countries} c ON c.countries_id = n.countries_id""",
+    {"expected": _EXPECTED},
+)
+def _(f):
+    return monitor.node_countries_audit(f.sensor_nodes, f.countries, f.sql(_EXPECTED))
+
+
 _SITES = "SELECT c.sensors_id, c.tzid, n.site_name FROM {ctx} c JOIN {sensor_nodes} n ON n.sensor_nodes_id = c.sensor_nodes_id"
 _COFF = "(CAST(epoch_us(timezone(s.tzid, timezone('UTC', m.datetime))) - epoch_us(m.datetime) AS BIGINT) // 1000000)"
 
 
 def _canary(f, mode):
     sites = f.ctx.select("sensors_id", "tzid", "sensor_nodes_id").join(f.sensor_nodes.select("sensor_nodes_id", "site_name"), "sensor_nodes_id")
-    day = F.dayofmonth(timeops.local_date("datetime", F.col("tzid"))).cast("double")
-    # the calendar series: each stamp's value is its local day of month
-    series = f.measurements.select("sensors_id", "datetime").join(sites.select("sensors_id", "tzid"), "sensors_id").withColumn("value", day)
-    return monitor.canary_days(series.drop("tzid"), sites.select("sensors_id", "tzid", "site_name"), mode)
+    return monitor.canary_days(f.measurements, sites.select("sensors_id", "tzid", "site_name"), mode)
 
 
-_SERIES = f"""SELECT m.sensors_id, s.site_name, s.tzid, m.datetime, {_COFF} AS off,
-      CAST(day(timezone(s.tzid, timezone('UTC', m.datetime - INTERVAL 1 SECOND))) AS DOUBLE) AS value FROM {{measurements}} m JOIN {{sites}} s ON s.sensors_id = m.sensors_id"""
+_SERIES = f"""SELECT m.sensors_id, s.site_name, s.tzid, m.datetime, {_COFF} AS off, m.value FROM {{measurements}} m JOIN {{sites}} s ON s.sensors_id = m.sensors_id"""
 for _mode, _at in (("utc", "datetime - INTERVAL 1 SECOND"), ("local", "datetime + (off - 1) * INTERVAL 1 SECOND")):
     query(
         f"canary_days_{_mode}", "site_name:s day:d first_datetime:t last_datetime:t value_count:i value_avg:f",

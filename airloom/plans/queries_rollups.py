@@ -433,7 +433,7 @@ def _(f):
 
 _TOUCH_EVENTS = """
 SELECT DISTINCT ts AS datetime, CASE user_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 19800 ELSE -28800 END AS offset_s
-FROM {events} WHERE event_type IN ('error', 'signup')"""
+FROM {events}"""
 
 
 @query(
@@ -467,12 +467,12 @@ _YEAR_LEDGER = _DAY_LEDGER.replace("CAST(l_shipdate AS DATE) AS datetime", "CAST
       CASE WHEN l.datetime IS NULL THEN NULL WHEN t.datetime IS NULL THEN l.modified_on ELSE TIMESTAMP '{AS_OF_ORDERS}' END AS modified_on,
       CASE WHEN l.datetime IS NULL THEN 0 WHEN t.datetime IS NULL THEN l.modified_count ELSE l.modified_count + 1 END AS modified_count
     FROM {{day_ledger}} l FULL JOIN (SELECT DISTINCT CAST(o.o_orderdate + ({_off('z.tzid', 'o.o_orderdate')} - 1) * INTERVAL 1 SECOND AS DATE) AS datetime,
-        {_off('z.tzid', 'o.o_orderdate')} AS offset_s FROM {{orders}} o, (SELECT DISTINCT tzid FROM {{ctx}}) z WHERE o_orderstatus = 'P') t
+        {_off('z.tzid', 'o.o_orderdate')} AS offset_s FROM {{orders}} o, (SELECT DISTINCT tzid FROM {{ctx}}) z) t
       ON t.datetime = l.datetime AND t.offset_s = l.offset_s""",
     {"day_ledger": _DAY_LEDGER},
 )
 def _(f):
-    touched = f.sql("SELECT DISTINCT o_orderdate AS datetime FROM {orders} WHERE o_orderstatus = 'P'")
+    touched = f.sql("SELECT DISTINCT o_orderdate AS datetime FROM {orders}")
     return ledger.mark_modified(f.sql(_DAY_LEDGER), touched, "day", AS_OF_ORDERS, zones=ledger.zones_in_use(f.ctx))
 
 
@@ -539,15 +539,31 @@ def _hour_ledger(f):
     return fresh.withColumn("modified_on", timeops.instant("2024-01-10")).withColumn("calculated_on", done)
 
 
-@query(
-    "recompute_hour", _HOUR,
-    f"""SELECT h.* FROM {{hourly}} h JOIN {{ctx}} c ON c.sensors_id = h.sensors_id
+# rows a target holds before: some are replaced, the others stay
+_OLD = """SELECT DISTINCT sensors_id, {at} AS datetime, CAST(-1 AS BIGINT) AS value_count FROM {{{table}}} WHERE sensors_id % 2 = 0"""
+_OLD_HOUR = _OLD.format(at="date_trunc('hour', datetime)", table="measurements")
+_OLD_DAY = _OLD.format(at="CAST(datetime AS DATE)", table="measurements_long")
+_OLD_YEAR = _OLD.format(at="CAST(date_trunc('year', datetime) AS DATE)", table="measurements_long")
+_ONTO = """SELECT * FROM {fresh} UNION ALL BY NAME SELECT * FROM {old} o
+    WHERE NOT EXISTS (SELECT 1 FROM {fresh} n WHERE n.sensors_id = o.sensors_id AND n.datetime = o.datetime)"""
+
+
+def _target(f, like, old: str, **columns):
+    empty = like.where(F.lit(False)).withColumns(columns)
+    return empty.unionByName(f.sql(old), allowMissingColumns=True)
+
+
+_STALE_HOURS_NEW = f"""SELECT h.* FROM {{hourly}} h JOIN {{ctx}} c ON c.sensors_id = h.sensors_id
     JOIN {{hour_ledger}} l ON l.datetime = h.datetime AND l.offset_s = {_off('c.tzid', 'h.datetime')}
-    WHERE l.calculated_on IS NULL AND l.datetime <= TIMESTAMP '{AS_OF}'""",
-    {"span": _SPAN, "hour_ledger": _HOUR_LEDGER},
+    WHERE l.calculated_on IS NULL AND l.datetime <= TIMESTAMP '{AS_OF}'"""
+
+
+@query(
+    "recompute_hour", _HOUR, _ONTO,
+    {"span": _SPAN, "hour_ledger": _HOUR_LEDGER, "fresh": _STALE_HOURS_NEW, "old": _OLD_HOUR},
 )
 def _(f):
-    target = f.hourly.where(F.lit(False)).withColumn("calculated_on", timeops.instant(AS_OF))
+    target = _target(f, f.hourly, _OLD_HOUR, calculated_on=timeops.instant(AS_OF))
     rows, _, _ = ledger.recompute(f.measurements, f.ctx, target, _hour_ledger(f), "hour", None, AS_OF)
     return rows
 
@@ -595,15 +611,14 @@ def _day_ledger(f):
     )
 
 
-@query(
-    "recompute_day", _DAY,
-    f"""SELECT d.* FROM {{daily_long}} d JOIN {{ctx}} c ON c.sensors_id = d.sensors_id WHERE EXISTS (SELECT 1 FROM {{day_work}} w
+_STALE_DAYS_NEW = f"""SELECT d.* FROM {{daily_long}} d JOIN {{ctx}} c ON c.sensors_id = d.sensors_id WHERE EXISTS (SELECT 1 FROM {{day_work}} w
       WHERE w.calculated_on IS NULL AND w.datetime <= DATE '2001-12-30' AND w.datetime = d.datetime AND w.offset_s IN (
-        {_off('c.tzid', 'CAST(d.datetime AS TIMESTAMP)')}, {_off('c.tzid', 'CAST(d.datetime + INTERVAL 1 DAY AS TIMESTAMP)')}))""",
-    {"day_work": _DAY_WORK},
-)
+        {_off('c.tzid', 'CAST(d.datetime AS TIMESTAMP)')}, {_off('c.tzid', 'CAST(d.datetime + INTERVAL 1 DAY AS TIMESTAMP)')}))"""
+
+
+@query("recompute_day", _DAY, _ONTO, {"day_work": _DAY_WORK, "fresh": _STALE_DAYS_NEW, "old": _OLD_DAY})
 def _(f):
-    target = f.daily_long.where(F.lit(False)).withColumn("calculated_on", timeops.instant(AS_OF)).withColumn("calculated_count", F.lit(1))
+    target = _target(f, f.daily_long, _OLD_DAY, calculated_on=timeops.instant(AS_OF), calculated_count=F.lit(1))
     rows, _, _ = ledger.recompute(f.hourly_long, f.ctx, target, _day_ledger(f), "day", None, AS_OF_ORDERS)
     return rows
 
@@ -618,8 +633,8 @@ def _(f):
 
 
 @query(
-    "recompute_year", _DAY,
-    f"""SELECT d.* FROM {{annual_long}} d WHERE d.datetime <= DATE '2000-12-31'""",
+    "recompute_year", _DAY, _ONTO,
+    {"fresh": "SELECT d.* FROM {annual_long} d WHERE d.datetime <= DATE '2000-12-31'", "old": _OLD_YEAR},
 )
 def _(f):
     empty = f.spark.createDataFrame([], ledger.ledger_schema("year"))
@@ -627,7 +642,7 @@ def _(f):
     # a year of local days may start a day before the first UTC day: mark it too
     touched = days.unionByName(days.withColumn("datetime", F.date_sub("datetime", 1)))
     work = ledger.add_periods(empty, ledger.touched_periods(touched, "year"), "2000-01-01")
-    target = f.daily_long.where(F.lit(False)).withColumn("calculated_on", timeops.instant(AS_OF)).withColumn("calculated_count", F.lit(1))
+    target = _target(f, f.daily_long, _OLD_YEAR, calculated_on=timeops.instant(AS_OF), calculated_count=F.lit(1))
     rows, _, _ = ledger.recompute(f.hourly_long, f.ctx, target, work, "year", None, AS_OF_ORDERS)
     return rows
 
