@@ -74,23 +74,40 @@ def has_measurement(measurements: DataFrame, keys: DataFrame, kind: str) -> Data
     """Keys with `found`: any row at an `instant` (datetime), in an `hour` (datetime,
     offset_s), on a `day` (day, UTC, time-ending), or of a `sensor` (sensors_id).
 
-    Facts reduce to distinct keys before the join, so busy keys cost nothing extra.
+    The keys' own range bounds the scan, facts of other keys go by a semi-join, and the rest
+    reduce to distinct keys, so busy keys cost nothing extra.
     """
     if kind == "instant":
-        have, on, asked = measurements.select(F.col("datetime").alias("_k")), ["_k"], keys.withColumn("_k", F.col("datetime"))
+        asked, at, on = keys.withColumn("_k", F.col("datetime")), F.col("datetime"), ["_k"]
+        facts = _between(measurements, at, asked).select(at.alias("_k"))
     elif kind == "hour":
-        asked = keys.withColumn("_k", timeops.hour_end("datetime", F.col("offset_s")))
+        asked, on = keys.withColumn("_k", timeops.hour_end("datetime", F.col("offset_s"))), ["_k", "offset_s"]
         offsets = keys.agg(F.collect_set("offset_s")).scalar()  # bounded: offsets in use
-        stamps = measurements.select("datetime").distinct().select("datetime", F.explode(offsets).alias("offset_s"))
-        have, on = stamps.select(timeops.hour_end("datetime", F.col("offset_s")).alias("_k"), "offset_s"), ["_k", "offset_s"]
+        stamps = _between(measurements, F.col("datetime"), asked, before_s=3600).select("datetime").distinct()
+        stamps = stamps.select("datetime", F.explode(offsets).alias("offset_s"))
+        facts = stamps.select(timeops.hour_end("datetime", F.col("offset_s")).alias("_k"), "offset_s")
     elif kind == "day":
-        have, on, asked = measurements.select(timeops.utc_date("datetime").alias("_k")), ["_k"], keys.withColumn("_k", F.col("day"))
+        asked, on = keys.withColumn("_k", F.col("day")), ["_k"]
+        times = asked.select(F.col("_k").cast("timestamp").alias("_k"))
+        near = _between(measurements, F.col("datetime"), times, after_s=86400)
+        facts = near.select(timeops.utc_date("datetime").alias("_k"))
     elif kind == "sensor":
-        have, on, asked = measurements.select(F.col("sensors_id").alias("_k")), ["_k"], keys.withColumn("_k", F.col("sensors_id"))
+        asked, at, on = keys.withColumn("_k", F.col("sensors_id")), F.col("sensors_id"), ["_k"]
+        facts = _between(measurements, at, asked).select(at.alias("_k"))
     else:
         raise ValueError(f"unknown kind {kind}")
-    marked = asked.join(have.distinct().withColumn("found", F.lit(True)), on, "left")
-    return marked.select(*keys.columns, F.coalesce("found", F.lit(False)).alias("found"))
+    wanted = broadcast_if_few(asked.select(*on).distinct(), asked)
+    found = facts.join(wanted, on, "left_semi").distinct().withColumn("found", F.lit(True))
+    return asked.join(found, on, "left").select(*keys.columns, F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def _between(facts: DataFrame, at: Column, asked: DataFrame, before_s: int = 0, after_s: int = 0) -> DataFrame:
+    """Facts from the first `_k` asked for to the last, as a predicate for the scan."""
+    low, high = asked.agg(F.min("_k").alias("_k")), asked.agg(F.max("_k").alias("_k"))
+    if before_s or after_s:
+        low = low.select(timeops.shift("_k", -before_s).alias("_k"))
+        high = high.select(timeops.shift("_k", after_s).alias("_k"))
+    return facts.where((at >= low.scalar()) & (at <= high.scalar()))
 
 
 def latest_measurement_added(measurements: DataFrame, ranges: DataFrame) -> DataFrame:
