@@ -10,7 +10,7 @@ questions about a bounded portion of texts:
   the bytes back.
 
 Words come from the tokenizer's split pattern, each match on its own. A word's ids are
-kept for later portions of the same worker up to a fixed number of words.
+kept for later portions of the same task up to a fixed number of words.
 
 Defined results: null text is the empty text; the empty text has no ids and decodes to
 nothing; rows are independent, so repeated rows and ids (also null ids) give a row each;
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from airloom.llm.shared import cut, portions
 
-#: Memory bounds of one worker: words and pieces remembered, words and tokens per query.
-KEPT_WORDS, KEPT_PIECES, WORDS_AT_ONCE, TOKENS_AT_ONCE = 300_000, 400_000, 60_000, 1_000_000
+#: Memory bounds of one worker: words and pieces remembered, words and tokens per query,
+#: rows decoded and bytes of text encoded at a time.
+KEPT_WORDS, KEPT_PIECES, WORDS_AT_ONCE, TOKENS_AT_ONCE = 200_000, 250_000, 20_000, 300_000
+ROWS_AT_ONCE, PORTION = 1000, 2_000_000
 
 #: pos, nxt: where a token begins and where its right neighbour does (a gap ends a word).
 #: A pair that may not wait (`alone`: some token made with it ranks lower) is contracted
@@ -87,7 +89,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Engine:
-    """A worker's tokenizer tables, and the words it has encoded."""
+    """A worker's tokenizer tables, and the words a task has encoded."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.words: dict[str, bytes] = {}
@@ -102,7 +104,7 @@ class Engine:
         ]
         alone = {part for left, right, rank in splits for part in (left, right) if part > rank}
         left, right, merged = (np.array(x, np.int32) for x in zip(*splits)) if splits else [np.zeros(0, np.int32)] * 3
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         given = pa.table({"l": left, "r": right, "merged": merged, "alone": np.isin(merged, list(alone))})
         self.db.register("given", given)
         self.db.execute("CREATE TABLE merges AS FROM given")
@@ -172,38 +174,58 @@ def engine(path: str, pattern: str) -> Engine:
     return _engines[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the column `ids` (array of integers) to `docs`."""
-    schema = docs.withColumn(ids, F.array().cast("array<int>")).schema
+def release() -> None:
+    """At the end of a task: its worker may serve another operator next."""
+    for own in _engines.values():
+        own.db.close()
+    _engines.clear()
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """Adds the column `ids` (array of integers) to `docs`; with `decoded` also what the ids
+    stand for (bytes), in the same pass."""
+    added = {ids: F.array().cast("array<int>")} | ({decoded: F.lit(b"")} if decoded else {})
+    docs = docs.drop(*added)
+    schema = docs.withColumns(added).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            for a, b in portions(texts):
-                made = own.encode([t or "" for t in texts[a:b]])
+            column = batch.column(batch.schema.get_field_index(text))
+            for a, b in portions(column, PORTION):
+                made = own.encode([t or "" for t in column.slice(a, b - a).to_pylist()])
+                part = batch.slice(a, b - a)
                 flat = np.frombuffer(b"".join(made), "<u4").astype(np.int32)
                 ends = np.cumsum([0, *(len(m) // 4 for m in made)]).astype(np.int32)
-                part = batch.slice(a, b - a)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if decoded:
+                    new.append(pa.array(own.decode([np.frombuffer(m, "<u4") for m in made]), pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
+        release()
 
-    return docs.drop(ids).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the column `out` (the bytes that the ids stand for) to `docs`."""
+    docs = docs.drop(out)
     schema = docs.withColumn(out, F.lit(b"")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            lists = [np.asarray(x or [], np.uint32) for x in column.to_pylist()]
-            made = pa.array(own.decode(lists), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, out])
+            lists = batch.column(batch.schema.get_field_index(ids))
+            for i in range(0, len(lists), ROWS_AT_ONCE):
+                part = batch.slice(i, ROWS_AT_ONCE)
+                some = lists.slice(i, ROWS_AT_ONCE)
+                flat, ends = some.flatten().to_numpy(zero_copy_only=False), np.cumsum(some.value_lengths().fill_null(0))
+                made = own.decode(np.split(flat, ends[:-1]) if len(some) else [])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], names=schema.names)
+        release()
 
-    return docs.drop(out).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,9 +239,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
-                part = [t or "" for t in texts[a:b]]
+            for a, b in portions(batch.column(1), PORTION):
+                part = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
                 made = own.encode(part)
                 back = own.decode([np.frombuffer(m, "<u4") for m in made])
                 yield pa.RecordBatch.from_arrays(
@@ -232,5 +253,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
                     ],
                     names=schema.names,
                 )
+        release()
 
     return docs.select(key, text).mapInArrow(run, schema)

@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A plain space before a visible character. No token of the byte-level split pattern
@@ -44,11 +46,12 @@ def cut(text: str) -> list[str]:
     return SAFE_CUT.split(text) if UNSAFE_SPACE.search(text) else text.split(" ")
 
 
-def portions(texts: list[str | None], size: int = 4_000_000):
-    """Slices of a batch that hold about `size` characters (one text at least)."""
+def portions(texts: pa.Array, size: int = 4_000_000):
+    """Slices of a column of texts that hold about `size` bytes (one text at least)."""
+    length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
+    for i, n in enumerate(length.tolist()):
+        held += n
         if held >= size:
             yield start, i + 1
             start, held = i + 1, 0
