@@ -42,7 +42,7 @@ BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 4096, 512, 16
 #: Ids whose counts share a row.
 PAGE = 64
 #: Memory bound of one worker: words and pieces remembered.
-KEPT_WORDS, KEPT_PIECES = 300_000, 500_000
+KEPT_WORDS, KEPT_PIECES = 600_000, 800_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -81,10 +81,13 @@ class Encoder:
             self.pieces.clear()
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        out = []
+        out, known = [], self.pieces.get
         for text in texts:
             first, *rest = cut(text)
-            out.append(b"".join([self.piece(first), *map(self.spaced, rest)]))
+            found = list(map(known, rest))
+            if None in found:
+                found = [self.spaced(p) if f is None else f for p, f in zip(rest, found)]
+            out.append(b"".join([self.piece(first), *found]))
         return out
 
     def piece(self, piece: str) -> bytes:
@@ -224,9 +227,9 @@ def stage_ids(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int
         name, total, counts = f"{base}/ids-{uuid4().hex}", 0, np.zeros(0, np.int64)
         sink = writer = None
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
-                made = [x + end for x in own.encode([t or "" for t in texts[a:b]])]
+            for a, b in portions(batch.column(1)):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                made = [x + end for x in own.encode([t or "" for t in texts])]
                 flat = np.frombuffer(b"".join(made), "<u4")
                 seen = np.bincount(flat, minlength=len(counts))
                 counts = seen + np.pad(counts, (0, len(seen) - len(counts)))
