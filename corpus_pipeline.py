@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document: doc_id, lang, source, n_tokens, ids; decoding gave its text."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    made = bpe.decode(bpe.encode(docs.select("doc_id", "text", "lang", "source"), path, pattern), path, pattern)
+    made = bpe.encode(docs.select("doc_id", "text", "lang", "source"), path, pattern, decoded="decoded")
     intact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     ids = F.when(intact, F.col("ids")).otherwise(F.raise_error(F.lit("a text was not decoded as it was")))
     return made.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids"))
