@@ -94,6 +94,7 @@ class Engine:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.room = 1
         self.findall = regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         splits = [
@@ -104,7 +105,7 @@ class Engine:
         ]
         alone = {part for left, right, rank in splits for part in (left, right) if part > rank}
         left, right, merged = (np.array(x, np.int32) for x in zip(*splits)) if splits else [np.zeros(0, np.int32)] * 3
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         given = pa.table({"l": left, "r": right, "merged": merged, "alone": np.isin(merged, list(alone))})
         self.db.register("given", given)
         self.db.execute("CREATE TABLE merges AS FROM given")
@@ -132,16 +133,16 @@ class Engine:
         """Add the ids of pieces (safe cuts of texts) to those kept."""
         split = [self.findall(piece) for piece in pieces]
         fresh = list({w for words in split for w in words if w not in self.words})
-        for i in range(0, len(fresh), WORDS_AT_ONCE):
-            group = fresh[i : i + WORDS_AT_ONCE]
+        for i in range(0, len(fresh), self.room * WORDS_AT_ONCE):
+            group = fresh[i : i + self.room * WORDS_AT_ONCE]
             self.words.update(zip(group, self.merge(group)))
         get = self.words.__getitem__
         self.pieces.update((p, b"".join(map(get, words))) for p, words in zip(pieces, split))
-        if len(self.words) > KEPT_WORDS:
+        if len(self.words) > self.room * KEPT_WORDS:
             self.words.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > KEPT_PIECES:
+        if len(self.pieces) > self.room * KEPT_PIECES:
             self.pieces.clear()
         cuts = [cut(text) for text in texts]
         wanted = {" " + piece for pieces in cuts for piece in pieces[1:]}
@@ -238,6 +239,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
+        own.room = 2  # only digests leave this pass, and the worker keeps its words for the next task
         for batch in batches:
             for a, b in portions(batch.column(1), PORTION):
                 part = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
@@ -253,6 +255,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
                     ],
                     names=schema.names,
                 )
-        release()
 
     return docs.select(key, text).mapInArrow(run, schema)
