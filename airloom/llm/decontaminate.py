@@ -1,15 +1,24 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by seeds that no accepted overlap can miss.
 
-Tokens are the runs of letters and digits of the lower-cased text. A mask is a string of 1
-and 0; at each place of a text the tokens under its ones are hashed, those under its
-zeros may differ. Seeds of the documents meet the seeds of the benchmark; a meeting names a
-document, an item and a diagonal (document place minus item place). Along each diagonal all
-tokens of the item are then compared with the document's: an overlap counts if it
+Tokens are the runs of letters and digits of the lower-cased text. Every item is cut into
+tiles, runs of two to four tokens one after the other; a tile's seed is the hash of its
+tokens. Documents are hashed at each place in each width that tiles have. A seed in common
+names a document, an item and a diagonal (document place minus item place). Along each
+diagonal all tokens of the item are then compared with the document's: an overlap counts if it
 matches `share` of the item, or holds a stretch of score `stretch` (+1 for each equal token,
 -2 for each other one), so substituted tokens are tolerated.
 
-Items shorter than a mask get a mask of their own length without zeros, down to
-`LEAST` tokens; still shorter ones are too common to tell anything and are left out.
+Whatever counts has a tile without a difference, so it is found:
+
+* `share` of n tokens leaves m = n - ceil(share n) differences (places beyond the document's ends
+  are differences too). There are at least m + 1 tiles, and a difference spoils one tile.
+* A stretch with f differences has at least stretch + 3 f tokens. Of tiles of w tokens at most,
+  it holds (stretch + 3 f - 2 (w - 1)) / w, rounded up, and w is chosen so that these are more
+  than f for every f that the item's length admits: w <= (stretch + 3 f + 1) / (f + 2).
+
+Short tiles also meet by chance, in proportion to the tokens of the documents times those of the
+benchmark; such meetings cost a comparison each and are dropped by it. Items of fewer than
+`LEAST` tokens are too common to tell anything and are left out.
 
 Only DataFrame functions are used. Seeds are exploded and probed in one generated stage.
 The benchmark's seeds are counted first and broadcast up to `BROADCAST_SEEDS`; beyond that the
@@ -28,9 +37,10 @@ from pyspark.sql import functions as F
 
 from airloom.llm.shared import stored
 
-MASKS = ("1101100111", "1110010111")
 LEAST = 5
 SHARE, STRETCH, MISMATCH = 0.7, 13, -2
+#: Tokens of a tile at most; fewer where the proof asks for it.
+WIDEST = 4
 #: Seeds (about 40 bytes each) that may be broadcast.
 BROADCAST_SEEDS = 500_000
 
@@ -39,36 +49,49 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
-def seeds(words: DataFrame, masks: list[str]) -> DataFrame:
-    """The columns of `words` but for `tokens`, and `place` and `seed` for every mask and place."""
+def _seed(at: Column, width: int) -> Column:
+    """The hash of `width` tokens from the place `at`; null where the text ends before."""
+    under = [F.try_element_at("tokens", at + j) for j in range(width)]
+    return F.when(at + (width - 1) <= F.size("tokens"), F.xxhash64(F.lit(width), *under))
+
+
+def seeds(words: DataFrame, widths: list[int]) -> DataFrame:
+    """The columns of `words` but for `tokens`, and `place` and `seed` for every width and place."""
     keep = [c for c in words.columns if c != "tokens"]
     count = F.size("tokens")
-    least = min(map(len, masks))
+    least = min(widths, default=1)
     # an outer explode, because the optimiser infers filters for an inner one and would then
     # split every text twice
     every = F.when(count >= least, F.sequence(F.lit(1), count - (least - 1)))
     placed = words.select(*keep, "tokens", F.explode_outer(every).alias("i"))
-
-    def seed(k: int, mask: str) -> Column:
-        under = [F.try_element_at("tokens", F.col("i") + j) for j, bit in enumerate(mask) if bit == "1"]
-        whole = F.col("i") + (len(mask) - 1) <= F.size("tokens")
-        return F.when(whole, F.xxhash64(F.lit(k), *under))
-
-    made = placed.select(
-        *keep, F.col("i").alias("place"), F.explode_outer(F.array(*[seed(k, m) for k, m in enumerate(masks)])).alias("seed")
-    )
+    each = F.array(*[_seed(F.col("i"), w) for w in widths], F.lit(None).cast("long"))
+    made = placed.select(*keep, F.col("i").alias("place"), F.explode_outer(each).alias("seed"))
     return made.filter("seed IS NOT NULL")
 
 
-def masks_for(lengths: DataFrame, masks: tuple[str, ...] = MASKS) -> list[str]:
-    """The masks, and one for each length (column `n`) of items that are too short for them."""
-    short = lengths.filter((F.col("n") >= LEAST) & (F.col("n") < min(map(len, masks)))).distinct()
-    return [*masks, *["1" * row.n for row in short.orderBy("n").collect()]]
+def tiles(items: DataFrame, share: float = SHARE, stretch: int = STRETCH) -> DataFrame:
+    """The columns of `items` (with `tokens`), and `place` and `width` of every tile of each."""
+    n, loss = F.col("n"), 1 - MISMATCH
+    cut = items.withColumn("n", F.size("tokens").cast("long"))
+    cut = cut.withColumn("needed", F.greatest(n - F.ceil(F.lit(share) * n), F.lit(0)) + 1)  # tiles, for the share
+    f = F.floor((n - stretch) / loss)
+    by_stretch = [F.floor((stretch + loss * x + 1) / (x + 2)) for x in (F.lit(0), f)]
+    cut = cut.withColumn("cap", F.when(n < stretch, WIDEST).otherwise(F.least(F.lit(WIDEST), *by_stretch)))
+    grid = F.floor(n / F.col("needed")) >= F.col("cap")
+    cut = cut.withColumns({
+        "count": F.when(grid, F.floor(n / F.col("cap"))).otherwise(F.col("needed")),
+        "base": F.when(grid, F.col("cap")).otherwise(F.floor(n / F.col("needed"))),
+        "wider": F.when(grid, 0).otherwise(n % F.col("needed")),
+    })
+    cut = cut.withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
+    place = F.col("t") * F.col("base") + F.least("t", "wider") + 1
+    width = F.col("base") + (F.col("t") < F.col("wider")).cast("long")
+    return cut.select(*items.columns, place.cast("int").alias("place"), width.cast("int").alias("width"))
 
 
 def overlaps(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-    item_text: str = "text", masks: tuple[str, ...] = MASKS, share: float = SHARE, stretch: int = STRETCH,
+    item_text: str = "text", share: float = SHARE, stretch: int = STRETCH,
 ) -> DataFrame:
     """(key, item, matched, item_tokens) of every document and item that overlap.
 
@@ -76,9 +99,11 @@ def overlaps(
     """
     items = benchmark.filter(F.col(item).isNotNull()).select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("tokens"))
     items = items.filter(F.size("tokens") >= LEAST).distinct()
-    used = masks_for(items.select(F.size("tokens").alias("n")), masks)
-    theirs = seeds(items, used)
-    theirs = stored(theirs.select("seed", "item", F.col("place").alias("item_place")).distinct())
+    cut = tiles(items, share, stretch)
+    seed = F.coalesce(*[F.when(F.col("width") == w, _seed(F.col("place"), w)) for w in range(1, WIDEST + 1)])
+    theirs = stored(cut.select(seed.alias("seed"), "item", F.col("place").alias("item_place"), "width").distinct())
+    used = sorted(r.width for r in theirs.select("width").distinct().collect())
+    theirs = theirs.drop("width")
     if theirs.count() <= BROADCAST_SEEDS:
         theirs = F.broadcast(theirs)
     words = docs.select(F.col(key).alias("key"), tokens(F.col(text)).alias("tokens"))
@@ -117,7 +142,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return docs.join(leaked, F.col(key).eqNullSafe(F.col("leaked_key")), "left_anti")
 
 
-#: The same by strings instead of hashes: seeds as joined tokens, diagonals compared row by row.
+#: Strings instead of hashes: spaced seeds as joined tokens, diagonals compared row by row.
 ORACLE = r"""
 WITH items AS (
   SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL

@@ -3,6 +3,9 @@
 import base64
 import gzip
 import hashlib
+import math
+import random
+import re
 from pathlib import Path
 
 import pytest
@@ -99,3 +102,59 @@ def test_overlaps_tolerate_substitutions(spark):
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 5, 7, 8, 9]
     assert decontaminate.keep_clean(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.overlaps(docs.limit(0), bench).count() == 0
+
+
+def every_overlap(docs, bench):
+    """Pairs by comparing all diagonals, without seeds."""
+    found = {}
+    for key, text in docs:
+        words = re.findall(r"[^\W_]+", text.lower())
+        for item, item_text in bench:
+            mine = re.findall(r"[^\W_]+", item_text.lower())
+            for d in range(1 - len(mine), len(words)):
+                here = best = matched = 0
+                for j in range(max(0, -d), min(len(mine), len(words) - d)):
+                    equal = mine[j] == words[j + d]
+                    here = max(here + (1 if equal else -2), 0)
+                    best, matched = max(best, here), matched + equal
+                if best >= 13 or matched >= 0.7 * len(mine):
+                    found[key, item] = max(matched, found.get((key, item), (0,))[0]), len(mine)
+    return found
+
+
+def test_no_accepted_overlap_is_missed(spark):
+    draw = random.Random(5)
+    lengths = [*range(5, 40), 45, 52, 59, 60, 75]
+    bench = [(n, " ".join(f"w{draw.randrange(400)}" for _ in range(n))) for n in lengths]
+    docs = []
+    for n, text in bench:
+        words, most = text.split(), n - math.ceil(0.7 * n)
+        swaps = [draw.sample(range(n), k) for k in {1, most - 1, most, most, most, most + 1} if k > 0]
+        # differences set evenly leave the shortest runs
+        swaps += [[n * (k + 1) // (most + 1) - (k + 1 == most + 1) for k in range(most)]]
+        made = [[f"x{i}" if i in s else w for i, w in enumerate(words)] for s in swaps]
+        # a part only: a stretch with a difference after every run of three or so
+        made += [[f"y{i}" if i % 6 == 5 else w for i, w in enumerate(words)][n // 3 :], words[-13:], words[:12]]
+        docs += [" ".join(["left"] * draw.randrange(3) + m + ["right"] * draw.randrange(3)) for m in made]
+    docs = list(enumerate(docs))
+    want = every_overlap(docs, bench)
+    made = decontaminate.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    )
+    assert len(want) > 4 * len(bench)
+    assert {(r.doc_id, r.item_id): (r.matched, r.item_tokens) for r in made.collect()} == want
+
+
+def test_every_pattern_spoils_a_tile_less(spark):
+    """For each length: the widest sets of tiles still hold one more than the differences can spoil."""
+    items = spark.createDataFrame([(n, [str(i) for i in range(n)]) for n in range(5, 151)], "item long, tokens array<string>")
+    cut = {}
+    for r in decontaminate.tiles(items).collect():
+        cut.setdefault(r.item, []).append((r.place - 1, r.place - 1 + r.width))
+    for n, parts in cut.items():
+        parts.sort()
+        assert parts[0][0] == 0 and parts[-1][1] <= n and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        assert len(parts) > n - math.ceil(0.7 * n)
+        for size in range(13, n + 1):
+            held = min(sum(a >= s and b <= s + size for a, b in parts) for s in range(n - size + 1))
+            assert held > (size - 13) // 3
