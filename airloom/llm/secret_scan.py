@@ -1,16 +1,25 @@
 """Secret scan: wide candidates, and a random forest that removes the false positives.
 
-A candidate is a white-space separated word, punctuation around it taken off, that
-has `LEAST` characters or more, one of them a digit. Its value is what follows a name and = or :
-in it. The forest sees
+White-space separated words are cut into parts at quotes, commas, semicolons, brackets, &, \\,
+= and :, and punctuation around a part is taken off. A part is a candidate of its own if it
+
+* has a well-known format (`KNOWN`), or
+* stands beside a word for credentials: as the value of such a name, or as the first part of the
+  word after one (or after one and an assignment sign), or
+* has `LEAST` characters or more, one of them a digit.
+
+Of a word without such a part the whole is taken if the last rule holds for it. What has no
+known format, no credential's name beside it and no digit or fewer characters is not looked at;
+spaces and the signs above end a value. The name of a part is what stands before its = or :
+(the one before that, if only that says credential). The forest sees
 
 * the value's length, shares of character classes, distinct characters, class transitions;
 * dictionary coverage: how much of it are words that occur around candidates of the corpus;
 * the path of its document (depth, test or example folders, a hash bucket);
 * the neighbouring words: words for credentials among them, assignment signs, hash buckets.
 
-It is trained from labelled findings: rows (id, word number, label), of which a bounded
-sample is taken (`SAMPLE`, those with the smallest hash). Only DataFrame functions and the
+It is trained from labelled findings: rows (id, word number, label, and part to tell
+parts of a word apart), of which a bounded sample is taken (`SAMPLE`, those with the smallest hash). Only DataFrame functions and the
 forest of Spark's machine-learning library are used; what it gathers on the driver depends on
 the forest's size and bins only.
 
@@ -36,6 +45,11 @@ TREES, DEPTH, SEED = 30, 6, 42
 #: A word is in the dictionary if it stands next to so many candidates.
 DICTIONARY_COUNT = 3
 CREDENTIAL = r"(?i)passw|pwd|secret|token|api_?-?key|apikey|auth|bearer|credential|private|access"
+KNOWN = r"AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}"
+SIGNS = ("=", ":", ":=", "=>")
+_ENDS = r"\"'`,;{}\[\]()<>&\\"
+#: A part and the signs behind it; = at the end of a value is padding and belongs to it.
+PART = rf"([^{_ENDS}=:]+(?:=+(?=[.!?]*$|[,;}}\])&>]|[\"'`\\]+(?:$|[,;:}}\])&>.])))?)([{_ENDS}=:]*)"
 BUCKETS = 8
 FEATURES = (
     "length", "digits", "uppers", "lowers", "others", "distinct", "transitions", "longest_run", "hexadecimal",
@@ -44,28 +58,63 @@ FEATURES = (
 )
 
 
+def _long(text: Column) -> Column:
+    return (F.length(text) >= LEAST) & text.rlike("[0-9]")
+
+
+def _bare(text: Column) -> Column:
+    """Without the punctuation around it."""
+    return F.regexp_replace(text, r"^[^\p{L}\p{N}+/_-]+|[^\p{L}\p{N}+/_=-]+$", "")
+
+
+def _beside(before: Column, before_that: Column) -> Column:
+    """Whether the word before says credential, or the one before an assignment sign does."""
+    return before.rlike(CREDENTIAL) | (before.isin(*SIGNS) & before_that.rlike(CREDENTIAL))
+
+
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """key, word_no, finding, value, name, path, word_before, word_before_that, word_after."""
+    """key, word_no, part, value, name, path, word_before, word_before_that, word_after."""
     words = docs.select(
         F.col(key).alias("key"), F.coalesce(F.col(path), F.lit("")).alias("path"), F.split(F.col(text), r"\s+").alias("words")
     )
     # an outer explode: an inner one would make the optimiser split every text twice
     placed = words.select("key", "path", "words", F.posexplode_outer("words").alias("word_no", "word"))
-    placed = placed.filter((F.length("word") >= LEAST) & F.col("word").rlike("[0-9]"))
 
     def near(step: int) -> Column:
         at = F.col("word_no") + 1 + step
         return F.coalesce(F.when(at > 0, F.try_element_at("words", at)), F.lit(""))
 
+    word = F.col("word")
+    own = word.rlike(KNOWN) | (word.rlike("[=:]") & word.rlike(CREDENTIAL))
+    placed = placed.filter(_long(word) | own | _beside(near(-1), near(-2)))
     placed = placed.select(
         "key", F.col("word_no").cast("long").alias("word_no"), "path", near(-1).alias("word_before"),
-        near(-2).alias("word_before_that"), near(1).alias("word_after"),
-        F.regexp_replace("word", r"^[^\p{L}\p{N}+/_-]+|[^\p{L}\p{N}+/_=-]+$", "").alias("finding"),
+        near(-2).alias("word_before_that"), near(1).alias("word_after"), "word",
+        F.regexp_extract_all(word, F.lit(PART), 1).alias("parts"), F.regexp_extract_all(word, F.lit(PART), 2).alias("signs"),
     )
-    named = r"^([A-Za-z][A-Za-z_.-]{1,30})[=:]+[\"']?(.+)$"
-    found = placed.withColumns({"name": F.regexp_extract("finding", named, 1), "own": F.regexp_extract("finding", named, 2)})
-    found = found.withColumn("value", F.when(F.col("own") == "", F.col("finding")).otherwise(F.col("own"))).drop("own")
-    return found.filter((F.length("value") >= LEAST) & F.col("value").rlike("[0-9]"))
+
+    def name(i: Column, back: int) -> Column:
+        """The part `back` places before part i, if = or : lead from it to part i."""
+        leads = [F.try_element_at("signs", i - k).rlike("[=:]") for k in range(back)]
+        given = F.when(i >= back, F.when(leads[0] if back == 1 else leads[0] & leads[1], F.try_element_at("parts", i - (back - 1))))
+        return _bare(F.coalesce(given, F.lit("")))
+
+    def part(x: Column, i: Column) -> Column:
+        first, second = name(i, 1), name(i, 2)
+        named = F.when(~first.rlike(CREDENTIAL) & second.rlike(CREDENTIAL), second).otherwise(first)
+        return F.struct(i.cast("long").alias("part"), _bare(x).alias("value"), named.alias("name"))
+
+    def wanted(x: Column) -> Column:
+        beside = x["name"].rlike(CREDENTIAL) | ((x["part"] == 0) & _beside(F.col("word_before"), F.col("word_before_that")))
+        return x["value"].rlike(r"[\p{L}\p{N}]") & (_long(x["value"]) | x["value"].rlike(f"^(?:{KNOWN})$") | beside)
+
+    whole = F.struct(F.lit(0).cast("long").alias("part"), _bare(word).alias("value"), F.lit("").alias("name"))
+    made = placed.withColumn("made", F.filter(F.transform("parts", part), wanted))
+    made = made.withColumn("made", F.when((F.size("made") == 0) & _long(whole["value"]), F.array(whole)).otherwise(F.col("made")))
+    found = made.select("key", "word_no", "path", "word_before", "word_before_that", "word_after", F.explode_outer("made").alias("x"))
+    return found.filter("x IS NOT NULL").select(
+        "key", "word_no", "x.part", "path", "word_before", "word_before_that", "word_after", "x.value", "x.name"
+    )
 
 
 def _coverage(found: DataFrame) -> DataFrame:
@@ -107,7 +156,7 @@ def features(found: DataFrame) -> DataFrame:
         "path_test": F.col("path").rlike(r"(?i)test|example|sample|mock|fixture|demo").cast("double"),
         "path_bucket": bucket(F.col("path")),
         "named": says("name"),
-        "assigned": (F.col("word_before").isin("=", ":", ":=", "=>") | (F.col("name") != "")).cast("double"),
+        "assigned": (F.col("word_before").rlike("(?:[=:]|=>)[\"']?$") | (F.col("name") != "")).cast("double"),
         "before_bucket": bucket(F.col("word_before")), "after_bucket": bucket(F.col("word_after")),
         "before": says("word_before"), "before_that": says("word_before_that"), "after": says("word_after"),
     })
@@ -116,24 +165,31 @@ def features(found: DataFrame) -> DataFrame:
 
 
 def known_formats(found: DataFrame) -> DataFrame:
-    """Labelled findings from well-known formats among candidates: key, word_no, label.
+    """Labelled findings from well-known formats among candidates: key, word_no, part, label.
 
     1 for cloud key ids and for random values assigned to a credential's name; 0 for
-    addresses, hosts, card and telephone numbers and words without a mix of classes.
+    addresses, hosts, card and telephone numbers, words without a mix of classes and plain
+    words that nothing assigns.
     """
     value = F.col("value")
     assigned = F.col("name").rlike(CREDENTIAL) | (F.col("word_before").isin("=", ":") & F.col("word_before_that").rlike(CREDENTIAL))
-    secret = value.rlike("^AKIA[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$") | (assigned & value.rlike("^[0-9A-Za-z+/_-]{16,}=*$"))
-    plain = value.rlike(r"@|^[0-9.:()+ -]+$|^[^0-9]+[0-9]{1,3}$")
-    return found.withColumn("label", F.when(secret, 1).when(plain, 0)).filter("label IS NOT NULL").select("key", "word_no", "label")
+    secret = value.rlike(f"^(?:{KNOWN})$") | (assigned & value.rlike("^[0-9A-Za-z+/_-]{16,}=*$"))
+    plain = value.rlike(r"^[\w.%+-]+@[\w-]+(\.[\w-]+)+$|^[0-9.:()+ -]+$|^[^0-9@]+[0-9]{1,3}$")
+    word = ~assigned & (F.col("assigned") == 0) & value.rlike(r"^\p{Lu}?[\p{Ll}\p{Lo}\p{M}]+$")
+    label = F.when(secret, 1).when(plain | word, 0)
+    return found.withColumn("label", label).filter("label IS NOT NULL").select("key", "word_no", "part", "label")
 
 
 def _forest(rows: DataFrame, findings: DataFrame):
     """The fitted forest, or the only label there is (None without findings)."""
-    labels = findings.select(F.col("key").alias("k"), F.col("word_no").alias("n"), F.col("label").cast("double").alias("label"))
-    labels = labels.dropDuplicates(["k", "n"])
-    taught = rows.join(labels, F.col("key").eqNullSafe(F.col("k")) & (F.col("word_no") == F.col("n")))
-    order = [F.xxhash64("key", "word_no", "value"), F.col("key"), F.col("word_no"), F.col("value")]
+    parted = "part" in findings.columns  # without it a label is that of all parts of its word
+    labels = findings.select(
+        F.col("key").alias("k"), F.col("word_no").alias("n"), (F.col("part") if parted else F.lit(None).cast("long")).alias("p"),
+        F.col("label").cast("double").alias("label"),
+    ).dropDuplicates(["k", "n", "p"])
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("word_no") == F.col("n"))
+    taught = rows.join(labels, same & (F.col("part") == F.col("p")) if parted else same)
+    order = [F.xxhash64("key", "word_no", "value"), F.col("key"), F.col("word_no"), F.col("part"), F.col("value")]
     taught = stored(taught.orderBy(*order).limit(SAMPLE).select("label", *FEATURES))
     seen = sorted(r.label for r in taught.select("label").distinct().collect())
     if len(seen) < 2:
@@ -158,7 +214,7 @@ def scan(
     docs: DataFrame, findings: DataFrame | None = None, key: str = "doc_id", text: str = "text", path: str = "source",
     threshold: float = 0.5, learn: Column | None = None,
 ) -> DataFrame:
-    """Kept findings: key, word_no, kind, length, value_sha256, probability.
+    """Kept findings: key, word_no, part, kind, length, value_sha256, probability.
 
     `findings` are labelled ones; without them, well-known formats among the candidates
     teach the forest, where `learn` (a condition on `key`) allows it.
@@ -173,6 +229,6 @@ def scan(
         .otherwise("random value")
     )
     return judged.select(
-        F.col("key").alias(key), "word_no", kind.alias("kind"), F.length("value").cast("long").alias("length"),
+        F.col("key").alias(key), "word_no", "part", kind.alias("kind"), F.length("value").cast("long").alias("length"),
         F.sha2("value", 256).alias("value_sha256"), F.round("probability", 6).alias("probability"),
     )
