@@ -24,8 +24,8 @@ Only DataFrame functions are used. Seeds are exploded and probed in one generate
 The benchmark's seeds are counted first and broadcast up to `BROADCAST_SEEDS`; beyond that the
 same join shuffles. Only documents with a hit are read again, by id.
 
-Defined results: null and empty texts have no token and match nothing; rows that share an id
-(a null id too) share their verdict; repeated rows and items change nothing; items without
+Defined results: null and empty texts have no token and match nothing; `overlaps` gives
+rows that share an id (a null id too) one verdict, `keep_clean` judges every row by its own text; repeated rows and items change nothing; items without
 id are not compared; further columns are ignored; with an empty table on either side
 nothing is found.
 """
@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.shared import stored
+from airloom.llm.shared import row_identity, stored
 
 LEAST = 5
 SHARE, STRETCH, MISMATCH = 0.7, 13, -2
@@ -137,9 +137,10 @@ def overlaps(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of `docs` that overlap with no item."""
-    leaked = stored(overlaps(docs, benchmark, key, text).select(F.col(key).alias("leaked_key")).distinct())
-    return docs.join(leaked, F.col(key).eqNullSafe(F.col("leaked_key")), "left_anti")
+    """Rows of `docs` that overlap with no item, each judged by its own text."""
+    rows = docs.select(row_identity(key, text).alias("row"), F.col(text).alias("text"))
+    leaked = stored(overlaps(rows, benchmark, "row", "text").select(F.col("row").alias("leaked_row")).distinct())
+    return docs.join(leaked, row_identity(key, text) == F.col("leaked_row"), "left_anti")
 
 
 #: Strings instead of hashes: spaced seeds as joined tokens, diagonals compared row by row.

@@ -8,7 +8,8 @@ import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A plain space before a visible character. No token of the byte-level split pattern
 #: crosses such a place, so a text may be cut there and its pieces handled one by one.
@@ -20,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_identity(key: str, text: str) -> Column:
+    """16 bytes that rows share only if their id and their text are the same, nulls included."""
+    owner = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    return F.unhex(F.md5(F.concat(F.coalesce(F.md5(F.col(text)), F.lit("")), F.lit(":"), owner)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names in spark.checkpoint.dir.
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm.graph import components
-from airloom.llm.shared import stored
+from airloom.llm.shared import row_identity, stored
 
 SHINGLE, DISTANCE = 4, 4
 #: Segments as (first bit, bits).
@@ -100,28 +100,36 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return left.join(right, same & (F.bit_count(apart) <= distance) & own).select("a", "b")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """Per row: key, fingerprint (16 hexadecimal digits), component_id (smallest key reachable)."""
-    rows = stored(fingerprints(docs, key, text))
+def _named(rows: DataFrame, key: Column, distance: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint; the id is the smallest key of its component."""
     nodes = stored(rows.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(stored(links(nodes, distance)))
     placed = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(named, "root").select("fp", "component_id")
+    return placed.join(named, "root").select("fp", "root", "component_id")
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """Per row: key, fingerprint (16 hexadecimal digits), component_id (smallest key reachable)."""
+    rows = stored(fingerprints(docs, key, text))
+    named = _named(rows, F.col(key), distance).drop("root")
     hexa = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return rows.join(named, "fp").select(key, hexa, "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """Rows of `docs` whose key names their group; of several rows of that
-    key, the one with the smallest text.
+    """One row of `docs` for each group: the one with the smallest key, and of several rows of
+    that key in the group the one with the smallest text.
 
-    Rows without key are kept as they are.
+    Rows without key are grouped like any other and stay only where no row of the group has one.
     """
-    named = groups(docs.filter(F.col(key).isNotNull()), key, text, distance)
-    first = named.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    rows = docs.join(first, key, "left_semi").groupBy(key)
-    kept = rows.agg(F.min_by(F.struct(*docs.columns), F.coalesce(text, F.lit(""))).alias("row")).select("row.*")
-    return kept.select(docs.columns).unionByName(docs.filter(F.col(key).isNull()))
+    one = F.struct(F.col(key).alias("id"), row_identity(key, text).alias("row"))
+    rows = stored(fingerprints(docs.select(one.alias("key"), F.col(text).alias("text")), "key", "text"))
+    named = rows.join(_named(rows, F.col("key.id"), distance), "fp")
+    named = named.filter(F.col("key.id").eqNullSafe(F.col("component_id")))
+    first = named.select(F.col("key.row").alias("first_row"), F.col("root").alias("first_root")).distinct()
+    met = docs.join(first, row_identity(key, text) == F.col("first_row"))
+    kept = met.groupBy("first_root").agg(F.min_by(F.struct(*docs.columns), F.coalesce(text, F.lit(""))).alias("row"))
+    return kept.select("row.*").select(docs.columns)

@@ -11,7 +11,7 @@ from pathlib import Path
 import pytest
 from compare import check_engine, difference
 
-from airloom.llm import chat, decontaminate, warc
+from airloom.llm import chat, decontaminate, simhash, warc
 from airloom.llm.queries import QUERIES, SQL
 from airloom.llm.shared import shared_folder
 
@@ -158,3 +158,18 @@ def test_every_pattern_spoils_a_tile_less(spark):
         for size in range(13, n + 1):
             held = min(sum(a >= s and b <= s + size for a, b in parts) for s in range(n - size + 1))
             assert held > (size - 13) // 3
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    a, b, c = (" ".join(f"{name}{i * i}" for i in range(40)) for name in ("ash", "birch", "cedar"))
+    rows = [(3, a), (5, a), (5, b), (None, c), (None, c), (None, a), (None, None), (6, b), (7, c + " end"), (7, c + " end")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
+    kept = simhash.keep_one(docs.filter("doc_id IS NULL OR doc_id < 7"))
+    assert kept.columns == docs.columns
+    want = [(3, a), (5, b), (None, c), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    clean = decontaminate.keep_clean(docs, bench)
+    assert clean.columns == docs.columns
+    want = [r for r in rows if r[1] != a]
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=repr) == sorted(want, key=repr)
