@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from struct import pack
 from uuid import uuid4
 
 import numpy as np
@@ -64,17 +65,22 @@ class Encoder:
         self.tokenize = Tokenizer.from_file(path).model.tokenize
         self.findall = regex.compile(pattern).findall
         self.letters = byte_letters()
+        #: does the pattern take a space and letters as one word, and a sign after them as another?
+        self.simple = self.findall(" azAZ, azAZ'") == [" azAZ", ",", " azAZ", "'"]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
         known = self.words.get(word)
         if known is None:
-            seen = word.encode().decode("latin-1").translate(self.letters)
-            known = np.array([t.id for t in self.tokenize(seen)], "<u4").tobytes()
-            self.words[word] = known
+            known = self.words[word] = self.ids(word.encode().decode("latin-1").translate(self.letters))
         return known
 
+    def ids(self, seen: str) -> bytes:
+        """Ids of a word that is written in the byte-level alphabet."""
+        found = [t.id for t in self.tokenize(seen)]
+        return pack(f"<{len(found)}I", *found)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.pieces) > KEPT_PIECES:
@@ -96,9 +102,18 @@ class Encoder:
     def spaced(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            known = self.pieces[piece] = self.piece(" " + piece)
+            known = self.pieces[piece] = self.new_piece(piece)
         return known
 
+    def new_piece(self, piece: str) -> bytes:
+        """Most pieces are plain letters, which stand for themselves, or those and one sign."""
+        if self.simple and piece.isascii():
+            if piece.isalpha():
+                return self.ids(self.letters[32] + piece)
+            if piece[:-1].isalpha() and "!" <= piece[-1] <= "~" and not piece[-1].isalnum():
+                return self.spaced(piece[:-1]) + self.word(piece[-1])
+        return self.piece(" " + piece)
+
 
 _encoders: dict[tuple[str, str], Encoder] = {}
 

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import bpe, chat, ctph, decontaminate, huffman, langid, secret_scan, simhash, surrogates, warc
+from airloom.llm import (
+    bpe,
+    chat,
+    ctph,
+    decontaminate,
+    huffman,
+    importance,
+    langid,
+    packing,
+    secret_scan,
+    simhash,
+    surrogates,
+    warc,
+)
 from airloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +90,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination", decontaminate.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op13_importance_resampling", importance.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
