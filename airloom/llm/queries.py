@@ -19,6 +19,7 @@ from airloom.llm import (
     packing,
     secret_scan,
     simhash,
+    structure,
     surrogates,
     warc,
 )
@@ -92,6 +93,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_structure_repair", structure.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.report(structure.damaged(structure.typed(table(spark, sf_dir, "conversations"))))
+
+
 @query("op12_packing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
