@@ -116,7 +116,7 @@ def write(chunks: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             meta, data = batch.drop_columns(["data"]).to_pylist(), batch.column("data")
             for row, piece in zip(meta, data):
-                sink = sink or fs.open_output_stream(name)
+                sink = sink or fs.open_output_stream(name, compression=None)  # the members are compressed already
                 if row["chunk_no"] == 0:
                     member, seen = zlib.compressobj(6, zlib.DEFLATED, 31), hashlib.sha1()
                     sink.write(member.compress(_header(row)))
@@ -188,7 +188,7 @@ def read(archives: DataFrame, folder: str, chunk: int = CHUNK, with_data: bool =
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with fs.open_input_stream(name) as raw, GzipFile(fileobj=raw) as source:
+                with fs.open_input_stream(name, compression=None) as raw, GzipFile(fileobj=raw) as source:
                     for row in records(source, chunk):
                         if not with_data and not row[2]:
                             continue
