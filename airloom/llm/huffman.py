@@ -1,7 +1,7 @@
 """Token ids as files of canonical, length-limited Huffman codes.
 
 1. Texts are placed by ranges of their key and sorted; each task encodes its range, keeps
-   the ids in one compressed staging file and returns how often it saw each id.
+   the ids in one staging file and returns how often it saw each id.
 2. The counts of all tasks, summed per id (as many rows as the vocabulary has at most),
    give one code for the whole corpus: package-merge lengths, canonical order.
 3. Each staging file becomes one code file. Blocks of a fixed number of ids follow each
@@ -21,6 +21,7 @@ no files and an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from struct import pack
@@ -28,6 +29,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark import TaskContext
@@ -39,11 +41,18 @@ from airloom.llm.shared import cut, portions, shared_folder, stored
 
 MAGIC = b"HUF1"
 #: Ids in a block, blocks decoded in step, longest code word (more for larger vocabularies).
-BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 4096, 512, 16
+BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 1024, 4096, 16
 #: Ids whose counts share a row.
 PAGE = 64
-#: Memory bound of one worker: words and pieces remembered.
-KEPT_WORDS, KEPT_PIECES = 600_000, 800_000
+#: Memory bound of one worker: words remembered, and pieces in each of two generations.
+KEPT_WORDS, KEPT_PIECES = 150_000, 400_000
+
+#: Bytes of text encoded at a time.
+PORTION = 6_000_000
+#: A space or line break that may not be cut: white space (or, for a space, the text's end) is behind it.
+UNSAFE = r"[ \n][\s\x0b\x1c-\x1f\x85\p{Z}]| $"
+#: Latin letters, and a sign of ASCII after them.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]?)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -57,62 +66,101 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    Texts are cut where no token can cross, and the library's model sees each distinct
-    word of the split pattern once (as long as it is remembered).
+    Texts are cut where no token can cross. The pieces of a whole batch are made distinct in
+    Arrow, the library's model sees each distinct word of the split pattern once (as long as it
+    is remembered), and the ids of all pieces are put in a row by NumPy.
     """
 
     def __init__(self, path: str, pattern: str):
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        library = Tokenizer.from_file(path)
+        self.tokenize, self.largest = library.model.tokenize, max(library.get_vocab().values())
         self.findall = regex.compile(pattern).findall
         self.letters = byte_letters()
         #: does the pattern take a space and letters as one word, and a sign after them as another?
-        self.simple = self.findall(" azAZ, azAZ'") == [" azAZ", ",", " azAZ", "'"]
+        self.simple = self.findall(" azÀɏ, azAZ'") == [" azÀɏ", ",", " azAZ", "'"]
         self.words: dict[str, bytes] = {}
+        # pieces met lately, and those met before: what is met again moves over, the rest goes
         self.pieces: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
+        """Ids of a word of the split pattern, as little-endian 32-bit integers."""
         known = self.words.get(word)
         if known is None:
-            known = self.words[word] = self.ids(word.encode().decode("latin-1").translate(self.letters))
+            found = [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            known = self.words[word] = pack(f"<{len(found)}I", *found)
         return known
 
-    def ids(self, seen: str) -> bytes:
-        """Ids of a word that is written in the byte-level alphabet."""
-        found = [t.id for t in self.tokenize(seen)]
-        return pack(f"<{len(found)}I", *found)
+    def piece(self, piece: str) -> bytes:
+        return b"".join(map(self.word, self.findall(piece)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+    def learn(self, new: list[str]) -> None:
+        """Remember pieces; a space stood before those that begin with no line break. Most are
+        letters, or those and one sign."""
+        pieces, plain, word, tokenize, space = self.pieces, PLAIN.fullmatch, self.word, self.tokenize, self.letters[32]
+        earlier = self.earlier.get
+        for p in new:
+            known = earlier(p)
+            if known is not None:
+                pieces[p] = known
+                continue
+            found = plain(p) if self.simple else None
+            if found is None:
+                pieces[p] = self.piece(p if p.startswith("\n") else " " + p)
+                continue
+            letters, sign = found.groups()
+            known = pieces.get(letters) or earlier(letters)
+            if known is None:
+                seen = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in tokenize(space + seen)]
+                known = pieces[letters] = pack(f"<{len(ids)}I", *ids)
+            if sign:
+                pieces[p] = known + word(sign)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) in a row, and how many each text has."""
         if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
+            self.earlier, self.pieces = self.pieces, {}
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        out, known = [], self.pieces.get
-        for text in texts:
-            first, *rest = cut(text)
-            found = list(map(known, rest))
-            if None in found:
-                found = [self.spaced(p) if f is None else f for p, f in zip(rest, found)]
-            out.append(b"".join([self.piece(first), *found]))
-        return out
-
-    def piece(self, piece: str) -> bytes:
-        return b"".join(map(self.word, self.findall(piece)))
-
-    def spaced(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            known = self.pieces[piece] = self.new_piece(piece)
-        return known
-
-    def new_piece(self, piece: str) -> bytes:
-        """Most pieces are plain letters, which stand for themselves, or those and one sign."""
-        if self.simple and piece.isascii():
-            if piece.isalpha():
-                return self.ids(self.letters[32] + piece)
-            if piece[:-1].isalpha() and "!" <= piece[-1] <= "~" and not piece[-1].isalnum():
-                return self.spaced(piece[:-1]) + self.word(piece[-1])
-        return self.piece(" " + piece)
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        pieces, begin = split(texts)
+        # the first piece of a text has no space before it
+        firsts = [self.piece(p) for p in pieces.take(pa.array(begin)).to_pylist()]
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.pieces
+        found = list(map(known.get, distinct))
+        self.learn([p for p, f in zip(distinct, found) if f is None])
+        found = [known[p] if f is None else f for p, f in zip(distinct, found)] + firsts
+        at = coded.indices.to_numpy().astype(np.int64)
+        at[begin] = len(distinct) + np.arange(len(begin))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        source = np.cumsum(size) - size
+        sizes = size[at]
+        ends = np.cumsum(sizes)
+        row = np.repeat(source[at] - (ends - sizes), sizes) + np.arange(ends[-1])
+        return np.frombuffer(b"".join(found), "<u4")[row], np.add.reduceat(sizes, begin)
+
+
+def split(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The pieces of all texts in order, and the place of each text's first piece.
+
+    Texts are cut at spaces, which go, and before line breaks: the split pattern takes a single
+    line break, and a space and what follows it, as words of their own.
+    """
+    lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+    odd = np.flatnonzero(pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)).tolist()
+    if odd:
+        # these hold longer runs of white space and are cut one by one, at spaces only
+        own = pa.array([cut(t) for t in texts.take(pa.array(odd)).to_pylist()], lists.type)
+        order = np.arange(len(texts))
+        order[odd] = len(texts) + np.arange(len(odd))
+        lists = pa.concat_arrays([lists, own]).take(pa.array(order))
+    count = pc.list_value_length(lists).to_numpy()
+    return lists.flatten(), np.cumsum(count) - count
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -170,31 +218,33 @@ class BitWriter:
     """Appends code words to a file, most significant bit first."""
 
     def __init__(self, sink, lengths: np.ndarray):
-        self.sink, self.lengths, self.codes = sink, lengths, canonical(lengths)
-        self.bits, self.rest = 0, 0  # bits so far; the value of the last, unfinished byte
+        self.sink, self.lengths, self.codes = sink, lengths, canonical(lengths).astype(np.uint64)
+        self.bits, self.rest = 0, 0  # bits so far; the value of the last, unfinished 32 bits
 
     def write(self, ids: np.ndarray) -> np.ndarray:
         """Returns the bit offset of every BLOCK-th id."""
         size = self.lengths[ids]
-        ends = np.cumsum(size) + self.bits % 8
-        at = ends - size
-        byte, room = at >> 3, 32 - size - (at & 7)
-        window = self.codes[ids] << room
-        total = int(ends[-1])
-        out = np.zeros(total // 8 + 5)
-        for k in range(4):  # the bits of different words never meet: adding is setting
-            out[: len(out) - 4 + k] += np.bincount(byte + k, (window >> (24 - 8 * k)) & 255, len(out) - 4 + k)
-        out[0] += self.rest
-        offsets = at[::BLOCK] + (self.bits - self.bits % 8)
-        self.bits += total - self.bits % 8
-        data = out.astype(np.uint8)
-        self.sink.write(data[: total // 8].tobytes())
-        self.rest = int(data[total // 8]) if total % 8 else 0
+        used = self.bits % 32
+        at = np.cumsum(size)
+        total = int(at[-1]) + used
+        at += used - size
+        # a code word lies in the 32 bits where it begins and at most the next 32
+        window = self.codes[ids] << (64 - (at & 31) - size).astype(np.uint64)
+        word = at >> 5
+        begins = np.flatnonzero(np.diff(word, prepend=-1))  # no code word is as long as 32 bits: each begins somewhere
+        held = np.bitwise_or.reduceat(window, begins)
+        out = np.zeros(len(held) + 1, np.uint64)
+        out[:-1] = held >> np.uint64(32)
+        out[1:] |= held & np.uint64(0xFFFFFFFF)
+        out[0] |= np.uint64(self.rest)
+        offsets = at[::BLOCK] + (self.bits - used)
+        self.bits += total - used
+        self.sink.write(out[: total // 32].astype(">u4").tobytes())
+        self.rest = int(out[total // 32]) if total % 32 else 0
         return offsets
 
     def close(self) -> None:
-        if self.bits % 8:
-            self.sink.write(bytes([self.rest]))
+        self.sink.write(self.rest.to_bytes(4, "big")[: -(-(self.bits % 32) // 8)])
 
 
 class Table:
@@ -203,57 +253,61 @@ class Table:
     def __init__(self, lengths: np.ndarray):
         self.top = int(lengths.max(initial=1))
         codes, used = canonical(lengths), np.flatnonzero(lengths)
-        self.id = np.zeros(1 << self.top, np.uint32)
-        self.size = np.ones(1 << self.top, np.int64)
+        # the id above bit 5, the length below
+        self.found = np.ones(1 << self.top, np.uint32)
         order = used[np.argsort(codes[used] << (self.top - lengths[used]))]
         spans = np.int64(1) << (self.top - lengths[order])
-        self.id[: spans.sum()] = np.repeat(order, spans)
-        self.size[: spans.sum()] = np.repeat(lengths[order], spans)
+        self.found[: spans.sum()] = np.repeat((order << 5) | lengths[order], spans)
 
     def decode(self, data: bytes, offsets: np.ndarray, n: int) -> np.ndarray:
         """`n` ids from blocks that begin at the bit offsets (the last may be short)."""
         b = np.frombuffer(data + bytes(8), np.uint8).astype(np.uint32)
         window = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
-        out = np.zeros((len(offsets), BLOCK), np.uint32)
-        at = offsets.astype(np.int64).copy()
-        last = n - (len(offsets) - 1) * BLOCK
-        for i in range(BLOCK if len(offsets) > 1 else last):
+        blocks = len(offsets)
+        out = np.zeros((BLOCK, blocks), np.uint32)
+        at = offsets.astype(np.int64)
+        last = n - (blocks - 1) * BLOCK
+        right = np.uint32(32 - self.top)
+        for i in range(BLOCK if blocks > 1 else last):
             if i == last:
                 at = at[:-1]
-            value = (window[at >> 3] << (at & 7).astype(np.uint32)) >> np.uint32(32 - self.top)
-            out[: len(at), i] = self.id[value]
-            at += self.size[value]
-        return out.reshape(-1)[:n]
+            found = self.found[(window[at >> 3] << (at & 7).astype(np.uint32)) >> right]
+            out[i, : len(at)] = found
+            at = at + (found & 31)
+        return (out.T >> 5).reshape(-1)[:n]
 
 
 def _open(folder: str):
     return pafs.FileSystem.from_uri(folder)
 
 
-STAGED = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.uint32()))])
-
-
 def stage_ids(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int, key: str, text: str) -> DataFrame:
     """One row for each key range: part, file, n_ids, and the counts of ids by pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(path, pattern), np.array([end_id], "<u4").tobytes()
+        own = encoder(path, pattern)
         fs, base = _open(folder)
         name, total, counts = f"{base}/ids-{uuid4().hex}", 0, np.zeros(0, np.int64)
+        # two bytes for an id where they hold all: as small as compressed ones, and far cheaper
+        kind = np.uint16 if max(own.largest, end_id) < 1 << 16 else np.uint32
+        staged = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.from_numpy_dtype(kind)))])
         sink = writer = None
         for batch in batches:
-            for a, b in portions(batch.column(1)):
-                texts = batch.column(1).slice(a, b - a).to_pylist()
-                made = [x + end for x in own.encode([t or "" for t in texts])]
-                flat = np.frombuffer(b"".join(made), "<u4")
+            for a, b in portions(batch.column(1), PORTION):
+                ids, size = own.encode(batch.column(1).slice(a, b - a))
+                ends = np.cumsum(size + 1)
+                flat = np.full(int(ends[-1]), end_id, kind)
+                inner = np.ones(len(flat), bool)
+                inner[ends - 1] = False
+                flat[inner] = ids
                 seen = np.bincount(flat, minlength=len(counts))
                 counts = seen + np.pad(counts, (0, len(seen) - len(counts)))
-                ends = pa.array(np.cumsum([0, *(len(m) // 4 for m in made)]).astype(np.int32))
+                ends = pa.array(np.append(0, ends).astype(np.int32))
                 if writer is None:
                     sink = fs.open_output_stream(name)
-                    writer = pa.ipc.new_stream(sink, STAGED, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                    writer = pa.ipc.new_stream(sink, staged)
                 lists = pa.ListArray.from_arrays(ends, pa.array(flat))
-                writer.write(pa.record_batch([batch.column(0).slice(a, b - a), lists], schema=STAGED))
+                writer.write(pa.record_batch([batch.column(0).slice(a, b - a), lists], schema=staged))
                 total += len(flat)
         if writer is not None:
             writer.close()

@@ -23,11 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.huffman import encoder
+from airloom.llm.huffman import PORTION, encoder
 from airloom.llm.shared import portions
 
 LENGTH, GROUP, SLACK, SEED = 1024, 1024, 8, 42
@@ -143,16 +144,18 @@ def pack(
 
         for batch in batches:
             key_type = batch.schema.field(1).type
-            for a, b in portions(batch.column(2)):
+            for a, b in portions(batch.column(2), PORTION):
                 part = batch.slice(a, b - a)
-                groups, owners, texts = (part.column(i).to_pylist() for i in range(3))
-                for number, owner, ids in zip(groups, owners, own.encode([t or "" for t in texts])):
+                flat, sizes = own.encode(part.column(2))
+                flat, ends = flat.tobytes(), np.cumsum(sizes).tolist()
+                groups, owners = part.column(0).to_pylist(), part.column(1).to_pylist()
+                for number, owner, begin, stop in zip(groups, owners, [0, *ends], ends):
                     if number != current:
                         rows += close()
                         rests.clear()
                         current, sequence = number, number << 32
-                    ids += end
-                    total = len(ids) // 4
+                    ids = flat[4 * begin : 4 * stop] + end
+                    total = stop - begin + 1
                     whole = total // length * length
                     for at in range(0, whole, length):
                         rows.append((owner, at, length, ids[4 * at : 4 * (at + length)], total, sequence, 0))

@@ -6,6 +6,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -68,13 +69,24 @@ def test_any_text_is_encoded_as_the_libraries_do(text):
     ids = np.frombuffer(own.encode([text])[0], "<u4")
     assert ids.tolist() == whole.encode_ordinary(text)
     assert own.decode([ids]) == [text.encode()]
-    files = np.frombuffer(huffman.encoder(FILE, PATTERN).encode([text])[0], "<u4")
+    files = huffman.encoder(FILE, PATTERN).encode(pa.array([text]))[0]
     assert files.tolist() == ids.tolist()
 
 
 LIBRARY: list = []
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="ab éÉɏ.'\n\t\xa0\u2003 1日", max_size=30), max_size=8))
+def test_batches_of_texts_are_parted(texts):
+    library = Tokenizer.from_file(FILE)
+    library.encode_special_tokens = True
+    ids, sizes = huffman.encoder(FILE, PATTERN).encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(sizes).tolist()
+    made = [ids[b - n : b].tolist() for b, n in zip(ends, sizes.tolist())]
+    assert made == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_op8_reads_back_what_the_library_encodes(spark, tokenizer):
     texts = texts_of(spark)
     rows = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, SF).collect()}
