@@ -3,7 +3,10 @@
 A suffix automaton of sample text per language recognises exactly the substrings of that
 text. A document is parsed greedily: each phrase is the longest match that the automaton
 allows from there, or one unknown character. Text of the same language falls into few, long
-phrases, so the language with the fewest phrases per character wins.
+phrases. Longer samples hold longer matches by chance, so phrases are normalised by what it
+takes to name one: the logarithm of the places of the language's sample and the single
+characters together. The language with the fewest normalised phrases wins; with samples of
+equal length that is the one with the fewest phrases.
 
 Texts are lower-cased, every run of characters that are no letters counts as one space, and
 they are parsed in blocks of `BLOCK` characters (a block's end ends a phrase in every
@@ -15,8 +18,8 @@ smallest hash of their key, and `sample_chars` characters of each. That sample,
 tens of thousands of characters per language, is all that goes through the driver.
 
 Defined results: `und` with score 0 for null text, text without a letter, or if nothing was
-learned; equal counts go to the first language by name; the score is 1 - best / second
-count, 1 with one language; rows without key or label are never learned from; repeated
+learned; equal costs go to the first language by name; the score is 1 - best / second
+cost, 1 with one language; rows without key or label are never learned from; repeated
 rows give a row each; further columns are ignored; an empty table gives an empty table.
 """
 
@@ -136,10 +139,13 @@ class Model:
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
         self.classes = Classes([t for lang in self.langs for t in samples[lang]])
-        self.tables = []
+        self.tables, sizes = [], []
         for lang in self.langs:
             symbols, _ = self.classes.read([" " + t + " " for t in samples[lang]])
             self.tables.append(parse_table(symbols.tolist(), self.classes.count))
+            sizes.append(len(symbols))
+        #: what a phrase costs in each language
+        self.bits = np.log2(np.array(sizes) + self.classes.count)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text by each language."""
@@ -165,9 +171,9 @@ class Model:
         readable = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.langs else []
         langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if readable:
-            counts = self.phrases([texts[i] for i in readable])
-            best = counts.argmin(1)
-            lowest = np.sort(counts, 1)
+            costs = self.phrases([texts[i] for i in readable]) * self.bits
+            best = costs.argmin(1)
+            lowest = np.sort(costs, 1)
             score = 1 - lowest[:, 0] / lowest[:, 1] if len(self.langs) > 1 else np.ones(len(readable))
             for i, b, s in zip(readable, best.tolist(), score.tolist()):
                 langs[i], scores[i] = self.langs[b], s

@@ -249,3 +249,20 @@ def test_language_odd_texts(spark, docs):
     assert rows[3].lang_pred == rows[4].lang_pred == rows[5].lang_pred == "und" and rows[3].score == 0
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", docs.lang.substr(9, 9)).filter("lang is null")).collect()} <= {"und"}
     assert langid.identify(docs.limit(0)).count() == 0
+
+
+def test_a_language_with_few_samples_is_told_apart(spark):
+    rows = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/documents.parquet").select("doc_id", "text", "lang").collect()
+    by_lang = {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        if r.lang and r.text and 200 < len(r.text):
+            by_lang.setdefault(r.lang, []).append(r.text)
+    names = sorted(by_lang)
+    for rare in names:
+        samples = {lang: [t[:600] for t in by_lang[lang][: 2 if lang == rare else 60]] for lang in names}
+        model = langid.Model(samples)
+        right = total = 0
+        for lang in names:
+            told, _ = model.predict(by_lang[lang][60:100])
+            right, total = right + sum(t == lang for t in told), total + len(told)
+        assert right >= 0.95 * total, (rare, right, total)
