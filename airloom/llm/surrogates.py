@@ -14,9 +14,12 @@ shared folder. Nothing about entities is collected.
 Only DataFrame functions are used. Texts that can hold a mention are matched to list them, and
 those with mentions once more to put the parts together; only the former are shuffled.
 
-Defined results: null texts stay null, texts without a mention stay as they are; rows that share
-an id (a null id too) share their table of replacements, which does not change them as a
-mention has one replacement everywhere; further columns are kept; an empty table stays empty.
+Not detected: names without a title, telephone numbers without a plus, a separator or the
+shapes of `PATTERNS` (ten digits in a row are no number to call), postal addresses, dates of birth.
+
+Defined results: null texts stay null, texts without a mention stay as they are; a mention has
+one replacement everywhere, whatever rows share an id or have none; further columns are kept; an
+empty table stays empty.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.shared import stored
+from airloom.llm.shared import row_identity, stored
 
 # Titles with the gender they tell (m, f, or n for none), by script.
 TITLES = {
@@ -65,10 +68,16 @@ NAME = r"(?<![\p{L}\p{N}])(?:" + _ALL_TITLES + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    # eight groups, or two runs of groups around ::, and a digit somewhere
+    "ipv6": r"(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f:]*\d)"
+    r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<![\p{L}\d.+-])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4} \d{6} \d{5})(?![\p{L}\d]|-\d)",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d]|-\d)",
-    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?![\p{L}\d]|-\d)|(?<![\p{L}\d])\+\d(?:[ ./-]?\d){7,13}(?!\d)",
+    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?![\p{L}\d]|-\d)|(?<![\p{L}\d])\+\d(?:[ ./-]?\d){7,13}(?!\d)"
+    # a trunk zero in brackets; national forms in pairs or with one break
+    r"|(?<![\p{L}\d])\+\d{1,3}[ .-]?\(0\)[ .-]?\d(?:[ ./-]?\d){6,11}(?!\d)|(?<![\p{L}\d.,-])0[1-9](?:[ .]\d{2}){4}(?![\p{L}\d]|[.,-]\d)"
+    r"|(?<![\p{L}\d.,-])0\d{2,4}[ /-]\d{6,8}(?![\p{L}\d]|[.,-]\d)",
     "name": NAME,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -92,7 +101,7 @@ def mentions(text: Column) -> Column:
 
 def kind(mention: Column) -> Column:
     found = F.when(mention.contains("@"), "email")
-    for name in ("name", "ip", "ssn", "phone", "iban", "card"):
+    for name in ("name", "ipv6", "ip", "ssn", "phone", "iban", "card"):
         # whole mentions only: what stands around them was judged where they were found
         found = found.when(mention.rlike(f"^(?:{PATTERNS[name]})$"), name)
     return found.otherwise("card")
@@ -122,6 +131,7 @@ def parts(mention: Column, of: Column) -> Column:
         F.when(of == "email", F.lower(mention))
         .when(of == "iban", F.regexp_replace(mention, " ", ""))
         .when(of == "ip", mention)
+        .when(of == "ipv6", F.lower(mention))
         .otherwise(F.regexp_replace(mention, r"\D", ""))
     )
     return F.when(of == "name", F.transform(words, word)).otherwise(F.array(F.struct(of.alias("kind"), canon.alias("canon"))))
@@ -157,6 +167,13 @@ def _shape(text: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
+def _hexadecimal(text: Column, digest: Column) -> Column:
+    """Every hexadecimal digit replaced by one of the digest, none by a zero."""
+    hexed = F.translate(digest, "0", "7")
+    one = lambda c, i: F.when(c == ":", c).otherwise(hexed.substr(F.pmod(i, F.lit(128)) + 1, F.lit(1)))
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
 def _digits(text: Column, digest: Column, keep: int) -> Column:
     """The first `keep` characters, then a hash digit for each digit (a letter for each letter)."""
     return F.concat(text.substr(1, keep), _shape(text.substr(F.lit(keep + 1), F.length(text)), digest))
@@ -205,10 +222,12 @@ def surrogate(of: Column, canon: Column, key: str, draw: int) -> Column:
     return (
         F.when(of == "email", F.concat(local, F.lit("@"), host))
         .when(of == "ip", ip)
+        .when(of == "ipv6", _hexadecimal(canon, digest))
         .when(of == "family", family)
         .when(of == "given", given)
         .when(of == "iban", _digits(canon, digest, 2))
         .when(of == "card", _like_card(canon, _digits(canon, digest, 1)))
+        .when((of == "phone") & canon.startswith("0"), F.concat(F.lit("0"), _shape(canon.substr(F.lit(2), F.length(canon)), digest)))
         # a country code is the digits before the last ten
         .when((of == "phone") & (F.length(canon) > 10), F.concat(canon.substr(F.lit(1), F.length(canon) - 10), F.translate(digest.substr(120, 1), "0123456789abcdef", "2345678923456789"), _shape(canon.substr(F.lit(-9), F.lit(9)), digest)))
         .otherwise(_shape(canon, digest))
@@ -262,10 +281,15 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 
 def replacements(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc key as `owner`, table: mention -> replacement, n_mentions of different spelling)."""
-    listed = F.when(possible(F.col(text)), mentions(F.col(text)))
+    """(`owner`: the identity of rows of one id and text, table: mention -> replacement).
+
+    A table holds the mentions of one text, however many rows share an id or have none.
+    """
+    can = possible(F.col(text))
+    listed = F.when(can, mentions(F.col(text)))
+    owner = F.when(can, row_identity(doc, text))
     # an outer explode: an inner one would make the optimiser match every text twice
-    found = docs.select(F.col(doc).alias("owner"), F.explode_outer(listed).alias("mention"))
+    found = docs.select(owner.alias("owner"), F.explode_outer(listed).alias("mention"))
     said = stored(found.filter("mention IS NOT NULL").distinct())
     forms = said.select("mention").distinct().withColumn("of", kind(F.col("mention")))
     forms = forms.select("mention", "of", F.posexplode(parts(F.col("mention"), F.col("of"))).alias("n", "part"))
@@ -282,7 +306,7 @@ def replace(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text",
     """`docs` with all mentions replaced; `count` names a column for their number."""
     tables = stored(replacements(docs, key, doc, text)).select(F.col("owner").alias("_owner"), F.col("table").alias("_table"))
     # only texts that can hold a mention meet the tables; the others are not shuffled
-    joined = docs.filter(possible(F.col(text))).join(tables, F.col(doc).eqNullSafe(F.col("_owner")), "left")
+    joined = docs.filter(possible(F.col(text))).join(tables, row_identity(doc, text) == F.col("_owner"), "left")
     table = F.col("_table")
     found = F.when(table.isNotNull(), mentions(F.col(text)))
     between = F.split(F.col(text), ANY, -1)

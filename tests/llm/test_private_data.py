@@ -147,6 +147,23 @@ def test_surrogates_keep_type_gender_script_and_format(spark):
     assert surrogates.replace(docs.limit(0), "k").count() == 0
 
 
+def test_national_numbers_and_long_addresses(spark):
+    found = [
+        "+44 (0)20 7946 0958", "01 23 45 67 89", "030 12345678", "0171/1234567", "2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23",
+    ]
+    plain = ["10:30:00", "a::b 7", "std::vector", "01.02.2024", "2024 01 02", "5551234567", "00:1B:44:11:3A:B7", "12:34", "0,12 345678"]
+    rows = [(i, f"x {t}, y") for i, t in enumerate(found + plain)] + [(None, f"see {found[0]}."), (None, f"see {found[4].upper()}"), (None, None)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, owner int")
+    made = {(r.doc_id, r.n): r.text for r in surrogates.replace(docs, "k", count="n").collect()}
+    for i, t in enumerate(found):
+        new = re.fullmatch(r"x (.*), y", made[i, 1])[1]
+        assert new != t and len(new) == len(t) and new[0] == ("+" if t[0] == "+" else "0" if t[0] == "0" else new[0]) and re.sub(r"[0-9a-f]", "9", new) == re.sub(r"[0-9a-f]", "9", t), t
+    for i, t in enumerate(plain):
+        assert made[len(found) + i, 0] == f"x {t}, y", t
+    nulls = sorted((r.text for r in surrogates.replace(docs, "k").filter("doc_id IS NULL AND text IS NOT NULL").collect()))
+    assert nulls == sorted([f"see {made[0, 1][2:-3]}.", f"see {made[4, 1][2:-3]}"])
+
+
 def test_colliding_draws_are_resolved(spark):
     # 3,000 given names over lists of twelve: most first draws collide
     people = spark.createDataFrame([("given", f"latin:m:Name{i}") for i in range(3000)], "kind string, canon string")
