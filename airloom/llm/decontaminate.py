@@ -143,27 +143,19 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return docs.join(leaked, row_identity(key, text) == F.col("leaked_row"), "left_anti")
 
 
-#: Strings instead of hashes: spaced seeds as joined tokens, diagonals compared row by row.
+#: Without seeds: every diagonal with as many equal tokens as either rule asks for, compared row by row.
 ORACLE = r"""
 WITH items AS (
   SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL
 ), docs AS (
   SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
-), masks AS (
-  SELECT unnest(['1101100111', '1110010111']) AS m
-  UNION SELECT DISTINCT repeat('1', len(w)) FROM items WHERE len(w) BETWEEN 5 AND 9
-), item_places AS (
-  SELECT item_id, w, unnest(range(1, len(w) + 1)) AS i FROM items WHERE len(w) >= 5
-), item_seeds AS (
-  SELECT item_id, i, m, [CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END for k in range(0, length(m))] AS seed
-  FROM item_places, masks WHERE i + length(m) - 1 <= len(w)
-), doc_places AS (
-  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs
-), doc_seeds AS (
-  SELECT doc_id, i, m, [CASE WHEN substr(m, k::INT + 1, 1) = '1' THEN w[i + k] ELSE '' END for k in range(0, length(m))] AS seed
-  FROM doc_places, masks WHERE i + length(m) - 1 <= len(w)
+), item_tokens AS (
+  SELECT item_id, len(w) AS n, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM items WHERE len(w) >= 5
+), doc_tokens AS (
+  SELECT doc_id, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM docs
 ), hits AS (
-  SELECT DISTINCT d.doc_id, s.item_id, d.i - s.i AS diagonal FROM doc_seeds d JOIN item_seeds s USING (m, seed)
+  SELECT d.doc_id, t.item_id, d.i - t.i AS diagonal FROM doc_tokens d JOIN item_tokens t USING (token)
+  GROUP BY ALL HAVING count(*) >= least(13, ceil(0.7 * any_value(t.n)))
 ), compared AS (
   SELECT h.doc_id, h.item_id, diagonal, len(items.w) AS n, unnest(range(1, len(items.w) + 1)) AS j, items.w AS iw, docs.w AS dw
   FROM hits h JOIN items USING (item_id) JOIN docs ON docs.doc_id IS NOT DISTINCT FROM h.doc_id
