@@ -635,6 +635,12 @@ def node_from_sensor(requests: DataFrame, ctx: DataFrame) -> DataFrame:
     return requests.join(ctx.select("sensors_id", "sensor_nodes_id"), "sensors_id", "left")
 
 
+def nodes_from_sensors(requests: DataFrame, ctx: DataFrame, group: str) -> DataFrame:
+    """Distinct nodes of each group of sensors, ascending; unknown sensors add none."""
+    pairs = requests.join(ctx.select("sensors_id", "sensor_nodes_id"), "sensors_id", "left").select(group, "sensor_nodes_id").distinct()
+    return pairs.groupBy(group).agg(_set("sensor_nodes_id").alias("sensor_nodes_ids"))
+
+
 def countries_of_nodes(requests: DataFrame, sensor_nodes: DataFrame, group: str) -> DataFrame:
     """Distinct countries per group of nodes."""
     pairs = requests.join(sensor_nodes.select("sensor_nodes_id", "country"), "sensor_nodes_id").select(group, "country").distinct()

@@ -329,6 +329,33 @@ def daily_requests(logs: DataFrame, kind: str, process_date: str | None = None,
     raise ValueError(f"unknown kind {kind}")
 
 
+#: Kinds of daily request counts and the column that tells their rows apart.
+REQUEST_KEYS = {
+    "total": None, "agent": "agents_id", "status": "status_code", "resource": "resource", "user": "users_id",
+    "sensor": "sensors_id", "node": "sensor_nodes_id",
+}
+
+
+def process_daily_logs(
+    logs: DataFrame, process_date: str, agents: DataFrame, user_keys: DataFrame, stations: DataFrame, drop_processed: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(counts of one day in all kinds: kind, key, day, requests_count, requests_time; the log).
+
+    With `drop_processed` the log returned lacks the rows of that day.
+    """
+    lookups = {"agent": agents, "user": user_keys, "node": stations}
+    out = None
+    for kind, key in REQUEST_KEYS.items():
+        counts = daily_requests(logs, kind, process_date, lookups.get(kind))
+        rows = counts.select(
+            F.lit(kind).alias("kind"), (F.col(key) if key else F.lit(None)).cast("string").alias("key"), "day", "requests_count", "requests_time"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    start = timeops.instant(process_date)
+    of_day = (F.col("added_on") >= start) & (F.col("added_on") < timeops.shift(start, 86400))
+    return out, logs.where(~F.coalesce(of_day, F.lit(False))) if drop_processed else logs
+
+
 # ---- audits ------------------------------------------------------------------------------------------
 
 

@@ -83,7 +83,12 @@ def hourly_rollup(measurements: DataFrame, ctx: DataFrame, periods: DataFrame |
     if periods is not None:
         wanted = periods.select(F.col("datetime").alias("hour"), "offset_s").distinct()
         at_hour = by_zone(ctx, lambda zone: timeops.offset_seconds("hour", zone))
-        rows = rows.withColumn("offset_s", at_hour).join(wanted, ["hour", "offset_s"], "left_semi")
+        # keys that cannot be null: else the optimizer tests the whole zone arithmetic for null
+        # once more, below the join with the context, in code too long to compile
+        never = F.timestamp_seconds(F.lit(-(2**40)))
+        rows = rows.withColumns({"_hour": F.coalesce("hour", never), "_offset_s": F.coalesce(at_hour, F.lit(0))})
+        wanted = wanted.select(F.coalesce("hour", never).alias("_hour"), F.coalesce("offset_s", F.lit(0)).alias("_offset_s"))
+        rows = rows.join(wanted, ["_hour", "_offset_s"], "left_semi")
     keys = ["sensors_id", "measurands_id", "sensor_nodes_id", "hour"]
     # hours of a sensor go to different tasks, whatever the join above was clustered by
     rows = rows.select(*keys, "datetime", "value", "added_on").repartition("sensors_id", "hour")

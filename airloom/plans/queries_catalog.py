@@ -465,6 +465,17 @@ def _(f):
     return catalog.node_from_sensor(f.sql("SELECT event_id, event_id AS sensors_id FROM {events}"), f.stations)
 
 
+@query(
+    "nodes_from_sensors", "grp:i nodes:s",
+    """SELECT user_id AS grp, coalesce(string_agg(DISTINCT CAST(c.sensor_nodes_id AS VARCHAR), ',' ORDER BY CAST(c.sensor_nodes_id AS VARCHAR)), '') AS nodes
+    FROM {events} e LEFT JOIN {stations} c ON c.sensors_id = e.event_id GROUP BY 1""",
+)
+def _(f):
+    asked = f.sql("SELECT user_id AS grp, event_id AS sensors_id FROM {events}")
+    made = catalog.nodes_from_sensors(asked, f.stations, "grp")
+    return made.select("grp", F.array_join(F.array_sort(F.col("sensor_nodes_ids").cast("array<string>")), ",").alias("nodes"))
+
+
 @query(
     "countries_of_nodes", "grp:i countries:s",
     """SELECT o_custkey % 50 AS grp, coalesce(string_agg(DISTINCT n.country, ',' ORDER BY n.country), '') AS countries FROM {orders} o JOIN {sensor_nodes} n ON n.sensor_nodes_id = o.o_custkey GROUP BY 1""",

@@ -8,7 +8,8 @@ from airloom.functions import timeops
 from airloom.operators import exports, upsert
 from airloom.plans.frames import AS_OF, AS_OF_ORDERS
 from airloom.plans.registry import query
-from airloom.sources import files
+from airloom.session import shared_folder
+from airloom.sources import export_run, files
 
 MID = "1998-06-15 12:00:00"
 
@@ -409,3 +410,45 @@ def _(f):
         """SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 'ASIA/KOLKATA' WHEN c_nationkey % 3 = 1 THEN 'Utc' ELSE 'nowhere' END AS text FROM {customer}"""
     )
     return exports.lookup_by_name(asked, f.timezones, "text", "tzid", "timezones_id")
+
+
+# ---- a whole export run ---------------------------------------------------------------------------------
+
+_MEASURED_DAYS = """SELECT c.sensor_nodes_id, CAST(m.datetime AS DATE) AS day, count(*) AS records, count(DISTINCT c.measurands_id) AS measurands,
+  min(m.datetime) AS added_on, max(m.datetime) AS modified_on,
+  CASE WHEN c.sensor_nodes_id % 3 = 0 THEN NULL ELSE max(m.datetime) + (c.sensor_nodes_id % 5 - 2) * INTERVAL '1' HOUR END AS exported_on,
+  CASE WHEN c.sensor_nodes_id % 4 = 0 THEN NULL ELSE max(m.datetime) + INTERVAL '1' HOUR END AS queued_on,
+  c.sensor_nodes_id % 7 = 0 AS has_error, 'earlier' AS metadata
+FROM {measurements} m JOIN {stations} c ON c.sensors_id = m.sensors_id GROUP BY c.sensor_nodes_id, CAST(m.datetime AS DATE)"""
+_CLAIMED = _PENDING.replace(MID, AS_OF).replace("{export_logs}", "{log}")
+_WRITTEN = """SELECT e.*, CAST(timezone(e.tz, timezone('UTC', e.datetime)) - INTERVAL 1 SECOND AS DATE) AS day FROM {export} e"""
+_RUN = {"log": _MEASURED_DAYS, "zones": _ZONES, "claimed": _CLAIMED, "export": _EXPORT, "rows": _WRITTEN}
+
+
+def _run(f):
+    path = shared_folder(f.spark, "export")
+    logs, done = export_run.run_export(_export(f), f.sql(_MEASURED_DAYS), _zones(f), path, AS_OF)
+    return logs, done, path
+
+
+@query(
+    "export_run_files",
+    "sensors_id:i sensor_nodes_id:i location:s measurands_id:i country:s ismobile:b sensor:s datetime:t tz:s datetime_str:s "
+    "measurand:s units:s value:f lon:f lat:f provider:s day:d",
+    "SELECT r.* FROM {rows} r WHERE (sensor_nodes_id, day) IN (SELECT (sensor_nodes_id, day) FROM {claimed})", _RUN,
+)
+def _(f):
+    return files.read_export(f.spark, _run(f)[2])
+
+
+@query(
+    "export_run_log", _LOG,
+    f"""SELECT l.* REPLACE (CASE WHEN c.day IS NULL THEN l.queued_on ELSE TIMESTAMP '{AS_OF}' END AS queued_on,
+      CASE WHEN c.day IS NULL THEN l.exported_on ELSE TIMESTAMP '{AS_OF}' END AS exported_on,
+      CASE WHEN c.day IS NULL THEN l.records ELSE coalesce(w.n, 0) END AS records, CASE WHEN c.day IS NULL THEN l.metadata ELSE '{{{{}}}}' END AS metadata)
+    FROM {{log}} l LEFT JOIN {{claimed}} c ON c.sensor_nodes_id = l.sensor_nodes_id AND c.day = l.day
+    LEFT JOIN (SELECT sensor_nodes_id, day, count(value) AS n FROM {{rows}} GROUP BY 1, 2) w ON w.sensor_nodes_id = l.sensor_nodes_id AND w.day = l.day""",
+    _RUN,
+)
+def _(f):
+    return _run(f)[0]

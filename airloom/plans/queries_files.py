@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from airloom import schemas
+from airloom.plans.frames import CHECK
 from airloom.plans.registry import query
 from airloom.session import shared_folder
 from airloom.sources import files
 from airloom.streaming import arrivals
 
 _KEYS = ["sensors_id", "datetime"]
+_OFFSET = "(epoch_us(timezone(c.tzid, timezone('UTC', {at}))) - epoch_us({at})) // 1000000"
 _CHANGED = """SELECT sensors_id, datetime, CASE WHEN sensors_id % 2 = 0 THEN value ELSE value + 1 END AS value, lon, lat, added_on
 FROM {measurements_long} WHERE sensors_id % 3 > 0"""
 
@@ -102,26 +106,43 @@ def _(f):
     return files.load_lookup(f.spark, path, schema, ["valid"])
 
 
+def _days(f, column: str = "datetime") -> tuple[str, str, str]:
+    """Texts of the table's first day, a day within, and the day after its last."""
+    first, last = f.measurements.agg(F.min(F.to_date(column)), F.max(F.to_date(column))).first()
+    return str(first), str(first + (last - first) / 3), str(last + timedelta(days=1))
+
+
 @query(
     "dump_by_period_files", "sensors_id:i datetime:t value:f period:s",
     """SELECT sensors_id, datetime, max(value) AS value, strftime(b, '%Y%m%d%H') || '_' || strftime(b + INTERVAL 1 DAY, '%Y%m%d%H') AS period
-    FROM (SELECT *, date_trunc('day', datetime - INTERVAL 1 MICROSECOND) AS b FROM {measurements}
-      WHERE datetime > TIMESTAMP '2024-01-01' AND datetime <= TIMESTAMP '2024-01-20') x GROUP BY sensors_id, datetime, lat, lon, b""",
+    FROM (SELECT *, date_trunc('day', datetime - INTERVAL 1 MICROSECOND) AS b FROM {measurements}) x GROUP BY sensors_id, datetime, lat, lon, b""",
 )
 def _(f):
     path = shared_folder(f.spark, "periods")
     ids = f.measurements.select("sensors_id", F.col("sensors_id").alias("old_sensors_id")).distinct()
-    files.dump_by_period(f.measurements, ids, path, "2024-01-01", "2024-01-11")
+    first, within, after = _days(f)
+    before = str(date.fromisoformat(first) - timedelta(days=1))
+    files.dump_by_period(f.measurements, ids, path, before, within)
     # periods already there are skipped
-    files.dump_by_period(f.measurements, ids, path, "2024-01-01", "2024-01-20")
+    files.dump_by_period(f.measurements, ids, path, before, after)
     rows = f.spark.read.schema("sensors_id bigint, datetime timestamp, value double, lat double, lon double, period string")
     return rows.option("sep", "|").csv(path)
 
 
+_RESTORED = "SELECT sensors_id, datetime, value, CAST(datetime AS DATE) AS day FROM {measurements}"
+
+
+@query("dump_by_day_restored", "sensors_id:i datetime:t value:f day:d", _RESTORED)
+def _(f):
+    path = shared_folder(f.spark, "days")
+    files.dump_by_day(f.measurements, path)
+    first, _, after = _days(f)
+    return files.restore(f.spark, path, first, after)
+
+
 @query(
-    "dump_by_day_restored", "sensors_id:i datetime:t value:f day:d",
-    """SELECT sensors_id, datetime, value, CAST(datetime AS DATE) AS day FROM {measurements}
-    WHERE datetime >= TIMESTAMP '2024-01-03' AND datetime < TIMESTAMP '2024-01-20'""",
+    "dump_by_day_restored_range", "sensors_id:i datetime:t value:f day:d",
+    _RESTORED + " WHERE datetime >= TIMESTAMP '2024-01-03' AND datetime < TIMESTAMP '2024-01-20'",
 )
 def _(f):
     path = shared_folder(f.spark, "days")
@@ -209,3 +230,85 @@ def _(f):
 )
 def _(f):
     return arrivals.late_rows(f.measurements, f.lifetime, 86400)
+
+
+def _arrived(f) -> arrivals.Store:
+    """A store that a stream of all measurements has filled."""
+    root = shared_folder(f.spark, "store")
+    stream = _source(f, f.measurements, "arrivals")
+    clock = lambda i: f"2024-03-{1 + i:02d} 00:00:00"
+    arrivals.stream_hourly(stream, f.ctx, root, shared_folder(f.spark, "progress"), clock).awaitTermination()
+    return arrivals.Store(root)
+
+
+_ANNUAL = CHECK["annual_long"].replace("{hourly_long}", "{hourly}")
+
+
+@query(
+    "stream_cascade", "level:s sensors_id:i sensor_nodes_id:i period:d value_count:i value_raw_count:i value_avg:f value_p50:f error_count:i",
+    """SELECT 'day' AS level, sensors_id, sensor_nodes_id, datetime AS period, value_count, value_raw_count, value_avg, value_p50, error_count FROM {daily}
+    UNION ALL SELECT 'year', sensors_id, sensor_nodes_id, datetime, value_count, value_raw_count, value_avg, value_p50, error_count FROM {annual}""",
+    {"annual": _ANNUAL},
+)
+def _(f):
+    store = _arrived(f)
+    rows = [f.spark.read.parquet(store.data(level)).withColumn("level", F.lit(level)) for level in ("day", "year")]
+    return rows[0].unionByName(rows[1], allowMissingColumns=True).withColumnRenamed("datetime", "period")
+
+
+@query(
+    "stream_ledgers", "level:s period:t offset_s:i sensor_nodes_count:i sensors_count:i measurements_count:i pending:b",
+    """SELECT 'hour' AS level, h.datetime AS period, z.off AS offset_s, count(DISTINCT h.sensor_nodes_id) AS sensor_nodes_count,
+      count(DISTINCT h.sensors_id) AS sensors_count, sum(h.value_count) AS measurements_count, false AS pending
+    FROM {hourly} h JOIN {ctx} c ON c.sensors_id = h.sensors_id, LATERAL (SELECT """ + _OFFSET.format(at="h.datetime") + """ AS off) z GROUP BY 2, 3
+    UNION ALL SELECT 'day', CAST(d.datetime AS TIMESTAMP), z.off, count(DISTINCT d.sensor_nodes_id), count(DISTINCT d.sensors_id), sum(d.value_count), false
+    FROM {daily} d JOIN {ctx} c ON c.sensors_id = d.sensors_id, LATERAL (SELECT DISTINCT unnest([""" + _OFFSET.format(at="CAST(d.datetime AS TIMESTAMP)")
+    + ", " + _OFFSET.format(at="CAST(d.datetime + INTERVAL 1 DAY AS TIMESTAMP)") + "]) AS off) z GROUP BY 2, 3",
+)
+def _(f):
+    store = _arrived(f)
+    out = None
+    for level in ("hour", "day"):
+        book = files.read_snapshot(f.spark, store.ledger(level))
+        pending = F.col("calculated_on").isNull() | F.coalesce(F.col("modified_on") > F.col("calculated_on"), F.lit(False))
+        stale = book.withColumn("pending", pending)
+        rows = stale.select(
+            F.lit(level).alias("level"), F.col("datetime").cast("timestamp").alias("period"), "offset_s", "sensor_nodes_count", "sensors_count",
+            "measurements_count", "pending",
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(
+    "stream_lifetime", "sensors_id:i datetime_first:t datetime_last:t value_count:i value_avg:f value_sd:f value_min:f value_max:f",
+    "SELECT sensors_id, datetime_first, datetime_last, value_count, value_avg, value_sd, value_min, value_max FROM {lifetime}",
+)
+def _(f):
+    source = shared_folder(f.spark, "arrivals")
+    f.measurements.repartition(3, "sensors_id", "datetime").write.parquet(source)
+    stream = f.spark.readStream.schema(f.measurements.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path = shared_folder(f.spark, "lifetime")
+    arrivals.stream_lifetime(stream, path, shared_folder(f.spark, "progress")).awaitTermination()
+    return arrivals.read_lifetime(f.spark, path)
+
+
+@query(
+    "stream_hourly_append", "hour:t sensors_id:i value_count:i value_avg:f value_min:f value_max:f",
+    """SELECT datetime AS hour, sensors_id, value_count, value_avg, value_min, value_max FROM {hourly}
+    WHERE datetime <= (SELECT max(datetime) FROM {hourly}) - INTERVAL 2 HOUR""",
+)
+def _(f):
+    return _drained(f, arrivals.stream_hourly_append(_source(f, f.measurements, "arrivals"), f.ctx), "hours")
+
+
+@query(
+    "stream_sessions", "sensors_id:i first:t until:t value_count:i",
+    """SELECT * FROM (SELECT sensors_id, min(datetime) AS first, max(datetime) + INTERVAL 1 DAY AS until, count(*) AS value_count
+      FROM (SELECT *, sum(begins) OVER (PARTITION BY sensors_id ORDER BY datetime ROWS UNBOUNDED PRECEDING) AS run
+        FROM (SELECT sensors_id, datetime, CASE WHEN datetime - INTERVAL 1 DAY <= lag(datetime) OVER (PARTITION BY sensors_id ORDER BY datetime)
+          THEN 0 ELSE 1 END AS begins FROM {measurements}) x) y GROUP BY sensors_id, run) z
+    WHERE until <= (SELECT date_trunc('milliseconds', max(datetime)) - INTERVAL 1 DAY FROM {measurements})""",
+)
+def _(f):
+    return _drained(f, arrivals.stream_sessions(_source(f, f.measurements, "arrivals")), "sessions").withColumnRenamed("end", "until")

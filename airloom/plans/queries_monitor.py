@@ -159,7 +159,7 @@ _AGENT = """SELECT agent, min(agents_id) AS agents_id FROM (SELECT DISTINCT agen
 _SENSOR = "CASE WHEN regexp_full_match(json_extract_string(params, '$.sensors_id'), '\\d+') THEN CAST(json_extract_string(params, '$.sensors_id') AS BIGINT) END"
 _NODE = "CASE WHEN regexp_full_match(json_extract_string(params, '$.locations_id'), '\\d+') THEN CAST(json_extract_string(params, '$.locations_id') AS BIGINT) END"
 _TOTALS = "count(*) AS requests_count, round(sum(CAST(timing AS DECIMAL(24,6)))) AS requests_time"
-for _kind, _col, _from in (
+_KINDS = (
     ("total", None, "{api_logs}"),
     ("status", "status_code", "{api_logs}"),
     ("resource", "resource", "(SELECT *, endpoint AS resource FROM {api_logs}) l"),
@@ -168,7 +168,8 @@ for _kind, _col, _from in (
     ("sensor", "sensors_id", "(SELECT x.*, " + _SENSOR + " AS sensors_id FROM {api_logs} x) l WHERE sensors_id IS NOT NULL"),
     ("node", "sensor_nodes_id", "(SELECT x.timing, x.added_on, coalesce(x.n, c.sensor_nodes_id) AS sensor_nodes_id FROM (SELECT y.*, " + _SENSOR
      + " AS s, " + _NODE + " AS n FROM {api_logs} y) x LEFT JOIN {stations} c ON c.sensors_id = x.s) l WHERE sensor_nodes_id IS NOT NULL"),
-):
+)
+for _kind, _col, _from in _KINDS:
     _cols = f", {_col}" if _col else ""
     _text = "s" if _kind == "resource" else "i"
     query(
@@ -181,6 +182,32 @@ for _kind, _col, _from in (
     )
 
 
+_OF_DAY = "SELECT * FROM {api_logs} WHERE added_on >= TIMESTAMP '2024-01-10' AND added_on < TIMESTAMP '2024-01-11'"
+
+
+def _in_kinds() -> str:
+    """All kinds of one day in one table; the texts above over the day's rows."""
+    parts = [
+        f"SELECT '{kind}' AS kind, {f'CAST({col} AS VARCHAR)' if col else 'CAST(NULL AS VARCHAR)'} AS key, CAST(added_on AS DATE) AS day, {_TOTALS} "
+        f"FROM {source.replace('{api_logs}', '{of_day}')} GROUP BY 2, 3"
+        for kind, col, source in _KINDS
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+@query("process_daily_logs", "kind:s key:s day:d requests_count:i requests_time:f", _in_kinds(), {"agent": _AGENT, "of_day": _OF_DAY})
+def _(f):
+    return monitor.process_daily_logs(f.api_logs, "2024-01-10", f.agents, f.user_keys, f.stations)[0]
+
+
+@query(
+    "process_daily_logs_rest", "api_key:i status_code:i endpoint:s agent:s added_on:t",
+    "SELECT * FROM {api_logs} WHERE added_on < TIMESTAMP '2024-01-10' OR added_on >= TIMESTAMP '2024-01-11'",
+)
+def _(f):
+    return monitor.process_daily_logs(f.api_logs, "2024-01-10", f.agents, f.user_keys, f.stations, drop_processed=True)[1]
+
+
 @query(
     "uncategorized_requests", "agent:s n:i time:f first_requested:t last_requested:t keys:i",
     """SELECT agent, count(*) AS n, round(sum(CAST(timing AS DECIMAL(24,6)))) AS time, min(added_on) AS first_requested, max(added_on) AS last_requested, count(DISTINCT api_key) AS keys

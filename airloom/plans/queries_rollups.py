@@ -623,6 +623,25 @@ def _(f):
     return rows
 
 
+@query(
+    "recompute_day_ledger", "datetime:d offset_s:i calculated_on:t calculated_count:i queued_on:t sensor_nodes_count:i sensors_count:i measurements_count:i",
+    f"""SELECT w.datetime, w.offset_s, coalesce(w.calculated_on, TIMESTAMP '{AS_OF_ORDERS}') AS calculated_on,
+      CASE WHEN w.calculated_on IS NULL THEN 2 ELSE 0 END AS calculated_count, CASE WHEN w.calculated_on IS NULL THEN TIMESTAMP '{AS_OF_ORDERS}' END AS queued_on,
+      CASE WHEN w.calculated_on IS NULL THEN count(DISTINCT d.sensor_nodes_id) END AS sensor_nodes_count,
+      CASE WHEN w.calculated_on IS NULL THEN count(DISTINCT d.sensors_id) END AS sensors_count,
+      CASE WHEN w.calculated_on IS NULL THEN sum(d.value_count) END AS measurements_count
+    FROM {{day_work}} w LEFT JOIN (SELECT d0.*, {_off('c.tzid', 'CAST(d0.datetime AS TIMESTAMP)')} AS o1,
+        {_off('c.tzid', 'CAST(d0.datetime + INTERVAL 1 DAY AS TIMESTAMP)')} AS o2 FROM {{daily_long}} d0 JOIN {{ctx}} c ON c.sensors_id = d0.sensors_id) d
+      ON d.datetime = w.datetime AND w.offset_s IN (d.o1, d.o2)
+    WHERE w.datetime <= DATE '2001-12-30' GROUP BY w.datetime, w.offset_s, w.calculated_on""",
+    {"day_work": _DAY_WORK},
+)
+def _(f):
+    target = f.daily_long.where(F.lit(False)).withColumns({"calculated_on": timeops.instant(AS_OF), "calculated_count": F.lit(1)})
+    _, kept, _ = ledger.recompute(f.hourly_long, f.ctx, target, _day_ledger(f), "day", None, AS_OF_ORDERS)
+    return kept.where(F.col("datetime") <= F.lit("2001-12-30").cast("date"))
+
+
 @query(
     "cascade_day_to_year", "datetime:d offset_s:i",
     "SELECT DISTINCT CAST(date_trunc('year', datetime) AS DATE) AS datetime, offset_s FROM {day_work} WHERE calculated_on IS NULL",

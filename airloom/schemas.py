@@ -29,6 +29,11 @@ MEASUREMENTS_ARCHIVE = T.StructType(
 )
 PERIOD_FILE = _schema("sensors_id bigint, datetime timestamp, value double, lat double, lon double")
 MOBILE_FILE = _schema("ingest_id string, value double, datetime timestamp, lon double, lat double")
+EXPORT_FILE = _schema(
+    "sensors_id bigint, location string, measurands_id bigint, ismobile boolean, sensor string, datetime timestamp, tz string, "
+    "datetime_str string, measurand string, units string, value double, lon double, lat double, "
+    "provider string, country string, sensor_nodes_id bigint, day date"
+)
 NODES_FILE = _schema(
     "sensor_nodes_id bigint, source_name string, source_id string, site_name string, lon double, lat double, "
     "timezones_id int, origin string, ismobile boolean, added_on timestamp"

@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,15 +209,24 @@ def restore(spark: SparkSession, path: str, start: str | None = None, end: str |
     return df
 
 
+def local_day(column: str = "datetime", zone: str = "tz") -> Column:
+    """The day that a stamp ends or lies in, by the row's own zone."""
+    return F.to_date(timeops.shift(timeops.local_time(column, F.col(zone)), -1))
+
+
 def write_export(export_rows: DataFrame, path: str) -> None:
     """Export files per provider, country, node and local day."""
-    day = F.to_date(timeops.shift(timeops.local_time("datetime", F.col("tz")), -1))
     keys = ("provider", "country", "sensor_nodes_id", "day")
-    _evened(export_rows.withColumn("day", day), *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    _evened(export_rows.withColumn("day", local_day()), *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *keys
     ).option("header", True).option("compression", "gzip").option("timestampFormat", MICROS).csv(path)
 
 
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """Typed rows of export files; provider, country, node and day come from the folders."""
+    return spark.read.schema(schemas.EXPORT_FILE).option("header", True).option("timestampFormat", MICROS).csv(path)
+
+
 # ---- snapshots -------------------------------------------------------------------------------------------
 
 

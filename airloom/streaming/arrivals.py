@@ -188,6 +188,39 @@ def merge_lifetime(existing: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+#: Lifetime state as stored, each snapshot with the number of its last batch.
+LIFETIME = (
+    "sensors_id long, datetime_first timestamp, datetime_last timestamp, value_count long, n long, mean double, m2 double, "
+    "value_min double, value_max double, value_latest double, batch_id long"
+)
+
+
+def read_lifetime(spark: SparkSession, path: str) -> DataFrame:
+    """The stored lifetime state with average and sample deviation."""
+    state = read_snapshot(spark, path) if snapshots(spark, path) else spark.createDataFrame([], LIFETIME)
+    deviation = F.when(F.col("n") > 1, F.sqrt(F.try_divide(F.col("m2"), F.col("n") - 1)))
+    return state.withColumns({"value_avg": F.when(F.col("n") > 0, F.col("mean")), "value_sd": deviation})
+
+
+def stream_lifetime(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep lifetime state up to date: every micro-batch merges into a new snapshot.
+
+    The snapshot holds the number of its last batch, so a batch that is replayed after a
+    failure finds itself there and changes nothing.
+    """
+    spark = stream.sparkSession
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        configure(spark)
+        known = bool(snapshots(spark, path))
+        state = read_snapshot(spark, path) if known else spark.createDataFrame([], LIFETIME)
+        if known and state.where(F.col("batch_id") >= batch_id).limit(1).count():
+            return
+        publish(merge_lifetime(state.drop("batch_id"), batch).withColumn("batch_id", F.lit(batch_id).cast("long")), path)
+
+    return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def late_rows(batch: DataFrame, seen_until: DataFrame, late_s: int) -> DataFrame:
     """Per sensor, rows stamped more than `late_s` before the last stamp seen so far
     (`seen_until`: sensors_id, datetime_last)."""
