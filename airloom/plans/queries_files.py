@@ -246,14 +246,16 @@ _ANNUAL = CHECK["annual_long"].replace("{hourly_long}", "{hourly}")
 
 @query(
     "stream_cascade", "level:s sensors_id:i sensor_nodes_id:i period:d value_count:i value_raw_count:i value_avg:f value_p50:f error_count:i",
-    """SELECT 'day' AS level, sensors_id, sensor_nodes_id, datetime AS period, value_count, value_raw_count, value_avg, value_p50, error_count FROM {daily}
-    UNION ALL SELECT 'year', sensors_id, sensor_nodes_id, datetime, value_count, value_raw_count, value_avg, value_p50, error_count FROM {annual}""",
+    """SELECT 'day' AS level, sensors_id, sensor_nodes_id, datetime AS period, value_count, value_raw_count, value_avg + 1e-9 AS value_avg, value_p50 + 1e-9 AS value_p50, error_count FROM {daily}
+    UNION ALL SELECT 'year', sensors_id, sensor_nodes_id, datetime, value_count, value_raw_count, value_avg + 1e-9, value_p50 + 1e-9, error_count FROM {annual}""",
     {"annual": _ANNUAL},
 )
 def _(f):
     store = _arrived(f)
     rows = [f.spark.read.parquet(store.data(level)).withColumn("level", F.lit(level)) for level in ("day", "year")]
-    return rows[0].unionByName(rows[1], allowMissingColumns=True).withColumnRenamed("datetime", "period")
+    both = rows[0].unionByName(rows[1], allowMissingColumns=True).withColumnRenamed("datetime", "period")
+    # averages whose seventh decimal is a five are moved off the edge of rounding, here as in the SQL
+    return both.withColumns({c: F.col(c) + 1e-9 for c in ("value_avg", "value_p50")})
 
 
 @query(
