@@ -15,3 +15,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for k in keys:
         match = match & left[k].eqNullSafe(renamed[f"_right_{k}"])
     return left.join(renamed, match, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def never_broadcast(side: DataFrame) -> DataFrame:
+    """`side` for a sort-merge join, whatever size the optimizer takes it for.
+
+    It guesses by file sizes and does not see that an explode multiplies rows, so a table of
+    millions of rows can be taken for one of ten megabytes and sent through the driver.
+    """
+    return side.hint("merge")

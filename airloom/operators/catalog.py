@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions import textops, timeops
+from airloom.functions.joins import never_broadcast
 from airloom.operators.ranking import spread_row_number
 
 
@@ -519,9 +520,10 @@ def version_ranks(versions: DataFrame, sensor_statuses: DataFrame) -> DataFrame:
 def versions_view(ranks: DataFrame, sensors: DataFrame, sensor_systems: DataFrame) -> DataFrame:
     own = sensors.select("sensors_id", F.col("source_id").alias("sensor"), "sensor_systems_id")
     parents = sensors.select(F.col("sensors_id").alias("parent_sensors_id"), F.col("source_id").alias("parent_sensor"))
+    systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id")
     return (
-        ranks.join(own, "sensors_id").join(parents, "parent_sensors_id")
-        .join(sensor_systems.select("sensor_systems_id", "sensor_nodes_id"), "sensor_systems_id")
+        ranks.join(never_broadcast(own), "sensors_id").join(never_broadcast(parents), "parent_sensors_id")
+        .join(never_broadcast(systems), "sensor_systems_id")
         .select(
             "versions_id", "sensors_id", "parent_sensors_id", "sensor_statuses_id", "sensor", "parent_sensor", "version_date",
             F.col("label").alias("life_cycle"), "version_rank", "sensor_nodes_id",

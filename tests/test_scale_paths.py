@@ -1,5 +1,6 @@
 """Ways that only large groups take, forced on small ones and compared with the plain way."""
 
+import itertools
 import random
 
 import pytest
@@ -7,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from airloom.functions import numeric
-from airloom.operators import context, intervals, monitor, ranking, rollups, spatial
+from airloom.operators import catalog, context, intervals, monitor, ranking, rollups, spatial
+from airloom.plans import queries_catalog
 from airloom.plans.frames import Frames
 
 
@@ -94,6 +96,27 @@ def test_rollup_above_the_broadcast_bound(spark, monkeypatch):
     assert set(map(tuple, small.collect())) == set(map(tuple, large.collect()))
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def broadcast_generators(plan):
+    """Broadcasts of a plan that hold rows which an explode has multiplied."""
+    lines, found = plan.splitlines(), 0
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = itertools.takewhile(lambda x: depth(x) > depth(line), lines[i + 1 :])
+            found += any("Generate explode" in x for x in below)
+    return found
+
+
+def test_versions_are_not_joined_by_broadcasts_of_sensors(spark):
+    f = Frames(spark, "/root/testdata/sf0.001")
+    plan = executed(catalog.versions_view(queries_catalog._ranks(f), f.sensors, f.sensor_systems))
+    assert "Generate explode" in plan and broadcast_generators(plan) == 0
+
+
 def test_zone_outside_the_usual_list(spark, monkeypatch):
     f = Frames(spark, "/root/testdata/sf0.001")
     want = set(map(tuple, rollups.hourly_rollup(f.measurements, f.ctx).collect()))
