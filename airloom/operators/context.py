@@ -8,6 +8,8 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airloom.functions.joins import never_broadcast
+
 # Source tables of the contexts built here and what was learned about them.
 _KNOWN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 _FEW, _MANY = 16, 128
@@ -25,9 +27,9 @@ def station_chain(sensors: DataFrame, sensor_systems: DataFrame, sensor_nodes: D
     nodes = sensor_nodes.select(
         "sensor_nodes_id", "timezones_id", "providers_id", "countries_id", F.col("is_public").alias("node_is_public")
     )
-    systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id").join(nodes, "sensor_nodes_id")
-    chain = sensors.select(
-        "sensors_id", "sensor_systems_id", "measurands_id", F.col("is_public").alias("sensor_is_public")
+    systems = sensor_systems.select("sensor_systems_id", "sensor_nodes_id").join(never_broadcast(nodes), "sensor_nodes_id")
+    chain = never_broadcast(
+        sensors.select("sensors_id", "sensor_systems_id", "measurands_id", F.col("is_public").alias("sensor_is_public"))
     ).join(systems, "sensor_systems_id")
     _KNOWN[chain] = {"sensors": sensors}
     return chain
@@ -55,8 +57,8 @@ def recount(ctx: DataFrame) -> None:
 
 def broadcast_if_few(side: DataFrame, counted: DataFrame, rows: int = 100_000) -> DataFrame:
     """`side` as a broadcast when `counted`, which has at least as many rows, stays within
-    the bound; else as it is."""
-    return F.broadcast(side) if counted.limit(rows + 1).count() <= rows else side
+    the bound; else for a sort-merge join."""
+    return F.broadcast(side) if counted.limit(rows + 1).count() <= rows else never_broadcast(side)
 
 
 def _few_sensors(ctx: DataFrame) -> bool:
@@ -79,7 +81,7 @@ def join_context(
     """
     side = ctx if where is None else ctx.where(where)
     side = side.select("sensors_id", *columns)
-    return facts.join(F.broadcast(side) if _few_sensors(ctx) else side, "sensors_id", how)
+    return facts.join(F.broadcast(side) if _few_sensors(ctx) else never_broadcast(side), "sensors_id", how)
 
 
 def literal_zones(timezones: DataFrame, nodes: DataFrame) -> list[str]:

@@ -117,6 +117,13 @@ def test_versions_are_not_joined_by_broadcasts_of_sensors(spark):
     assert "Generate explode" in plan and broadcast_generators(plan) == 0
 
 
+def test_station_context_is_not_joined_by_broadcasts_of_sensors(spark):
+    f = Frames(spark, "/root/testdata/sf0.001")
+    plan = executed(f.ctx)
+    assert "Generate explode" in plan and broadcast_generators(plan) == 0
+    assert context.broadcast_if_few(f.countries, f.countries, 3)._jdf.queryExecution().analyzed().toString().startswith("ResolvedHint (strategy=merge)")
+
+
 def test_zone_outside_the_usual_list(spark, monkeypatch):
     f = Frames(spark, "/root/testdata/sf0.001")
     want = set(map(tuple, rollups.hourly_rollup(f.measurements, f.ctx).collect()))
