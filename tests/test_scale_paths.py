@@ -124,6 +124,34 @@ def test_station_context_is_not_joined_by_broadcasts_of_sensors(spark):
     assert context.broadcast_if_few(f.countries, f.countries, 3)._jdf.queryExecution().analyzed().toString().startswith("ResolvedHint (strategy=merge)")
 
 
+def test_group_members_by_class_name_and_box(spark):
+    rnd = random.Random(5)
+    pick = lambda n: rnd.choice([None, *range(n)])
+    places = [(i, pick(4), pick(3), pick(3), rnd.choice([None, rnd.uniform(-180, 180), 30.0]), rnd.uniform(-90, 90)) for i in range(400)]
+    rules, box = [], lambda: (x := rnd.uniform(-180, 100), y := rnd.uniform(-90, 20), x + rnd.uniform(-5, 90), y + 70.0)[0:4]
+    for g in range(60):
+        for kind in rnd.sample(["countries_id", "providers_id", "users_id", "sensor_nodes_id", "geom", "geom", "other"], rnd.randint(1, 3)):
+            ids = rnd.sample(range(400), 150) if kind == "sensor_nodes_id" else [0, rnd.randrange(4), rnd.randrange(4)]
+            rules.append((g, kind, None if kind == "geom" or rnd.random() < 0.05 else ids, box() if kind == "geom" and rnd.random() > 0.05 else None))
+    rules.append((99, "geom", None, (30.0, -90.0, 30.0, 90.0)))
+    columns = {"countries_id": 1, "providers_id": 2, "users_id": 3, "sensor_nodes_id": 0}
+
+    def meets(place, kind, ids, b):
+        if kind == "geom":
+            return b is not None and place[4] is not None and b[0] <= place[4] <= b[2] and b[1] <= place[5] <= b[3]
+        return kind in columns and ids is not None and place[columns[kind]] in ids
+
+    want = {(g, p[0]) for g in {r[0] for r in rules} for p in places if all(meets(p, *r[1:]) for r in rules if r[0] == g)}
+    asked = spark.createDataFrame(rules, "groups_id int, kind string, ids array<bigint>, box struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    there = spark.createDataFrame(places, "id long, countries_id int, providers_id int, owner_id int, lon double, lat double")
+    made = catalog.group_members(asked, there)
+    got = list(map(tuple, made.collect()))
+    assert len(got) == len(set(got)) and set(got) == want and len({g for g, _ in want}) > 10
+    f = Frames(spark, "/root/testdata/sf0.001")
+    owned = f.sensor_nodes.withColumnsRenamed({"sensor_nodes_id": "id", "owner_entities_id": "owner_id"})
+    assert broadcast_generators(executed(catalog.group_members(queries_catalog._group_rules(f), owned))) == 0
+
+
 def test_zone_outside_the_usual_list(spark, monkeypatch):
     f = Frames(spark, "/root/testdata/sf0.001")
     want = set(map(tuple, rollups.hourly_rollup(f.measurements, f.ctx).collect()))
