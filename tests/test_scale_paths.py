@@ -11,6 +11,7 @@ from airloom.functions import numeric
 from airloom.operators import catalog, context, intervals, monitor, ranking, rollups, spatial
 from airloom.plans import queries_catalog
 from airloom.plans.frames import Frames
+from airloom.session import configure
 
 
 @pytest.fixture(scope="module")
@@ -152,6 +153,18 @@ def test_group_members_by_class_name_and_box(spark):
     assert broadcast_generators(executed(catalog.group_members(queries_catalog._group_rules(f), owned))) == 0
 
 
+def test_task_sizes_are_bounded_unless_named(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert configure(spark).conf.get(key) == "16m" and spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+        spark.conf.set(key, "8m")
+        assert configure(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before or "16m")
+
+
 def test_zone_outside_the_usual_list(spark, monkeypatch):
     f = Frames(spark, "/root/testdata/sf0.001")
     want = set(map(tuple, rollups.hourly_rollup(f.measurements, f.ctx).collect()))
