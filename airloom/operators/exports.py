@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions import timeops
+from airloom.functions.joins import never_broadcast
 from airloom.operators.context import broadcast_if_few, literal_zones, zone_branches
 from airloom.operators.intervals import max_in_ranges, overlap_marks
 from airloom.operators.upsert import upsert
@@ -35,8 +36,8 @@ def measurement_data_export(
     stations = (
         sensors.select("sensors_id", "sensor_systems_id", "measurands_id", F.col("source_id").alias("sensor"))
         .join(measurands.select("measurands_id", "measurand", "units"), "measurands_id")
-        .join(sensor_systems.select("sensor_systems_id", "sensor_nodes_id"), "sensor_systems_id")
-        .join(nodes, "sensor_nodes_id")
+        .join(never_broadcast(sensor_systems.select("sensor_systems_id", "sensor_nodes_id")), "sensor_systems_id")
+        .join(never_broadcast(nodes), "sensor_nodes_id")
     )
     mobile = F.col("ismobile")
     facts = measurements.select("sensors_id", "datetime", "value", "lon", "lat")

@@ -49,6 +49,25 @@ def test_export_run_claims_writes_and_logs(spark, tmp_path):
     assert files.read_export(spark, path).count() == meant.count()
 
 
+def test_export_folders_do_not_grow_with_nodes(spark, tmp_path):
+    f, path = Frames(configure(spark), SF), str(tmp_path / "out")
+    rows = _export(f).withColumn("day", files.local_day())
+    rows = rows.unionByName(rows.withColumn("sensor_nodes_id", F.col("sensor_nodes_id") + 1)).cache()
+    columns = ["sensors_id", "datetime", "value", "sensor_nodes_id", "day", "provider", "country", "lon", "datetime_str"]
+    files.write_export(rows.where("sensor_nodes_id % 2 = 1").drop("day"), path)
+    # the other nodes come into the same folders; what was there stays, a node-day written again does not double
+    late = rows.where("sensor_nodes_id % 2 = 0 OR sensor_nodes_id % 3 = 0")
+    files.write_export(late.drop("day"), path)
+    assert rows_of(files.read_export(spark, path), *columns) == rows_of(rows, *columns)
+    folders = len(list((tmp_path / "out").glob("provider=*/country=*/day=*")))
+    assert folders == rows.select("provider", "country", "day").distinct().count() < rows.select("sensor_nodes_id", "day").distinct().count()
+    # a run that ended between staging and replacing is finished by the next
+    late.withColumn("value", F.lit(-7.0)).write.parquet(path + "__stage")
+    files.finish_export(spark, path)
+    assert not (tmp_path / "out__stage").exists()
+    assert files.read_export(spark, path).where("value = -7").count() == late.count()
+
+
 def test_lifetime_stream_survives_a_replayed_batch(spark, tmp_path):
     f = Frames(configure(spark), SF)
     source, path = str(tmp_path / "in"), str(tmp_path / "state")
