@@ -12,7 +12,8 @@
 
 File: b"HUF1", code bits, footer (an Arrow stream), footer length (8 bytes). Files are in
 key order; a document's ids end with the end id. Names hold a random part and only files
-that a finished task has listed are read, so a task may run twice or be lost.
+that a finished task has listed are read, so a task may run twice or be lost. A staging file
+is removed once its code file is whole and has its final name.
 
 Defined results: null text is the empty text (its only id is the end id); equal keys are
 ordered by text, null keys come first; further columns are ignored; an empty table gives
@@ -41,14 +42,16 @@ from airloom.llm.shared import cut, portions, shared_folder, stored
 
 MAGIC = b"HUF1"
 #: Ids in a block, blocks decoded in step, longest code word (more for larger vocabularies).
-BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 1024, 4096, 16
+BLOCK, BLOCKS_AT_ONCE, MAX_BITS = 1024, 2048, 16
 #: Ids whose counts share a row.
 PAGE = 64
 #: Memory bound of one worker: words remembered, and pieces in each of two generations.
-KEPT_WORDS, KEPT_PIECES = 150_000, 400_000
+KEPT_WORDS, KEPT_PIECES = 100_000, 200_000
 
 #: Bytes of text encoded at a time.
-PORTION = 6_000_000
+PORTION = 4_000_000
+#: Texts that go to a worker at a time.
+BATCH_ROWS = 2_000
 #: A space or line break that may not be cut: white space (or, for a space, the text's end) is behind it.
 UNSAFE = r"[ \n][\s\x0b\x1c-\x1f\x85\p{Z}]| $"
 #: Latin letters, and a sign of ASCII after them.
@@ -333,7 +336,13 @@ def write_files(staged: DataFrame, folder: str, lengths: np.ndarray) -> DataFram
         fs, base = _open(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                name = f"{base}/codes-{row['part']:06d}-{uuid4().hex}"
+                one = {"part": pa.array([row["part"]], pa.int32()), "n_ids": [row["n_ids"]]}
+                # a staging file goes once its code file is whole; a task that runs again finds that one
+                done = f"{base}/codes-{row['part']:06d}-{row['file'].rpartition('-')[2]}"
+                if fs.get_file_info(done).type == pafs.FileType.File:
+                    yield pa.RecordBatch.from_pydict(one | {"file": [done]}).select(["part", "file", "n_ids"])
+                    continue
+                name = f"{done}-{uuid4().hex}"
                 keys, sizes, offsets, rest = [], [], [], np.zeros(0, np.uint32)
                 with fs.open_output_stream(name) as sink, fs.open_input_stream(row["file"]) as source:
                     sink.write(MAGIC)
@@ -359,8 +368,9 @@ def write_files(staged: DataFrame, folder: str, lengths: np.ndarray) -> DataFram
                             stream.write_table(made)
                     footer = foot.getvalue().to_pybytes()
                     sink.write(footer + len(footer).to_bytes(8, "little"))
-                one = {"part": pa.array([row["part"]], pa.int32()), "file": [name], "n_ids": [row["n_ids"]]}
-                yield pa.RecordBatch.from_pydict(one)
+                fs.move(name, done)
+                fs.delete_file(row["file"])
+                yield pa.RecordBatch.from_pydict(one | {"file": [done]}).select(["part", "file", "n_ids"])
 
     return staged.select("part", "file", "n_ids").mapInArrow(run, "part int, file string, n_ids long")
 
@@ -429,7 +439,13 @@ def write_and_read(
     folder = shared_folder(spark)
     fs, base = _open(folder)
     fs.create_dir(base, recursive=True)
-    staged = stored(stage_ids(docs, folder, path, pattern, end_id, key, text))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, BATCH_ROWS)
+    try:
+        staged = stored(stage_ids(docs, folder, path, pattern, end_id, key, text))
+    finally:
+        spark.conf.set(rows, before)
     seen = staged.select(F.explode(F.arrays_zip("pages", "counts")).alias("x")).select("x.*").groupBy("pages")
     counts = seen.agg(*[F.sum(F.col("counts")[k]).alias(f"n{k}") for k in range(PAGE)]).collect()  # as many as the vocabulary
     total = np.zeros(PAGE * (1 + max((r.pages for r in counts), default=0)), np.int64)

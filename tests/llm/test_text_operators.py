@@ -111,6 +111,19 @@ def test_token_files_odd_texts(spark, docs, tokenizer):
     assert huffman.write_and_read(docs.limit(0), FILE, PATTERN).count() == 0
 
 
+def test_token_files_keep_no_staged_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} of some words" * (i % 5)) for i in range(40)], "doc_id long, text string")
+    staged = huffman.stage_ids(docs, f"file://{tmp_path}", FILE, PATTERN, 0, "doc_id", "text").cache()
+    total = staged.agg({"n_ids": "sum"}).first()[0]
+    assert len(list(tmp_path.glob("ids-*"))) == staged.count() > 0
+    lengths = np.full(1 << 16, 16)
+    once = sorted(map(tuple, huffman.write_files(staged, f"file://{tmp_path}", lengths).collect()))
+    assert not list(tmp_path.glob("ids-*")) and len(list(tmp_path.glob("codes-*"))) == len(once)
+    # a task that runs once more finds what it has written
+    assert sorted(map(tuple, huffman.write_files(staged, f"file://{tmp_path}", lengths).collect())) == once
+    assert sum(r[2] for r in once) == total
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 1 << 30), min_size=1, max_size=300), st.integers(0, 2**32))
 def test_code_lengths_are_a_complete_limited_code(counts, seed):
