@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions import textops, timeops
 from airloom.operators.context import broadcast_if_few, join_context
 from airloom.operators.ranking import spread_row_number
-from airloom.operators.upsert import absent_rows, changed, insert_absent, one_per_key
+from airloom.operators.upsert import changed, insert_absent, one_per_key
 from airloom.session import cut_lineage
 
 # ---- ingest ids --------------------------------------------------------------------------------
@@ -547,6 +547,14 @@ class Merged(NamedTuple):
     allowed: DataFrame
 
 
+def _parts(pairs: DataFrame) -> DataFrame:
+    """The sensors of open pairs: sources with their target, targets with no source."""
+    good = F.col("good_sensors_id")
+    none = F.lit(None).cast(pairs.schema["bad_sensors_id"].dataType).alias("bad_sensors_id")
+    sources = pairs.select(F.col("bad_sensors_id").alias("sensors_id"), "bad_sensors_id", good)
+    return sources.unionByName(pairs.select(good.alias("sensors_id"), none, good).distinct())
+
+
 def check_merges(measurements: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(allowed pairs, refused pairs with reason and number of clashing measurements).
 
@@ -569,21 +577,16 @@ def check_merges(measurements: DataFrame, pairs: DataFrame) -> tuple[DataFrame,
     open_pairs = judged.where(F.col("reason").isNull()).select(*names)
 
     few = lambda side: broadcast_if_few(side, pairs)
-    source = measurements.join(few(open_pairs.withColumnRenamed("bad_sensors_id", "sensors_id")), "sensors_id").select(
-        F.col("sensors_id").alias("bad_sensors_id"), "good_sensors_id", "datetime", "value"
-    )
-    held = measurements.join(few(open_pairs.select(good.alias("sensors_id")).distinct()), "sensors_id", "left_semi").select(
-        F.lit(None).cast("bigint").alias("bad_sensors_id"), F.col("sensors_id").alias("good_sensors_id"), "datetime", "value"
-    )
-    from_source = bad.isNotNull()
-    at = source.unionByName(held).groupBy("good_sensors_id", "datetime").agg(
-        F.min(F.when(from_source, F.col("value"))).alias("_low"), F.max(F.when(from_source, F.col("value"))).alias("_high"),
-        F.max(F.when(~from_source, F.col("value"))).alias("_held"),
-    )
-    at = at.where((F.col("_low") != F.col("_high")) | (F.col("_low") != F.col("_held")))
-    clash = source.join(at, ["good_sensors_id", "datetime"]).where(
-        (F.col("_low") != F.col("_high")) | (F.col("value") != F.col("_held"))
-    ).where(F.col("value").isNotNull())
+    # each sensor has one part in the open pairs, so the measurements are read and shuffled once
+    rows = measurements.join(few(_parts(open_pairs)), "sensors_id").select(*names, "datetime", "value")
+    rows = rows.where(F.col("datetime").isNotNull())
+    from_source, value = bad.isNotNull(), F.col("value")
+    at = Window.partitionBy("good_sensors_id", "datetime")
+    seen = rows.withColumns({
+        "_low": F.min(F.when(from_source, value)).over(at), "_high": F.max(F.when(from_source, value)).over(at),
+        "_held": F.max(F.when(~from_source, value)).over(at),
+    })
+    clash = seen.where(from_source & value.isNotNull() & ((F.col("_low") != F.col("_high")) | (value != F.col("_held"))))
     clash = clash.groupBy(*names).agg(F.count("*").alias("conflicts"))
     refused = (
         given.where(F.col("reason").isNotNull())
@@ -606,9 +609,15 @@ def merge_sensors(measurements: DataFrame, pairs: DataFrame, ctx: DataFrame, as_
     allowed = cut_lineage(allowed)
     side = broadcast_if_few(allowed, allowed)
     moving = measurements.join(side.withColumnRenamed("bad_sensors_id", "sensors_id"), "sensors_id")
-    moved = moving.withColumn("sensors_id", F.col("good_sensors_id")).select(*measurements.columns)
-    there = measurements.join(side.select(F.col("good_sensors_id").alias("sensors_id")).distinct(), "sensors_id", "left_semi")
-    fresh = absent_rows(there, moved, ["sensors_id", "datetime"], order=F.col("value").isNull())
+    # rows that move and rows that are there in one pass: of a target's instant without a row, one that moves
+    parts = measurements.join(broadcast_if_few(_parts(allowed), allowed), "sensors_id")
+    moves, rest = F.col("bad_sensors_id").isNotNull(), [c for c in measurements.columns if c not in ("sensors_id", "datetime")]
+    row = F.struct(F.col("value").isNull().alias("_empty"), *rest)
+    met = parts.groupBy(F.col("good_sensors_id").alias("sensors_id"), "datetime").agg(
+        F.min(F.when(moves, row)).alias("_row"), F.max(~moves).alias("_there")
+    )
+    met = met.where(F.col("_row").isNotNull() & (~F.col("_there") | F.col("datetime").isNull()))
+    fresh = met.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in measurements.columns])
     kept = measurements.join(side.select(F.col("bad_sensors_id").alias("sensors_id")), "sensors_id", "left_anti")
     archive = moving.select(
         *measurements.columns, timeops.instant(as_of).alias("archived_on"),

@@ -94,3 +94,12 @@ def test_json_members_keep_their_types(spark):
     assert df.where("o = 2").select(text).first()[0] == '{"a":{"z":1.5}}'
     source = catalog.source_json(F.lit("s"), F.lit("n"), F.lit(None).cast("string"), F.lit('{"name": "m", "rank": 3}'))
     assert spark.range(1).select(source).first()[0] == '{"id":"s","name":"m","rank":3}'
+
+
+def test_a_merge_reads_its_measurements_once_a_pass(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.sql("SELECT id AS sensors_id, timestamp_seconds(id) AS datetime, 1.0D AS value FROM range(9)").write.parquet(path)
+    pairs = spark.createDataFrame([(1, 2), (3, 4)], "bad_sensors_id long, good_sensors_id long")
+    allowed, _ = ingest.check_merges(spark.read.parquet(path), pairs)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert scans(allowed) == 1
