@@ -13,6 +13,7 @@ one node throughout, so copies are never paired. Components are found by star ro
 A signature that very many distinct fingerprints share costs comparisons in proportion to
 their square; adaptive execution splits such a key over tasks, and the join returns only
 links. With n distinct fingerprints spread at random, about 64 n^2 / 2^21 pairs are compared.
+Signatures are never broadcast: the optimizer does not see that a fingerprint has 64 of them.
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any
 other; fewer words than a shingle are hashed as a whole; repeated rows and ids give a row
@@ -30,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airloom.functions.joins import never_broadcast
 from airloom.llm.graph import components
 from airloom.llm.shared import row_identity, stored
 
@@ -97,7 +99,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     left, right = left.withColumnRenamed("signature", "s"), right.withColumnRenamed("signature", "t")
     same = (F.col("s") == F.col("t")) & (F.col("a") < F.col("b"))
-    return left.join(right, same & (F.bit_count(apart) <= distance) & own).select("a", "b")
+    return left.join(never_broadcast(right), same & (F.bit_count(apart) <= distance) & own).select("a", "b")
 
 
 def _named(rows: DataFrame, key: Column, distance: int) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from airloom.llm import bpe, ctph, huffman, langid, simhash
@@ -180,6 +181,12 @@ def test_simhash_links_lose_no_pair(spark):
     assert len(made) == len(want) and {tuple(r) for r in made} == want
 
 
+def test_signatures_are_not_broadcast(spark):
+    made = simhash.links(spark.range(300).select((F.col("id") * 2_654_435_761 * 40_503).alias("fp")))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_odd_texts(spark, docs):
     rows = simhash.groups(docs).collect()
     assert len(rows) == docs.count()
