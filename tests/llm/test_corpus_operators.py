@@ -13,7 +13,7 @@ from compare import check_engine, difference
 
 from airloom.llm import chat, decontaminate, simhash, warc
 from airloom.llm.queries import QUERIES, SQL
-from airloom.llm.shared import shared_folder
+from airloom.llm.shared import shared_folder, stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -145,6 +145,20 @@ def test_no_accepted_overlap_is_missed(spark):
     assert {(r.doc_id, r.item_id): (r.matched, r.item_tokens) for r in made.collect()} == want
 
 
+def test_seeds_above_the_broadcast_bound_are_shuffled(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    want, plans = set(map(tuple, decontaminate.overlaps(docs, bench).collect())), []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 1)
+    monkeypatch.setattr(decontaminate, "stored", noted)
+    assert set(map(tuple, decontaminate.overlaps(docs, bench).collect())) == want and want
+    assert "SortMergeJoin" in plans[1] and "Broadcast" not in plans[1]
+
+
 def test_every_pattern_spoils_a_tile_less(spark):
     """For each length: the widest sets of tiles still hold one more than the differences can spoil."""
     items = spark.createDataFrame([(n, [str(i) for i in range(n)]) for n in range(5, 151)], "item long, tokens array<string>")
