@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions import numeric, timeops
+from airloom.functions.joins import never_broadcast
 from airloom.operators.context import by_zone, join_context
 
 # Percentile levels and their column names.
@@ -366,7 +367,7 @@ def sensor_rollups_summary(lifetime: DataFrame, sensors: DataFrame, measurands:
     A measurand may cover most sensors, so percentiles use the group-splitting form.
     """
     rows = (
-        lifetime.join(sensors.select("sensors_id", "measurands_id", "added_on"), "sensors_id")
+        lifetime.join(never_broadcast(sensors.select("sensors_id", "measurands_id", "added_on")), "sensors_id")
         .join(measurands.select("measurands_id", "measurand", "units"), "measurands_id")
     )
     keys = ["measurand", "units"]

@@ -125,6 +125,12 @@ def test_station_context_is_not_joined_by_broadcasts_of_sensors(spark):
     assert context.broadcast_if_few(f.countries, f.countries, 3)._jdf.queryExecution().analyzed().toString().startswith("ResolvedHint (strategy=merge)")
 
 
+def test_sensors_of_lifetime_rollups_are_not_broadcast(spark):
+    f = Frames(spark, "/root/testdata/sf0.001")
+    plan = executed(rollups.sensor_rollups_summary(f.lifetime, f.sensors, f.measurands))
+    assert "Generate explode" in plan and "SortMergeJoin [sensors_id" in plan and "BroadcastHashJoin [sensors_id" not in plan
+
+
 def test_group_members_by_class_name_and_box(spark):
     rnd = random.Random(5)
     pick = lambda n: rnd.choice([None, *range(n)])
