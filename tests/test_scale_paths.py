@@ -159,6 +159,30 @@ def test_group_members_by_class_name_and_box(spark):
     assert broadcast_generators(executed(catalog.group_members(queries_catalog._group_rules(f), owned))) == 0
 
 
+def test_group_members_take_little_space(spark, tmp_path):
+    """The result is groups times locations: files must not hold every pair at full length."""
+    rows = [(i, 1, 1, None, float(i * 37 % 360 - 180), float(i * 13 % 160 - 80)) for i in range(100)]
+    places = spark.createDataFrame(rows, "id long, countries_id int, providers_id int, owner_id int, lon double, lat double")
+    asked = spark.range(40_000).selectExpr(
+        "cast(id as int) groups_id", "'providers_id' kind", "array(1L, id) ids",
+        "cast(null as struct<xmin:double,ymin:double,xmax:double,ymax:double>) box",
+    )
+    catalog.group_members(asked, places).write.parquet(f"{tmp_path}/members")
+    made = spark.read.parquet(f"{tmp_path}/members")
+    assert made.count() == 4_000_000 and made.select("sensor_nodes_id").distinct().count() == 100
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 2_000_000
+
+
+def test_a_box_without_an_edge_is_met_by_nothing(spark):
+    places = spark.createDataFrame([(1, 1, 1, 1, 5.0, 5.0)], "id long, countries_id int, providers_id int, owner_id int, lon double, lat double")
+    shut, open_ = (0.0, 0.0, 9.0, 9.0), (0.0, 0.0, None, 9.0)
+    rules = [(1, "geom", None, shut), (1, "geom", None, open_), (2, "countries_id", [1], None), (2, "geom", None, open_),
+             (3, "countries_id", [1], None), (3, "geom", None, shut), (4, "geom", None, shut), (4, "geom", None, (4.0, 4.0, 20.0, 20.0)),
+             (5, "sensor_nodes_id", [1], None), (5, "geom", None, (6.0, 6.0, 20.0, 20.0))]
+    asked = spark.createDataFrame(rules, "groups_id int, kind string, ids array<bigint>, box struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    assert sorted(map(tuple, catalog.group_members(asked, places).collect())) == [(3, 1), (4, 1)]
+
+
 def test_task_sizes_are_bounded_unless_named(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key, None)
